@@ -56,6 +56,25 @@ def hot_values(df: DataFrame, column: str, min_rows: int = HOT_ROWS) -> list[obj
     return [item["item"] for item in top or [] if item["count"] >= min_rows]
 
 
+def repeated_values(df: DataFrame, column: str) -> DataFrame:
+    """Values that more than one row holds, NULL included; only that column is read, and equal
+    values are combined before the shuffle."""
+    counted = df.groupBy(column).agg(F.count("*").alias("_n"))
+    return counted.where(F.col("_n") > 1).select(column)
+
+
+def any_repeated(*sides: DataFrame) -> bool:
+    """Whether any one-column side holds a non-NULL value twice; one job for all of them."""
+    parts = [
+        repeated_values(side.dropna(), side.columns[0]).select(F.lit(i).alias("side"))
+        for i, side in enumerate(sides)
+    ]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    return not together.isEmpty()
+
+
 def with_place(df: DataFrame, name: str) -> DataFrame:
     """Numbers the rows of each partition, to spread rows that are alike in all their keys.
 

@@ -1,10 +1,9 @@
 """Wide profile per establishment: company, place, main activity, secondary activities in columns.
 
-Shape of the plan on normal data: the companies a prefix leaves are broadcast onto the
-establishment scan, one shuffle by establishment key carries codes only, and all descriptions are
-broadcast lookups behind it, in place. Where a size check fails the lookups become shuffled joins
-over the unnested list; where one key has too many rows for a task, its rows take a plan of
-bounded partial results instead of a window over the whole group.
+A publication lists an establishment once, and then nothing has to be grouped: slots are picked
+from the list in place and described by broadcast lookups, in the stage that scans the
+establishments. What repeats is found first, by an aggregation over the key column alone, and
+only rows of repeated keys take the general plan of numbering, unnesting and pivoting.
 """
 
 from __future__ import annotations
@@ -14,15 +13,16 @@ from pyspark.sql import functions as F
 
 from regispark.functions.codes import slot_count, split_codes
 from regispark.functions.values import padded_code
+from regispark.operators.joins import having_key
 from regispark.operators.pivot import pivot_slots
 from regispark.operators.sizing import (
     BROADCAST_LIMIT,
-    HOT_ROWS,
+    any_repeated,
     broadcast_if_small,
-    hot_values,
-    is_one_of,
+    repeated_values,
 )
 from regispark.schemas import ACTIVITY_CODE_WIDTH
+from regispark.session import materialize
 from regispark.sources.snapshots import at_snapshot
 
 # --- Fixed values: column names of the profile ---
@@ -54,7 +54,6 @@ def company_profile(
     prefix: str | None = None,
     slots: int = SLOTS,
     limit: int = BROADCAST_LIMIT,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per establishment with up to ``slots`` secondary activities, described.
 
@@ -76,39 +75,36 @@ def company_profile(
     )
     cities = cities.select(F.col("id_municipio").alias("_city"), F.col("nome").alias("_name"))
 
-    (companies, _), (activity, few_activities), (city, few_cities) = broadcast_if_small(
+    (companies, few_companies), (activity, few_activities), (city, _) = broadcast_if_small(
         companies, activities, cities, limit=limit
     )
     rows = companies.withColumnRenamed("data", "data_info").join(
         establishments.drop("data"), "cnpj_basico", "inner"
     )
-    # Only the largest description matters per code, so that a code listed twice adds no rows.
-    texts = activities.where(F.col("_activity").isNotNull()).groupBy("_activity")
-    texts = texts.agg(F.max("_text").alias("_text"))
-    texts = F.broadcast(texts) if few_activities else texts.hint("merge")
-
-    def described(part: DataFrame) -> DataFrame:
-        return (
-            part.join(city, F.col("id_municipio") == F.col("_city"), "left")
-            .join(activity, F.col("cnae_fiscal_principal") == F.col("_activity"), "left")
-            .withColumnsRenamed({"_name": "nome_municipio", "_text": KEYS[6]})
-            .select(*KEYS, LIST)
-        )
+    rows = (
+        rows.join(city, F.col("id_municipio") == F.col("_city"), "left")
+        .join(activity, F.col("cnae_fiscal_principal") == F.col("_activity"), "left")
+        .withColumnsRenamed({"_name": "nome_municipio", "_text": "descricao_atividade_principal"})
+        .select(*KEYS, LIST)
+    )
+
+    if any_repeated(activities.select("_activity"), cities.select("_city")):
+        # A code listed twice doubles rows; of its descriptions a slot shows the largest.
+        texts = activities.groupBy("_activity").agg(F.max("_text").alias("_text"))
+        texts = F.broadcast(texts) if few_activities else texts.hint("merge")
+        return _repeated_profile(rows, texts, slots).select(*profile_columns(slots))
 
-    hot = hot_values(establishments, "cnpj", hot_rows)
-    cold = rows.where(~is_one_of(F.col("cnpj"), hot)) if hot else rows
-    if few_activities and few_cities:
-        # Shuffle codes, not the descriptions they stand for.
-        cold = cold.repartition("cnpj")
-    cold = _numbered(described(cold))
-    if few_activities:
-        result = _wide(cold, texts, slots)
-    else:
-        result = _pivoted(_described_items(_items(cold, slots), texts), slots)
-    if hot:
-        rest = described(rows.where(is_one_of(F.col("cnpj"), hot)))
-        result = result.unionByName(_hot_profile(rest, texts, slots))
-    return result.select(*profile_columns(slots))
+    unique = _wide if few_activities else _unnested
+    repeated = materialize(
+        _repeated_keys(companies, establishments, few_companies, limit), "repeated"
+    )
+    if repeated.isEmpty():
+        return unique(rows, activity, slots).select(*profile_columns(slots))
+    ((repeated, _),) = broadcast_if_small(repeated, limit=limit)
+    same = F.col("cnpj").eqNullSafe(F.col("_cnpj"))
+    once = unique(rows.join(repeated, same, "left_anti"), activity, slots)
+    more = _repeated_profile(rows.join(repeated, same, "left_semi"), activity, slots)
+    return once.unionByName(more).select(*profile_columns(slots))
 
 
 def profile_columns(slots: int = SLOTS) -> list[str]:
@@ -138,64 +134,73 @@ def profile_inputs(tables: dict[str, DataFrame], snapshot: object) -> dict[str,
     }
 
 
-def _order() -> Window:
-    return Window.partitionBy("cnpj").orderBy(*KEYS[1:], LIST)
-
-
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Adds the list as an array and how many items of the same key come before it."""
-    earlier = _order().rowsBetween(Window.unboundedPreceding, -1)
-    items = slot_count(split_codes(F.col(LIST)))
-    before = F.coalesce(F.sum(items).over(earlier), F.lit(0))
-    return rows.withColumn("_before", before).withColumn("_codes", split_codes(F.col(LIST)))
+def _repeated_keys(
+    companies: DataFrame, establishments: DataFrame, few_companies: bool, limit: int
+) -> DataFrame:
+    """Establishment keys, NULL included, that the join of both tables gives more than one row."""
+    keys = establishments.select("cnpj", "cnpj_basico")
+    if few_companies:
+        keys = companies.select("cnpj_basico").join(keys, "cnpj_basico", "inner")
+        return repeated_values(keys, "cnpj").withColumnRenamed("cnpj", "_cnpj")
+    found = repeated_values(keys, "cnpj")
+    twice = materialize(repeated_values(companies.dropna(subset="cnpj_basico"), "cnpj_basico"), "twice")
+    if not twice.isEmpty():
+        affected = having_key(keys, twice, "cnpj_basico", limit).select("cnpj")
+        found = found.unionByName(affected).distinct()
+    return found.withColumnRenamed("cnpj", "_cnpj")
 
 
 def _wide(rows: DataFrame, texts: DataFrame, slots: int) -> DataFrame:
-    """Slots picked from the array and described in place: no unnest, no second shuffle."""
-    before = F.least("_before", F.lit(slots)).cast("int")
+    """Unique rows: slots picked from the list and described in place."""
     numbers = range(1, slots + 1)
+    rows = rows.withColumn("_codes", split_codes(F.col(LIST)))
     rows = rows.select(
-        *KEYS, *[F.get("_codes", F.lit(i - 1) - before).alias(f"{CODE}_{i}") for i in numbers]
+        *KEYS, *[F.get("_codes", F.lit(i - 1)).alias(f"{CODE}_{i}") for i in numbers]
     )
     for i in numbers:
         text = texts.select(
-            F.col("_activity").alias(f"_code_{i}"), F.col("_text").alias(f"{DESCRIPTION}_{i}")
+            F.col("_activity").alias("_code"), F.col("_text").alias(f"{DESCRIPTION}_{i}")
         )
-        rows = rows.join(text, F.col(f"{CODE}_{i}") == F.col(f"_code_{i}"), "left")
-        rows = rows.drop(f"_code_{i}")
-    values = [c for c in profile_columns(slots) if c not in KEYS]
-    return rows.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in values])
+        rows = rows.join(text, F.col(f"{CODE}_{i}") == F.col("_code"), "left").drop("_code")
+    return rows
 
 
-def _items(rows: DataFrame, slots: int) -> DataFrame:
-    """One row per list item within the slots; at least one row per source row."""
-    room = F.greatest(F.lit(slots) - F.col("_before"), F.lit(0)).cast("int")
-    within = F.slice("_codes", F.lit(1), room)
-    items = rows.select(*KEYS, "_before", F.posexplode_outer(within).alias("_pos", CODE))
-    slot = F.col("_before") + F.coalesce(F.col("_pos"), F.lit(0)) + 1
-    return items.select(*KEYS, slot.alias("_slot"), CODE)
+def _unnested(rows: DataFrame, texts: DataFrame, slots: int) -> DataFrame:
+    """Unique rows with more activities than can be broadcast: one join over unnested codes."""
+    rows = rows.withColumn("_codes", split_codes(F.col(LIST))).withColumn("_before", F.lit(0))
+    return _pivoted(_items(rows, texts, slots), slots)
 
 
-def _described_items(items: DataFrame, texts: DataFrame) -> DataFrame:
-    return items.join(texts, F.col(CODE) == F.col("_activity"), "left").select(
-        *KEYS, "_slot", CODE, F.col("_text").alias(DESCRIPTION)
-    )
-
-
-def _hot_profile(rows: DataFrame, texts: DataFrame, slots: int) -> DataFrame:
-    """The same result for keys with very many rows.
+def _repeated_profile(rows: DataFrame, texts: DataFrame, slots: int) -> DataFrame:
+    """Rows of repeated keys: numbered across the rows of a key, unnested, pivoted.
 
     Every row fills at least one slot, so the first ``slots`` rows of a key hold all that shows;
-    the rank filter is applied before the shuffle too. All key groups then join in with empty
-    slots, combined on the map side.
+    the rank filter is applied before the shuffle too, which bounds what any task gets of one
+    key. All key groups then join in with empty slots, combined on the map side.
     """
-    rank = F.row_number().over(_order())
-    first = rows.withColumn("_rank", rank).where(F.col("_rank") <= slots).drop("_rank")
-    items = _described_items(_items(_numbered(first), slots), texts)
-    empty = [F.lit(None).cast(t).alias(c) for c, t in items.select("_slot", CODE, DESCRIPTION).dtypes]
+    in_order = Window.partitionBy("cnpj").orderBy(*KEYS[1:], LIST)
+    first = rows.withColumn("_rank", F.row_number().over(in_order))
+    first = first.where(F.col("_rank") <= slots).drop("_rank")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    codes = split_codes(F.col(LIST))
+    first = first.withColumn("_before", F.coalesce(F.sum(slot_count(codes)).over(earlier), F.lit(0)))
+    items = _items(first.withColumn("_codes", codes), texts, slots)
+    empty = [F.lit(None).cast(t).alias(c) for c, t in items.dtypes if c not in KEYS]
     groups = rows.select(*KEYS).distinct().select(*KEYS, *empty)
     return _pivoted(items.unionByName(groups), slots)
 
 
+def _items(rows: DataFrame, texts: DataFrame, slots: int) -> DataFrame:
+    """One described row per list item within the slots; at least one row per source row."""
+    room = F.greatest(F.lit(slots) - F.col("_before"), F.lit(0)).cast("int")
+    within = F.slice("_codes", F.lit(1), room)
+    items = rows.select(*KEYS, "_before", F.posexplode_outer(within).alias("_pos", CODE))
+    slot = F.col("_before") + F.coalesce(F.col("_pos"), F.lit(0)) + 1
+    described = items.join(texts, F.col(CODE) == F.col("_activity"), "left")
+    return described.select(
+        *KEYS, slot.cast("bigint").alias("_slot"), CODE, F.col("_text").alias(DESCRIPTION)
+    )
+
+
 def _pivoted(items: DataFrame, slots: int) -> DataFrame:
     return pivot_slots(items, KEYS, [CODE, DESCRIPTION], "_slot", slots)
