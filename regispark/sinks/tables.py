@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regispark.operators.sizing import HOT_ROWS, hot_values, with_place
-from regispark.sources.delimited import FORMAT
+from regispark.sources.delimited import BLANKS, FORMAT
 
 DATABASE_BATCH = 4096
 
@@ -90,7 +90,7 @@ def write_snapshot(df: DataFrame, root: str, value: object, column: str = "snaps
 def write_delimited(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
     """Header-less delimited files in the format the scan reads: NULL is an empty field, an empty
     string a quoted one."""
-    df.write.options(**FORMAT).option("encoding", encoding).csv(path)
+    df.write.options(**FORMAT, **BLANKS).option("encoding", encoding).csv(path)
 
 
 def write_database(

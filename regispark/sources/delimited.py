@@ -17,6 +17,9 @@ from regispark.schemas import Table, text_schema
 
 # The file format.
 FORMAT = {"sep": ";", "quote": '"', "escape": '"', "header": "false"}
+BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Tells an empty field, NULL, from a quoted empty string; no cleaned line holds this character.
+PARSE = FORMAT | BLANKS | {"nullValue": "\x00"}
 
 # Tokens a dataframe reader takes for missing by default.
 NA_TOKENS = [
@@ -118,7 +121,7 @@ def _recode(latin1_text: Column, encoding: str) -> Column:
 
 def _from_csv(line: Column, names: Sequence[str], on_error: str) -> Column:
     columns = [f"`{name}` string" for name in names]
-    options = dict(FORMAT)
+    options = dict(PARSE)
     if on_error == "fail":
         options["mode"] = "FAILFAST"
     else:
@@ -136,7 +139,7 @@ def _scan_multiline(
     glob: str | None,
 ) -> DataFrame:
     schema = text_schema(list(names))
-    reader = spark.read.options(**FORMAT).option("encoding", "ISO-8859-1").option("multiLine", True)
+    reader = spark.read.options(**PARSE).option("encoding", "ISO-8859-1").option("multiLine", True)
     if on_error == "fail":
         reader = reader.option("mode", "FAILFAST")
     else:
