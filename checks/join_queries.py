@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import standins
 from checks.registry import query, table
 from regispark.operators import joins
-from regispark.operators.enrich import enrich
+from regispark.operators.enrich import enrich, related
 from regispark.operators.prune import active_only as active
 from regispark.operators.prune import prune
 from regispark.operators.typing import type_table
@@ -143,8 +143,9 @@ def prune_tax_regime(spark, folder):
 
 
 def _typed(spark, folder, *names):
-    raw = standins.publication(lambda name: table(spark, folder, name))
-    return {name: type_table(raw[name], TABLES[name]) for name in names}
+    return {
+        name: type_table(standins.raw_table(spark, folder, name), TABLES[name]) for name in names
+    }
 
 
 @query(f"""
@@ -177,3 +178,26 @@ LEFT JOIN supplier b ON b.s_suppkey = qualificacao_representante_legal""")
 def enriched_partners(spark, folder):
     tables = _typed(spark, folder, "socios", "pais", "quals")
     return enrich("socios", tables["socios"], tables)
+
+
+def _prefixed_sql(name: str, sql: str, columns: list[str]) -> str:
+    renamed = ", ".join(f"{c} AS {name}_{c}" for c in columns if c != "cnpj_basico")
+    return f"SELECT cnpj_basico, {renamed} FROM ({sql})"
+
+
+@query(f"""
+SELECT * FROM ({_prefixed_sql("empresa", standins.TYPED_COMPANY_SQL, TABLES["empresa"].names)})
+LEFT JOIN ({_prefixed_sql("simples", standins.TYPED_TAX_REGIME_SQL, TABLES["simples"].names)})
+USING (cnpj_basico)""")
+def related_tax_regime(spark, folder):
+    """Companies with their tax regimes."""
+    return related("empresa", "simples", _typed(spark, folder, "empresa", "simples"))
+
+
+@query(f"""
+SELECT * FROM ({_prefixed_sql("socios", standins.TYPED_PARTNERS_SQL, TABLES["socios"].names)})
+LEFT JOIN ({_prefixed_sql("empresa", standins.TYPED_COMPANY_SQL, TABLES["empresa"].names)})
+USING (cnpj_basico)""")
+def related_company(spark, folder):
+    """Partners with the company they belong to, if it is there."""
+    return related("socios", "empresa", _typed(spark, folder, "socios", "empresa"))

@@ -35,20 +35,40 @@ def _slots_sql(code: str, description: str) -> str:
 
 
 def _profile_sql(day: str, where: str) -> str:
+    """Numbering goes on across the rows of a key, should it repeat."""
     slots = _slots_sql("cnae_secundario", "descricao_atividade_secundaria")
+    keys = (
+        "cnpj, razao_social, sigla_uf, id_municipio, nome_municipio, cnae_fiscal_principal, "
+        "descricao_atividade_principal, data_info"
+    )
+    order = ", ".join(f"{c.strip()} NULLS FIRST" for c in f"{keys}, list".split(",")[1:])
     return f"""
-WITH {_ITEMS},
-wide AS (SELECT o_orderkey, {slots} FROM described GROUP BY 1)
-SELECT o.o_orderkey AS cnpj, c_name AS razao_social, o_orderstatus AS sigla_uf,
-       o_custkey % 27 AS id_municipio, n_name AS nome_municipio,
-       CAST(o.o_orderkey * 3 % 2100 AS VARCHAR) AS cnae_fiscal_principal,
-       p_brand || ' ' || p_name AS descricao_atividade_principal,
-       wide.* EXCLUDE (o_orderkey), {day} AS data_info
-FROM customer JOIN orders o ON c_custkey = o_custkey
-JOIN wide ON wide.o_orderkey = o.o_orderkey
-LEFT JOIN part ON p_partkey = o.o_orderkey * 3 % 2100
-LEFT JOIN nation ON n_nationkey = o_custkey % 27
-{where}"""
+WITH activity AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS code, p_brand || ' ' || p_name AS description FROM part),
+joined AS (
+  SELECT o_orderkey AS cnpj, c_name AS razao_social, o_orderstatus AS sigla_uf,
+         o_custkey % 27 AS id_municipio, n_name AS nome_municipio,
+         CAST(o_orderkey * 3 % 2100 AS VARCHAR) AS cnae_fiscal_principal,
+         description AS descricao_atividade_principal, {day} AS data_info,
+         {standins.CODE_LIST_SQL} AS list
+  FROM customer JOIN orders ON c_custkey = o_custkey
+  LEFT JOIN activity ON code = CAST(o_orderkey * 3 % 2100 AS VARCHAR)
+  LEFT JOIN nation ON n_nationkey = o_custkey % 27
+  {where}),
+numbered AS (
+  SELECT *, coalesce(len(string_split(list, ',')), 1) AS n,
+         coalesce(sum(coalesce(len(string_split(list, ',')), 1)) OVER (
+           PARTITION BY cnpj ORDER BY {order}
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM joined),
+items AS (
+  SELECT {keys}, before + i AS slot, string_split(list, ',')[i] AS item
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM numbered)),
+described AS (
+  SELECT items.*, item AS code, description
+  FROM items LEFT JOIN (SELECT code AS of, max(description) AS description FROM activity GROUP BY 1)
+  ON of = item)
+SELECT {keys}, {slots} FROM described GROUP BY {keys}"""
 
 
 def _inputs(spark, folder, companies_day, establishments_day):

@@ -287,12 +287,12 @@ def incremental_ingest(spark, folder):
 
 
 @query("""SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-ORDER BY o_orderdate, o_orderkey LIMIT 500 OFFSET 700""")
+ORDER BY o_orderdate, o_orderkey, o_custkey, o_totalprice LIMIT 500 OFFSET 700""")
 def row_range(spark, folder):
     orders = table(spark, folder, "orders")
     chunk = rows_in_range(
         orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
-        ["o_orderdate", "o_orderkey"],
+        ["o_orderdate", "o_orderkey", "o_custkey", "o_totalprice"],
         700,
         500,
     )
@@ -403,10 +403,9 @@ def load_registry(spark, folder):
 
 
 def _load(spark, folder):
-    raw = standins.publication(lambda name: table(spark, folder, name))
     root = scratch_path(spark, "publication")
-    for name, rows in raw.items():
-        _publish(rows, root, standins.file_name(name))
+    for name in TABLES:
+        _publish(standins.raw_table(spark, folder, name), root, standins.file_name(name))
     return load_publication(spark, root, _database(spark))
 
 

@@ -9,9 +9,10 @@ for the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.registry import table
 from regispark.schemas import TABLES
 
 
@@ -224,20 +225,24 @@ def dictionary_text(df: DataFrame, code: str, description: str) -> DataFrame:
     )
 
 
-def publication(tables) -> dict[str, DataFrame]:
-    """All ten registry tables as text; ``tables`` maps a name to a test table."""
-    return {
-        "empresa": company_text(tables("customer")),
-        "estabelecimento": establishment_text(tables("orders")),
-        "socios": partner_text(tables("lineitem")),
-        "simples": tax_regime_text(tables("orders")),
-        "cnae": activity_text(tables("part")),
-        "moti": dictionary_text(tables("supplier"), "s_suppkey", "s_name"),
-        "munic": dictionary_text(tables("nation"), "n_nationkey", "n_name"),
-        "natju": dictionary_text(tables("nation"), "n_nationkey", "n_name"),
-        "pais": dictionary_text(tables("region"), "r_regionkey", "r_name"),
-        "quals": dictionary_text(tables("supplier"), "s_suppkey", "s_name"),
-    }
+RENDERINGS = {
+    "empresa": ("customer", company_text),
+    "estabelecimento": ("orders", establishment_text),
+    "socios": ("lineitem", partner_text),
+    "simples": ("orders", tax_regime_text),
+    "cnae": ("part", activity_text),
+    "moti": ("supplier", lambda df: dictionary_text(df, "s_suppkey", "s_name")),
+    "munic": ("nation", lambda df: dictionary_text(df, "n_nationkey", "n_name")),
+    "natju": ("nation", lambda df: dictionary_text(df, "n_nationkey", "n_name")),
+    "pais": ("region", lambda df: dictionary_text(df, "r_regionkey", "r_name")),
+    "quals": ("supplier", lambda df: dictionary_text(df, "s_suppkey", "s_name")),
+}
+
+
+def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A registry table as text."""
+    source, render = RENDERINGS[name]
+    return render(table(spark, folder, source))
 
 
 def file_name(table_name: str, part: int = 0) -> str:

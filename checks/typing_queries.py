@@ -100,26 +100,22 @@ def full_key(spark, folder):
 
 @query(standins.TYPED_COMPANY_SQL)
 def typed_company(spark, folder):
-    text = standins.company_text(table(spark, folder, "customer"))
-    return type_table(text, TABLES["empresa"])
+    return type_table(standins.raw_table(spark, folder, "empresa"), TABLES["empresa"])
 
 
 @query(standins.TYPED_ESTABLISHMENT_SQL)
 def typed_establishment(spark, folder):
-    text = standins.establishment_text(table(spark, folder, "orders"))
-    return type_table(text, TABLES["estabelecimento"])
+    return type_table(standins.raw_table(spark, folder, "estabelecimento"), TABLES["estabelecimento"])
 
 
 @query(standins.TYPED_PARTNERS_SQL)
 def typed_partners(spark, folder):
-    text = standins.partner_text(table(spark, folder, "lineitem"))
-    return type_table(text, TABLES["socios"])
+    return type_table(standins.raw_table(spark, folder, "socios"), TABLES["socios"])
 
 
 @query(standins.TYPED_TAX_REGIME_SQL)
 def typed_tax_regime(spark, folder):
-    text = standins.tax_regime_text(table(spark, folder, "orders"))
-    return type_table(text, TABLES["simples"])
+    return type_table(standins.raw_table(spark, folder, "simples"), TABLES["simples"])
 
 
 @query("""
@@ -129,9 +125,8 @@ UNION ALL SELECT 'munic', CAST(n_nationkey AS VARCHAR), n_name FROM nation
 UNION ALL SELECT 'pais', CAST(r_regionkey AS VARCHAR), r_name FROM region
 UNION ALL SELECT 'quals', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""")
 def typed_dictionary(spark, folder):
-    raw = standins.publication(lambda name: table(spark, folder, name))
     parts = [
-        type_table(raw[name], TABLES[name]).select(
+        type_table(standins.raw_table(spark, folder, name), TABLES[name]).select(
             F.lit(name).alias("dictionary"), F.col("codigo").cast("string"), "descricao"
         )
         for name in ("cnae", "munic", "pais", "quals")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regispark.functions.values import padded_code
-from regispark.operators.joins import lookups
+from regispark.operators.joins import company_establishment, lookups
 from regispark.operators.sizing import BROADCAST_LIMIT
-from regispark.schemas import ACTIVITY_CODE_WIDTH, code_links
+from regispark.schemas import ACTIVITY_CODE_WIDTH, LINKS, code_links
 
 
 def enrich(
@@ -31,3 +31,23 @@ def enrich(
     if not steps:
         return df
     return lookups(df, steps, limit=limit).drop(*helpers)
+
+
+def related(source: str, target: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Left join along the declared base-key relationship of two tables.
+
+    Columns other than the key are prefixed with the name of their table.
+    """
+    (link,) = [
+        link
+        for link in LINKS
+        if (link.source, link.target) == (source, target) and link.column == link.target_column
+    ]
+    sides = [
+        df.select(
+            link.column,
+            *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c != link.column],
+        )
+        for name, df in ((source, tables[source]), (target, tables[target]))
+    ]
+    return company_establishment(*sides, link.column)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regispark.operators.sizing import HOT_ROWS, hot_values, is_one_of, with_place
 from regispark.session import materialize
@@ -14,6 +15,9 @@ ROW = "_row"
 # monotonically_increasing_id: partition number above bit 33, place in the partition below.
 PART_BITS = 33
 
+DIVISIONS = 64
+QUANTILE_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def row_numbers(
     df: DataFrame,
@@ -50,8 +54,28 @@ def sorted_runs(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> D
 
 
 def row_range(df: DataFrame, by: Sequence[str], skip: int, take: int) -> DataFrame:
-    """Rows ``skip`` to ``skip + take`` in the given order."""
-    return rows_between(sorted_runs(df, by), skip, take)
+    """Rows ``skip`` to ``skip + take`` in the given order.
+
+    Rows are first counted below some values of the leading column, which is all that this reads;
+    only the rows between the two values around the range are then read whole and sorted.
+    To go through a whole table chunk by chunk, sort it once: ``sorted_runs``, ``rows_between``.
+    """
+    low, high, before = None, None, 0
+    kind = df.schema[by[0]].dataType
+    for value, below in _counts_below(df, by[0]):
+        if below <= skip:
+            low, before = value, below
+        elif below >= skip + take:
+            high = value
+            break
+    lead = F.col(by[0])
+    if low is not None:
+        df = df.where(lead >= F.lit(low).cast(kind))
+    if high is not None:
+        under = lead < F.lit(high).cast(kind)
+        # NULLs sort first: they are part of a range without lower value.
+        df = df.where(under if low is not None else lead.isNull() | under)
+    return rows_between(sorted_runs(df, by), skip - before, take)
 
 
 def rows_between(runs: DataFrame, skip: int, take: int) -> DataFrame:
@@ -80,6 +104,22 @@ def rows_between(runs: DataFrame, skip: int, take: int) -> DataFrame:
     return chunk.drop(ROW)
 
 
+def _counts_below(df: DataFrame, column: str) -> list[tuple[object, int]]:
+    """Some values that divide the column about evenly, ascending, with the exact number of rows
+    that sort before each; none for types without quantiles."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, QUANTILE_TYPES):
+        return []
+    shares = [i / DIVISIONS for i in range(1, DIVISIONS)]
+    found = df.agg(F.percentile_approx(column, shares, 100 * DIVISIONS).alias("at")).first()["at"]
+    values = sorted(set(found or []))
+    if not values:
+        return []
+    c = F.col(column)
+    below = df.agg(*[F.count_if(c.isNull() | (c < F.lit(v).cast(kind))) for v in values]).first()
+    return list(zip(values, below))
+
+
 def _sorted(df: DataFrame, by: Sequence[str]) -> DataFrame:
     # The place, if there is one, is the last sort column: it lets copies of a row spread.
     ordered = df.sort(*by, *(c for c in df.columns if c == "_place")).drop("_place")

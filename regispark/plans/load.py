@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regispark.operators.prune import active_only, prune
 from regispark.operators.typing import split_rejected, type_table
 from regispark.schemas import DICTIONARIES, FACTS, FULL_KEY, KEY, TABLES
+from regispark.session import materialize
 from regispark.sinks.tables import analyze, drop_tables, swap_table, write_indexed
 from regispark.sources.delimited import scan_table
 
@@ -63,7 +64,8 @@ def load_publication(
     rejects: dict[str, DataFrame] = {}
     if on_error == "quarantine":
         for name, df in tables.items():
-            tables[name], rejects[name] = split_rejected(df)
+            # Parsed once for both the rows and the rejects.
+            tables[name], rejects[name] = split_rejected(materialize(df, name))
 
     establishments = tables[ESTABLISHMENT]
     if active:

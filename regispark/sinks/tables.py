@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from regispark.operators.sizing import HOT_ROWS, hot_values, with_place
 from regispark.sources.delimited import BLANKS, FORMAT
 
+# Fixed value: rows per insert.
 DATABASE_BATCH = 4096
+DATABASE_CONNECTIONS = 16
 
 
 def replace_table(df: DataFrame, table: str, *, partition_by: list[str] | None = None) -> None:
@@ -58,17 +60,20 @@ def clustered(df: DataFrame, *keys: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 def write_bucketed(
     df: DataFrame, table: str, key: str, buckets: int, hot_rows: int = HOT_ROWS
-) -> None:
+) -> bool:
     """Bucketed and sorted by key, so that joins on it need no shuffle.
 
-    A bucket is read by one task, which rules this layout out for a key with very many rows: use
-    ``clustered`` for such a table.
+    A bucket is read by one task. That rules it out where a key holds very many rows: such a
+    table is clustered instead, joins on it shuffle, and AQE can split the key. Returns whether
+    the table is bucketed.
     """
-    hot = hot_values(df, key, hot_rows)
-    if hot:
-        raise ValueError(f"{len(hot)} value(s) of {key} are too frequent to bucket {table} by it")
+    if hot_values(df, key, hot_rows):
+        spread = clustered(df, key, hot_rows=hot_rows)
+        spread.write.format("parquet").mode("overwrite").saveAsTable(table)
+        return False
     writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite")
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return True
 
 
 def analyze(spark: SparkSession, table: str, *columns: str) -> None:
@@ -94,11 +99,22 @@ def write_delimited(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> N
 
 
 def write_database(
-    df: DataFrame, url: str, table: str, *, batch: int = DATABASE_BATCH, **options: str
+    df: DataFrame,
+    url: str,
+    table: str,
+    *,
+    batch: int = DATABASE_BATCH,
+    connections: int = DATABASE_CONNECTIONS,
+    **options: str,
 ) -> None:
-    """Append rows to a database table in batches; each task writes its own partition."""
+    """Append rows to a database table in batches, over at most ``connections`` at a time.
+
+    A task that is run again inserts its rows again: give ``table`` a staging name and move the
+    rows inside the database where that matters.
+    """
     writer = df.write.format("jdbc").mode("append")
-    writer.options(url=url, dbtable=table, batchsize=batch, **options).save()
+    target = {"url": url, "dbtable": table, "batchsize": batch, "numPartitions": connections}
+    writer.options(**target, **options).save()
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -65,8 +65,8 @@ def scan_archives(
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    # One archive or member per task; a count, so that AQE does not merge these tiny rows.
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    # One archive or member per task; a fixed count, so that AQE does not merge these tiny rows.
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _open(path: str):

@@ -196,6 +196,18 @@ def test_row_range(spark, skip, take):
     assert sorted(got) == list(range(skip, min(skip + take, 1000)))
 
 
+@pytest.mark.parametrize("skip", [0, 240, 260, 600, 990])
+def test_row_range_with_nulls_and_a_hot_value(spark, skip):
+    lead = "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 3 = 0 THEN 500 ELSE id END AS v"
+    df = spark.range(1000).selectExpr(lead, "id")
+    order = sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = sorted(
+        map(tuple, row_range(df, ["v", "id"], skip, 100).collect()),
+        key=lambda r: (r[0] is not None, r[0] or 0, r[1]),
+    )
+    assert got == order[skip : skip + 100]
+
+
 def test_chunks_cover_everything_once(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("v"), "id")
     runs = sorted_runs(df, ["v", "id"])
