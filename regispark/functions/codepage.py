@@ -25,10 +25,12 @@ def cp1252(raw: Column) -> Column:
 def controls_to_cp1252(decoded: Column) -> Column:
     """Maps what an ISO-8859-1 reader made of bytes 0x80-0x9F.
 
-    ASCII text, nearly all of it, has as many bytes as characters and skips the mapping.
+    Mapping goes character by character, so lines without such a byte, nearly all, skip it. In
+    UTF-8 they start with C2, as do the signs up to U+00BF: two searches, the cheap one first.
     """
     mapped = F.translate(decoded, LATIN1_CONTROLS, CP1252_CHARS)
-    return F.when(F.octet_length(decoded) > F.length(decoded), mapped).otherwise(decoded)
+    possible = F.contains(decoded.cast("binary"), F.lit(b"\xc2"))
+    return F.when(possible & decoded.rlike("[\x80-\x9f]"), mapped).otherwise(decoded)
 
 
 def strip_nul(c: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
 from regispark.operators.prune import active_only, prune
@@ -11,6 +9,7 @@ from regispark.operators.typing import split_rejected, type_table
 from regispark.schemas import DICTIONARIES, FACTS, FULL_KEY, KEY, TABLES
 from regispark.session import materialize
 from regispark.sinks.tables import analyze, drop_tables, swap_table, write_indexed
+from regispark.sources.archives import scan_archived_table
 from regispark.sources.delimited import scan_table
 
 ESTABLISHMENT = "estabelecimento"
@@ -23,17 +22,14 @@ def read_publication(
     folder: str,
     *,
     on_error: str = "fail",
-    na_tokens: Sequence[str] = (),
+    archived: bool = False,
     **scan_options,
 ) -> dict[str, DataFrame]:
-    """Typed tables of a folder of extracted files; nothing runs yet."""
+    """Typed tables of a folder of files, or of the archives they come in; nothing runs yet."""
+    read = scan_archived_table if archived else scan_table
     return {
         name: type_table(
-            scan_table(
-                spark, folder, table, on_error=on_error, na_tokens=na_tokens, **scan_options
-            ),
-            table,
-            on_error,
+            read(spark, folder, table, on_error=on_error, **scan_options), table, on_error
         )
         for name, table in TABLES.items()
     }
@@ -47,7 +43,7 @@ def load_publication(
     active: bool = True,
     exclude_special: bool = False,
     on_error: str = "fail",
-    na_tokens: Sequence[str] = (),
+    archived: bool = False,
     **scan_options,
 ) -> dict[str, DataFrame]:
     """Read a publication and replace the tables of ``database`` with it.
@@ -59,7 +55,7 @@ def load_publication(
     ``<table>__rejects``.
     """
     tables = read_publication(
-        spark, folder, on_error=on_error, na_tokens=na_tokens, **scan_options
+        spark, folder, on_error=on_error, archived=archived, **scan_options
     )
     rejects: dict[str, DataFrame] = {}
     if on_error == "quarantine":

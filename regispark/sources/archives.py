@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regispark.sources.delimited import parse_lines
+from regispark.schemas import Table
+from regispark.sources.delimited import parse_lines, without_missing
 from regispark.sources.files import list_files
 
 BLOCK_BYTES = 4 * 1024 * 1024
@@ -33,9 +34,18 @@ def list_members(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataF
     return _spread(archives).mapInPandas(_members, MEMBERS)
 
 
-def expand_archives(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
-    """``(archive, member, block, data, error)``: members as blocks of whole lines."""
-    return _spread(list_members(spark, folder, glob)).mapInPandas(_blocks, BLOCKS)
+def expand_archives(
+    spark: SparkSession, folder: str, glob: str = "*.zip", containing: str = ""
+) -> DataFrame:
+    """``(archive, member, block, data, error)``: members as blocks of whole lines.
+
+    ``containing`` picks members by a part of their name; only these are inflated.
+    """
+    members = list_members(spark, folder, glob)
+    if containing:
+        name = F.element_at(F.split("member", "/"), -1)
+        members = members.where(F.col("member").isNull() | name.contains(containing))
+    return _spread(members).mapInPandas(_blocks, BLOCKS)
 
 
 def archive_report(blocks: DataFrame) -> DataFrame:
@@ -57,11 +67,25 @@ def archive_lines(blocks: DataFrame) -> DataFrame:
 
 
 def scan_archives(
-    spark: SparkSession, folder: str, names: list[str], glob: str = "*.zip", **options
+    spark: SparkSession,
+    folder: str,
+    names: list[str],
+    *,
+    containing: str = "",
+    na_tokens: Sequence[str] = (),
+    **options,
 ) -> DataFrame:
-    """Staging rows straight from archives; options as for ``delimited.parse_lines``."""
-    lines = archive_lines(expand_archives(spark, folder, glob))
-    return parse_lines(lines, names, decoded=True, **options)
+    """Staging rows straight from archives; options as for ``delimited.parse_lines``.
+
+    Unreadable archives give no rows: ``archive_report`` names them.
+    """
+    lines = archive_lines(expand_archives(spark, folder, containing=containing))
+    return without_missing(parse_lines(lines, names, decoded=True, **options), names, na_tokens)
+
+
+def scan_archived_table(spark: SparkSession, folder: str, table: Table, **options) -> DataFrame:
+    """Staging rows of every archived file whose name holds the table's token."""
+    return scan_archives(spark, folder, table.names, containing=table.token, **options)
 
 
 def _spread(df: DataFrame) -> DataFrame:

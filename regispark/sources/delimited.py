@@ -66,8 +66,7 @@ def scan(
             keep=[FILE],
         )
     rows = rows.where(~F.lower(FILE).endswith(".tmp.csv"))
-    if na_tokens:
-        rows = rows.withColumns({c: missing_to_null(F.col(c), na_tokens) for c in names})
+    rows = without_missing(rows, names, na_tokens)
     return rows if file_column else rows.drop(FILE)
 
 
@@ -87,14 +86,14 @@ def parse_lines(
     """
     text = F.col(line) if decoded else latin1(F.col(line))
     clean = clean_line(text, encoding)
-    lines = lines.where(F.length(F.trim(F.col(line), F.lit(" \r\x00"))) > 0)
+    lines = lines.where(F.ltrim(F.col(line), F.lit(" \r\x00")) != "")
     parsed = F.inline(F.array(_from_csv(clean, names, on_error)))
     return lines.select(*keep, parsed)
 
 
 def clean_line(latin1_line: Column, encoding: str = "cp1252") -> Column:
     """Line in its real encoding, without NULs and without the CR of a CRLF ending."""
-    return F.rtrim(_recode(latin1_line, encoding), F.lit("\r"))
+    return _without_cr(_recode(latin1_line, encoding))
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,6 +107,13 @@ def missing_to_null(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
     return F.when(~c.isin(list(tokens)), c)
 
 
+def without_missing(rows: DataFrame, names: Sequence[str], tokens: Sequence[str]) -> DataFrame:
+    """NULL for the given tokens in all named columns; without tokens nothing changes."""
+    if not tokens:
+        return rows
+    return rows.withColumns({c: missing_to_null(F.col(c), tokens) for c in names})
+
+
 def scan_table(spark: SparkSession, folder: str, table: Table, **options) -> DataFrame:
     """Staging rows of every file in a folder whose name holds the table's token."""
     return scan(spark, folder, table.names, glob=f"*{table.token}*", **options)
@@ -119,6 +125,10 @@ def _recode(latin1_text: Column, encoding: str) -> Column:
     return strip_nul(controls_to_cp1252(latin1_text) if encoding == "cp1252" else latin1_text)
 
 
+def _without_cr(c: Column) -> Column:
+    return F.when(c.endswith("\r"), c.substr(F.lit(1), F.length(c) - 1)).otherwise(c)
+
+
 def _from_csv(line: Column, names: Sequence[str], on_error: str) -> Column:
     columns = [f"`{name}` string" for name in names]
     options = dict(PARSE)
@@ -150,5 +160,5 @@ def _scan_multiline(
     rows = reader.schema(schema).csv(paths if isinstance(paths, str) else list(paths))
 
     cleaned = {c: _recode(F.col(c), encoding) for c in names}
-    cleaned[names[-1]] = F.rtrim(cleaned[names[-1]], F.lit("\r"))
+    cleaned[names[-1]] = _without_cr(cleaned[names[-1]])
     return rows.withColumns(cleaned).withColumn(FILE, F.col("_metadata.file_name"))

@@ -274,6 +274,21 @@ def test_load(spark, tmp_path, database):
     assert (first.cnae_secundario_2, first.descricao_atividade_secundaria_2) == ("9999999", None)
 
 
+def test_load_from_archives(spark, tmp_path, database):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    publication(folder)
+    zips = tmp_path / "zips"
+    zips.mkdir()
+    for file in folder.iterdir():
+        if not file.name.endswith(".tmp.csv"):
+            zipped(zips / f"{file.name}.zip", {file.name: file.read_bytes()})
+    loaded = load_publication(spark, str(zips), database, archived=True)
+    assert loaded["empresa"].count() == 2
+    assert {r.cnpj for r in loaded["estabelecimento"].collect()} == {"00000001000191", "00000004000191"}
+    assert {r.razao_social for r in loaded["empresa"].collect()} == {"Água Ltda", "€ DUPLA"}
+
+
 def test_load_options(spark, tmp_path, database):
     folder = tmp_path / "files"
     folder.mkdir()

@@ -42,6 +42,11 @@ def test_line(spark, tmp_path, line, want):
     assert read(spark, write(tmp_path, line + b"\n\n")) == [want]
 
 
+def test_blank_lines_are_skipped(spark, tmp_path):
+    path = write(tmp_path, b"\n1;x;y\n  \r\n\x00\x00\n\r\n2;;\n;;\n")
+    assert read(spark, path) == [("1", "x", "y"), ("2", None, None), (None, None, None)]
+
+
 def test_files_are_unioned_with_duplicates(spark, tmp_path):
     write(tmp_path, b"1;x;y\n1;x;y\n", "a.csv")
     write(tmp_path, b"1;x;y\n", "b.csv")
