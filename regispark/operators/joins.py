@@ -107,5 +107,12 @@ def having_key(df: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_L
     Few keys are broadcast and ``df`` is not shuffled. Otherwise both sides are shuffled straight
     from scans, which lets AQE split a key that holds a large part of ``df``.
     """
+    return having_keys({"": df}, keys, on, limit)[""]
+
+
+def having_keys(
+    tables: dict[str, DataFrame], keys: DataFrame, on: str, limit: int = BROADCAST_LIMIT
+) -> dict[str, DataFrame]:
+    """``having_key`` for several tables, the keys measured once."""
     ((side, _),) = broadcast_if_small(keys, limit=limit)
-    return df.join(side, on, "left_semi")
+    return {name: df.join(side, on, "left_semi") for name, df in tables.items()}

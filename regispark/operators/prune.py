@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regispark.operators.joins import having_key, key_set
+from regispark.operators.joins import having_keys, key_set
 from regispark.operators.sizing import BROADCAST_LIMIT
 from regispark.schemas import ACTIVE_STATUS, KEY
 
@@ -33,5 +33,4 @@ def prune(
     limit: int = BROADCAST_LIMIT,
 ) -> dict[str, DataFrame]:
     """Semi-join every table to the keys of ``active``; duplicates of a key do not multiply rows."""
-    keys = key_set(active, key)
-    return {name: having_key(df, keys, key, limit) for name, df in tables.items()}
+    return having_keys(tables, key_set(active, key), key, limit)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from regispark.operators.prune import active_only, prune
@@ -15,6 +18,7 @@ from regispark.sources.delimited import scan_table
 ESTABLISHMENT = "estabelecimento"
 REJECTS = "__rejects"
 FRESH = "__new"
+JOBS_AT_ONCE = 4
 
 
 def read_publication(
@@ -67,27 +71,37 @@ def load_publication(
     if active:
         establishments = active_only(establishments, exclude_special=exclude_special)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    _write(establishments, f"{database}.{ESTABLISHMENT}{FRESH}", KEY, FULL_KEY)
+    dictionaries = {name: tables[name] for name in DICTIONARIES}
+    _write_all(database, {ESTABLISHMENT: establishments, **dictionaries})
     others = {name: tables[name] for name in FACTS if name != ESTABLISHMENT}
     if active:
         written = spark.table(f"{database}.{ESTABLISHMENT}{FRESH}")
         others = prune(others, written)
-    for name, df in others.items():
-        _write(df, f"{database}.{name}{FRESH}", KEY)
-    for name in DICTIONARIES:
-        _write(tables[name], f"{database}.{name}{FRESH}")
-    for name, df in rejects.items():
-        _write(df, f"{database}.{name}{REJECTS}{FRESH}")
-
-    for name in [*TABLES, *(f"{name}{REJECTS}" for name in rejects)]:
+    rejects = {f"{name}{REJECTS}": df for name, df in rejects.items()}
+    _write_all(database, others | rejects)
+
+    for name in [*TABLES, *rejects]:
         swap_table(spark, f"{database}.{name}{FRESH}", f"{database}.{name}")
-    for name in FACTS:
-        analyze(spark, f"{database}.{name}", KEY)
-    for name in DICTIONARIES:
-        analyze(spark, f"{database}.{name}")
+    _at_once(lambda name: analyze(spark, f"{database}.{name}", *_keys(name)), list(TABLES))
     return {name: spark.table(f"{database}.{name}") for name in TABLES}
 
 
-def _write(df: DataFrame, table: str, *keys: str) -> None:
-    drop_tables(df.sparkSession, table)
-    write_indexed(df, table, *keys)
+def _write_all(database: str, tables: dict[str, DataFrame]) -> None:
+    def write(name: str) -> None:
+        fresh = f"{database}.{name}{FRESH}"
+        drop_tables(tables[name].sparkSession, fresh)
+        write_indexed(tables[name], fresh, *_keys(name))
+
+    _at_once(write, list(tables))
+
+
+def _keys(name: str) -> list[str]:
+    if name not in FACTS:
+        return []
+    return [KEY, FULL_KEY] if name == ESTABLISHMENT else [KEY]
+
+
+def _at_once(run: Callable[[str], None], names: list[str]) -> None:
+    """Independent jobs submitted together: the last tasks of one leave no executor idle."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(run, names))
