@@ -44,7 +44,9 @@ def date(c: Column, on_error: str = FAIL) -> Column:
     """``yyyyMMdd`` to date. Anything but eight digits, and 00000000, is NULL; eight digits that
     name no day of a year from 1 on are an error."""
     raw = F.when(c.rlike(EIGHT_DIGITS) & (c != EMPTY_DATE), c)
-    day = F.when(~raw.startswith("0000"), F.try_to_date(raw, "yyyyMMdd"))
+    # As ISO text it is cast directly, which is faster than a date format.
+    iso = F.concat(raw.substr(1, 4), F.lit("-"), raw.substr(5, 2), F.lit("-"), raw.substr(7, 2))
+    day = F.when(~raw.startswith("0000"), iso.try_cast("date"))
     return _or_fail(raw, day, "date", on_error)
 
 
