@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +62,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors, once per Spark context.
+
+    Functions that run in Python workers are pickled by name, so the workers must be able to
+    import this package wherever the driver found it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.writestr(str(Path(package.name) / path.relative_to(package)), path.read_bytes())
+    folder = tempfile.mkdtemp(prefix="regispark-")  # the driver serves the file from here
+    target = os.path.join(folder, f"{package.name}.zip")
+    Path(target).write_bytes(held.getvalue())
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
