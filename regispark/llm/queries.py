@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regispark.llm import binary, bpe, chat, fingerprint, language, quality
+from regispark.llm import binary, bpe, chat, fingerprint, html, language, lines, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Bucket, batch and place of every document, by its words."""
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
 @query()
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
@@ -89,6 +95,13 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+@query()
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html.extracted(pages, html.learn(pages))
+
+
 @query()
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
@@ -125,6 +138,12 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted(chats.unionByName(one)))
 
 
+@query()
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text without later copies of repeated runs of lines."""
+    return lines.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query()
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents written to token files and read back."""
