@@ -172,3 +172,13 @@ def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         F.coalesce(F.size(split), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_deleted"),
     )
+
+
+def without_copies(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """Documents without later copies of repeated runs, with ``n_chars`` of the text that is left and
+    their other columns as they were. A document that was nothing but later copies goes; one that
+    had no word to begin with stays."""
+    done = deduplicated(docs, least)
+    left = F.length(F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\x0c\r", "")) > 0
+    kept = done.where((F.col("n_deleted") == 0) | left)
+    return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)

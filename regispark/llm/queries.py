@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regispark.llm import binary, bpe, chat, fingerprint, html, language, lines, packing, quality
+from regispark.llm import binary, bpe, chat, fingerprint, html, language, lines, ngram_join, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles and component of near copies of every document."""
+    return ngram_join.linked_components(table(spark, folder, "documents"))
+
+
 @query()
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Bucket, batch and place of every document, by its words."""
