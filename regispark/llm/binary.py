@@ -17,7 +17,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regispark.llm.frames import scratch_path, ship, small_batches
-from regispark.llm.units import UnitCache
+from regispark.llm.units import WHOLE, UnitCache, text_of
 
 NULL_KEY = -(1 << 63)
 PART = "part int, name string, docs bigint, tokens bigint"
@@ -45,25 +45,59 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+#: Units in one text for the tokenizer, and units in one call.
+TOGETHER, BATCH = 64, 4096
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> UnitCache:
+    """The tokenizers library behind a cache of units.
+
+    Units are encoded many in one text: those that open with a blank one after the other, all
+    others after a line feed each. Only the first id of a unit stands for a token that opens with
+    a blank, or is the line feed, so the ids fall apart again at those.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-
-    def many(texts: list[str]) -> list[bytes]:
-        out = []
-        for start in range(0, len(texts), 4096):
-            found = tokenizer.encode_batch_fast(texts[start : start + 4096], add_special_tokens=False)
-            out += [np.array(x.ids, "<u4").tobytes() for x in found]
+    blank, feed = (tokenizer.encode(c, add_special_tokens=False).tokens[0][0] for c in " \n")
+    vocabulary = tokenizer.get_vocab()
+    opens = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in (blank, feed)}
+    for token, id in vocabulary.items():
+        for c, known in opens.items():
+            known[id] = token[0] == c
+
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def together(texts: list[str], first: str, skip: int) -> Iterator[bytes]:
+        for at in range(0, len(texts), BATCH):
+            some = texts[at : at + BATCH]
+            joined = ["".join(some[k : k + TOGETHER]) for k in range(0, len(some), TOGETHER)]
+            encoded = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.array([*chain.from_iterable(e.ids for e in encoded)], "<u4")
+            starts = np.nonzero(opens[first][ids])[0] * 4
+            if len(starts) == len(some):
+                raw, ends = ids.tobytes(), [*starts[1:].tolist(), 4 * len(ids)]
+                yield from (raw[a + 4 * skip : b] for a, b in zip(starts.tolist(), ends))
+            else:  # a unit that does not fall apart as described
+                yield from (ids_of(t).tobytes()[4 * skip :] for t in some)
+
+    def many(units: list[str]) -> list[bytes]:
+        kinds = {"\n": [], WHOLE: [], "": []}
+        for k, unit in enumerate(units):
+            kinds[unit[0] if unit[0] in kinds else ""].append(k)
+        out = [b""] * len(units)
+        for kind, first, skip in (("\n", feed, 0), (WHOLE, feed, 1), ("", blank, 0)):
+            own = [text_of(units[k]) for k in kinds[kind]]
+            own = ["\n" + t for t in own] if skip else own
+            for k, ids in zip(kinds[kind], together(own, first, skip)):
+                out[k] = ids
         return out
 
-    def one(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    return UnitCache(many, one)
+    return UnitCache(many, lambda text: ids_of(text).tobytes())
 
 
 def write_token_files(
@@ -199,7 +233,7 @@ def token_ids(manifest: DataFrame, folder: str) -> DataFrame:
     return manifest.mapInArrow(run, "doc_id bigint, ids binary")
 
 
-def documents_read_back(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 32) -> DataFrame:
+def documents_read_back(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 16) -> DataFrame:
     """Writes a token folder below the shared scratch folder and reads its documents back."""
     folder = scratch_path(docs.sparkSession, "tokens")
     return read_token_files(write_token_files(docs, folder, tokenizer_path, end_id, width=width), folder)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regispark.llm.frames import ship, small_batches
-from regispark.llm.units import CACHED, UnitCache
+from regispark.llm.units import CACHED, UnitCache, text_of
 
 #: Longest piece, in bytes, that runs together with others.
 TOGETHER = 64
@@ -188,6 +188,9 @@ class Encoder:
             self.pieces.update((piece, i) for (_, piece, _), i in zip(some, ids))
 
     def _units(self, units: Sequence[str]) -> list[bytes]:
+        return self._cut([*map(text_of, units)])
+
+    def _cut(self, units: Sequence[str]) -> list[bytes]:
         if len(self.pieces) > self.limit:
             self.pieces.clear()
         cut = [*map(self.matches, units)]
@@ -195,7 +198,7 @@ class Encoder:
         return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
 
     def _odd(self, text: str) -> bytes:
-        return self._units([text])[0]
+        return self._cut([text])[0]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit bytes."""

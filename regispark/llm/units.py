@@ -6,9 +6,11 @@ import re
 from collections.abc import Callable, Iterable, Sequence
 
 #: White space other than blank and line feed, and NUL: such texts are not cut at blanks.
-ODD = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-#: Units kept by a cache before it starts afresh, so that a worker's memory stays bounded.
-CACHED = 600_000
+ODD = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+#: Units of a generation of a cache; two are kept, so that a worker's memory stays bounded.
+CACHED = 500_000
+#: Marks that end a match of their own after a letter or digit.
+TAILS = ".,"
 #: Marks a unit that stands for itself; others have lost a leading blank.
 WHOLE = "\x00"
 
@@ -37,10 +39,12 @@ def text_of(unit: str) -> str:
 
 
 class UnitCache:
-    """Encodes texts from the ids of their units; each unit is encoded once while it is kept.
+    """Encodes texts from the ids of their units, which are kept in two generations.
 
-    ``encode_units`` takes unit texts and returns their ids, each as little-endian 32-bit bytes;
-    ``encode_odd`` does the same for a whole text that cannot be cut at blanks.
+    When the younger one is full it becomes the older one, and the older one goes; a unit found in the
+    older one moves up, so frequent units stay. ``encode_units`` takes units (see ``text_of``) and
+    returns their ids, each as little-endian 32-bit bytes; ``encode_odd`` does the same for a whole
+    text that cannot be cut at blanks.
     """
 
     def __init__(
@@ -51,24 +55,36 @@ class UnitCache:
     ):
         self.encode_units, self.encode_odd, self.limit = encode_units, encode_odd, limit
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+
+    def _learn(self, units: set[str]) -> None:
+        """Puts units among the known; a full stop or comma after a letter or digit is encoded by itself."""
+        known = self.known
+        tailed = [u for u in units if u[-1] in TAILS and u[-2:-1].isalnum()]
+        plain = units.difference(tailed)
+        plain.update(u[:-1] for u in tailed)
+        plain.difference_update(known)
+        older = self.older.get
+        up = {u: ids for u in plain if (ids := older(u)) is not None}
+        known.update(up)
+        new = list(plain.difference(up))
+        known.update(zip(new, self.encode_units(new)))
+        if tailed and not self.tails:
+            self.tails.update(zip(TAILS, self.encode_units([WHOLE + c for c in TAILS])))
+        known.update((u, known[u[:-1]] + self.tails[u[-1]]) for u in tailed)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         cut = [units_of(text) for text in texts]
-        found = [None if units is None else [*map(self.known.get, units)] for units in cut]
+        known = self.known
+        found = [None if units is None else [*map(known.get, units)] for units in cut]
         short = [k for k, ids in enumerate(found) if ids is not None and None in ids]
         if short:
-            new = set()
-            for k in short:
-                new.update(cut[k])
-            new.difference_update(self.known)
-            if len(self.known) + len(new) > self.limit:
-                self.known.clear()
-                for k in short:
-                    new.update(cut[k])
-            units = list(new)
-            self.known.update(zip(units, self.encode_units([text_of(u) for u in units])))
+            self._learn({u for k in short for u, ids in zip(cut[k], found[k]) if ids is None})
             for k in short:
-                found[k] = [*map(self.known.__getitem__, cut[k])]
+                found[k] = [*map(known.__getitem__, cut[k])]
+        if len(known) > self.limit:
+            self.known, self.older = {}, known
         return [
             self.encode_odd(text) if ids is None else b"".join(ids)
             for text, ids in zip(texts, found)
