@@ -140,18 +140,22 @@ def listed_length(n: int, percent: int = PERCENT) -> int:
 
 
 def groups_for(n: int) -> int:
-    """Groups for a set of n shingles, a power of two: about four to eight shingles a group."""
-    return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << max(0, (n // 8)).bit_length()))
+    """Groups for a set of n shingles, a power of two: at most one shingle a group on average, so that
+    the points of unlike sets share far less than they need."""
+    return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << max(0, n - 1).bit_length()))
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
     groups = groups_for(len(shingles))
-    return np.bincount((shingles & np.uint64(groups - 1)).astype(np.intp), minlength=groups).astype(np.uint32)
+    return np.bincount((shingles & np.uint64(groups - 1)).astype(np.intp), minlength=groups)
 
 
 def folded(points: np.ndarray, groups: int) -> np.ndarray:
     """Points over fewer groups: a group's number loses its high bits."""
-    return points.reshape(points.shape[0], -1, groups).sum(1, dtype=np.uint32)
+    if points.shape[1] == groups:
+        return points
+    halves = points.reshape(points.shape[0], -1, groups).sum(1, dtype=np.uint32)
+    return halves.astype(np.uint8) if halves.max(initial=0) < 256 else halves
 
 
 def bounds(points: np.ndarray, a: np.ndarray, boxes: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,7 +173,7 @@ class CountTree:
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         sign = np.random.default_rng(7).choice((-1, 1), points.shape[1])
         slab = np.argsort(np.argsort(sizes, kind="stable"), kind="stable") // (FAN * FAN)
-        self.order = np.lexsort((points.astype(np.int64) @ sign, slab))
+        self.order = np.lexsort((points @ sign, slab))
         box, low, high = points[self.order], sizes[self.order], sizes[self.order]
         self.levels = [(box, low, high)]
         while len(low) > 1:
@@ -228,7 +232,8 @@ def _stored(counts: np.ndarray) -> bytes:
 
 
 def _loaded(stored: bytes) -> np.ndarray:
-    return np.frombuffer(stored, np.uint8 if stored[0] == 1 else "<u4", offset=1).astype(np.uint32)
+    """Counts, at most 255 in bytes; sums over them are taken in wider numbers."""
+    return np.frombuffer(stored, np.uint8 if stored[0] == 1 else "<u4", offset=1)
 
 
 def _shared(documents: DataFrame, percent: int) -> DataFrame:
@@ -281,7 +286,8 @@ def _near(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             for p, q in zip(left, right):
                 groups = min(len(p), len(q))
                 p, q = folded(p[None], groups)[0], folded(q[None], groups)[0]
-                keep.append(int(np.minimum(p, q).sum()) >= overlap_needed(int(p.sum()), int(q.sum()), percent))
+                common = int(np.minimum(p, q).sum(dtype=np.int64))
+                keep.append(common >= overlap_needed(int(p.sum(dtype=np.int64)), int(q.sum(dtype=np.int64)), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     one = points.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p_a"))
