@@ -26,9 +26,9 @@ PRIMES = (2147483647, 2147483629)
 BASE = 1000003
 #: Code points of a span; shorter texts are one span.
 SPAN = 16
-#: Lanes of a fingerprint, each 32 bits or eight hexadecimal digits.
+#: Lanes of a fingerprint, each 16 bits or four hexadecimal digits.
 LANES = 64
-EMPTY = 0xFFFFFFFF
+EMPTY = 0xFFFF
 #: Ids of a range in which neighbours are looked up by one task.
 RANGE_IDS = 50_000
 
@@ -112,20 +112,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def lanes(hashes: PrefixHashes) -> np.ndarray:
     """Smallest mixed span hash of each lane."""
     size = min(SPAN, hashes.length)
-    kept = np.full(LANES, EMPTY, np.uint32)
+    kept = np.full(LANES, np.iinfo(np.uint64).max, np.uint64)
     if size:
-        mixed = _mixed(hashes.spans(size))
-        low = np.minimum(mixed >> np.uint64(32), EMPTY - 1).astype(np.uint32)
-        np.minimum.at(kept, (mixed % np.uint64(LANES)).astype(np.intp), low)
-    return kept
+        mixed = np.minimum(_mixed(hashes.spans(size)), np.iinfo(np.uint64).max - np.uint64(1))
+        np.minimum.at(kept, (mixed & np.uint64(LANES - 1)).astype(np.intp), mixed)
+    # The smallest hash of each lane stands for it; its middle bits, below EMPTY, are what is written.
+    short = (kept >> np.uint64(16)) % np.uint64(EMPTY)
+    return np.where(kept == np.iinfo(np.uint64).max, np.uint64(EMPTY), short).astype(np.uint16)
 
 
 def written(kept: np.ndarray) -> str:
-    return kept.astype(">u4").tobytes().hex()
+    return kept.astype(">u2").tobytes().hex()
 
 
 def read(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u4")
+    return np.frombuffer(bytes.fromhex(fingerprint), ">u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -199,73 +200,49 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
     text has the smallest hash (then text) counts. A lone document is its own next one.
     """
     spark = docs.sparkSession
-    ship(spark)
-    small_batches(spark)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).where(
         "doc_id is not null"
     )
-    sizes = rows.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.xxhash64("text").alias("h"))
-    sizes = sizes.groupBy("doc_id").agg(
-        F.min(F.struct("h", "n_chars")).alias("chosen"), F.count(F.lit(1)).alias("rows")
+    told = fingerprints(rows.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("h"))), "key").select(
+        "id.doc_id", "id.h", "n_chars", "fingerprint"
     )
-    sizes = materialize(sizes.select("doc_id", "chosen.h", "chosen.n_chars", "rows"), "sizes")
-    beside = materialize(neighbours(sizes.select("doc_id", "n_chars")), "beside")
-    if not sizes.where("rows > 1").isEmpty():
-        keep = sizes.select("doc_id", "h")
-        rows = rows.withColumn("h", F.xxhash64("text")).join(keep, ["doc_id", "h"]).groupBy("doc_id").agg(
-            F.min("text").alias("text")
-        )
-    # Every document sends to its predecessor the code points that the predecessor takes over.
+    told = materialize(told, "fingerprints")
+    if not told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
+        first = F.min(F.struct("h", "n_chars", "fingerprint")).alias("x")
+        told = materialize(told.groupBy("doc_id").agg(first).select("doc_id", "x.*"), "fingerprints")
+        rows = rows.withColumn("h", F.xxhash64("text")).join(told.select("doc_id", "h"), ["doc_id", "h"])
+        rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+    beside = neighbours(told.select("doc_id", "n_chars")).join(told.select("doc_id", "fingerprint"), "doc_id")
+    beside = materialize(beside, "beside")
+    # Every document sends to its predecessor the code points that the predecessor takes over, and
+    # its fingerprint; whole texts are shuffled once.
     heads = rows.join(beside, "doc_id").select(
         F.col("previous_id").alias("doc_id"),
         F.substring("text", F.lit(1), F.floor(F.col("previous_chars") / 4).cast("int")).alias("head"),
+        F.col("fingerprint").alias("next_fingerprint"),
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for key, text, head in zip(*(c.to_pylist() for c in batch.columns)):
-                edited = text[: len(text) - len(text) // 4] + head
-                own, other = PrefixHashes(text), PrefixHashes(edited)
-                a, b = lanes(own), lanes(other)
-                out.append({
-                    "doc_id": key, "n_chars": own.length,
-                    "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
-                    "fingerprint": written(a), "edited_fingerprint": written(b),
-                    "near_edited": likeness(a, b), "common_prefix": common_extension(own, 0, other, 0),
-                })
-            yield pa.RecordBatch.from_pylist(out, MADE)
-
-    made = rows.join(heads, "doc_id").select("doc_id", "text", "head").mapInArrow(
-        run,
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, common_prefix bigint",
-    )
-    made = materialize(made, "fingerprints")
-    following = beside.select("doc_id", "next_id").join(
-        made.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint")), "next_id"
-    )
-    compared = made.join(following, "doc_id")
-    return compared.mapInArrow(_near_next, RESULT)
+    ship(spark)
+    small_batches(spark)
+    return rows.join(heads, "doc_id").select("doc_id", "text", "head", "next_fingerprint").mapInArrow(_edited, RESULT)
 
 
-MADE = pa.schema([
-    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-    ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("common_prefix", pa.int64()),
-])
 RESULT = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, common_prefix bigint"
 )
+COLUMNS = [part.split()[0] for part in RESULT.split(", ")]
 
 
-def _near_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = dict(zip(batch.schema.names, batch.columns))
-        near = [
-            likeness(read(a), read(b))
-            for a, b in zip(column["fingerprint"].to_pylist(), column["next_fingerprint"].to_pylist())
-        ]
-        column["near_next"] = pa.array(near, pa.float64())
-        names = [part.split()[0] for part in RESULT.split(", ")]
-        yield pa.RecordBatch.from_arrays([column[n] for n in names], names)
+        out = []
+        for key, text, head, following in zip(*(c.to_pylist() for c in batch.columns)):
+            edited = text[: len(text) - len(text) // 4] + head
+            own, other = PrefixHashes(text), PrefixHashes(edited)
+            a, b = lanes(own), lanes(other)
+            out.append((
+                key, own.length, hashlib.sha256(edited.encode()).hexdigest(), written(a), written(b),
+                likeness(a, b), likeness(a, read(following)), common_extension(own, 0, other, 0),
+            ))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], COLUMNS)
