@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regispark.llm.frames import materialize, ship, small_batches
@@ -29,8 +29,6 @@ SPAN = 16
 #: Lanes of a fingerprint, each 16 bits or four hexadecimal digits.
 LANES = 64
 EMPTY = 0xFFFF
-#: Ids of a range in which neighbours are looked up by one task.
-RANGE_IDS = 50_000
 
 _powers = {p: np.ones(1, np.uint64) for p in PRIMES}
 _inverse = {p: np.ones(1, np.uint64) for p in PRIMES}
@@ -155,40 +153,6 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return docs.select(id, text).mapInArrow(run, f"id {kind}, n_chars bigint, fingerprint string")
 
 
-def neighbours(ids: DataFrame) -> DataFrame:
-    """``doc_id`` with the next and the previous id in ascending order, both cyclic, and ``n_chars``
-    of the previous one as ``previous_chars``.
-
-    ``ids`` has distinct ids and ``n_chars``. Ids are dealt into ranges by an exact count, each
-    sorted by itself; only the ends of the ranges are put together.
-    """
-    spark = ids.sparkSession
-    parts = max(1, ids.count() // RANGE_IDS)
-    dealt = materialize(
-        ids.repartitionByRange(parts, "doc_id").withColumn("range", F.spark_partition_id()), "neighbours"
-    )
-    inside = Window.partitionBy("range").orderBy("doc_id")
-    ends = dealt.groupBy("range").agg(
-        F.min("doc_id").alias("first"), F.max_by(F.struct("doc_id", "n_chars"), "doc_id").alias("last")
-    )
-    # One row per range: few enough to be put in a list that every range can look up.
-    found = sorted(ends.collect(), key=lambda r: r["range"])
-    count = len(found)
-    around = spark.createDataFrame(
-        [
-            (r["range"], found[(k + 1) % count]["first"], found[k - 1]["last"]["doc_id"], found[k - 1]["last"]["n_chars"])
-            for k, r in enumerate(found)
-        ],
-        "range int, range_next bigint, range_previous bigint, range_previous_chars bigint",
-    )
-    return dealt.join(F.broadcast(around), "range").select(
-        "doc_id",
-        F.coalesce(F.lead("doc_id").over(inside), "range_next").alias("next_id"),
-        F.coalesce(F.lag("doc_id").over(inside), "range_previous").alias("previous_id"),
-        F.coalesce(F.lag("n_chars").over(inside), "range_previous_chars").alias("previous_chars"),
-    )
-
-
 def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last quarter of code points (rounded
     down) gives way to the first as many of the next document by ascending id (after the last: the first).
@@ -198,32 +162,28 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
     share from the start, by binary search over prefix hashes). A null text is empty. Rows without
     id are left out, as they have no place in the order; of rows with the same id, the one whose
     text has the smallest hash (then text) counts. A lone document is its own next one.
+
+    Texts are shuffled once, into sorted ranges of ids, where the next document is the next row. Only
+    the last document of each range waits for the first one of the next range.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).where(
-        "doc_id is not null"
-    )
-    told = fingerprints(rows.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("h"))), "key").select(
-        "id.doc_id", "id.h", "n_chars", "fingerprint"
-    )
-    told = materialize(told, "fingerprints")
-    if not told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
-        first = F.min(F.struct("h", "n_chars", "fingerprint")).alias("x")
-        told = materialize(told.groupBy("doc_id").agg(first).select("doc_id", "x.*"), "fingerprints")
-        rows = rows.withColumn("h", F.xxhash64("text")).join(told.select("doc_id", "h"), ["doc_id", "h"])
-        rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
-    beside = neighbours(told.select("doc_id", "n_chars")).join(told.select("doc_id", "fingerprint"), "doc_id")
-    beside = materialize(beside, "beside")
-    # Every document sends to its predecessor the code points that the predecessor takes over, and
-    # its fingerprint; whole texts are shuffled once.
-    heads = rows.join(beside, "doc_id").select(
-        F.col("previous_id").alias("doc_id"),
-        F.substring("text", F.lit(1), F.floor(F.col("previous_chars") / 4).cast("int")).alias("head"),
-        F.col("fingerprint").alias("next_fingerprint"),
-    )
     ship(spark)
     small_batches(spark)
-    return rows.join(heads, "doc_id").select("doc_id", "text", "head", "next_fingerprint").mapInArrow(_edited, RESULT)
+    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    ordered = rows.where("doc_id is not null").repartitionByRange("doc_id")
+    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    told = materialize(ordered.mapInArrow(_in_range, f"{RESULT}, first string, last string"), "fingerprints")
+    lasts, firsts = told.where("last is not null"), told.where("first is not null")
+    # One id per range.
+    last_ids = sorted(r[0] for r in lasts.select("doc_id").collect())
+    first_ids = sorted(r[0] for r in firsts.select("doc_id").collect())
+    links = list(zip(last_ids, first_ids[1:] + first_ids[:1]))
+    ends = lasts.select("doc_id", F.col("last").alias("text")).join(
+        spark.createDataFrame(links, "doc_id bigint, next_id bigint"), "doc_id"
+    )
+    ends = ends.join(firsts.select(F.col("doc_id").alias("next_id"), F.col("first").alias("next")), "next_id")
+    made = told.where("last is null and first is null").select(*COLUMNS)
+    return made.unionByName(ends.select("doc_id", "text", "next").mapInArrow(_at_ends, RESULT))
 
 
 RESULT = (
@@ -231,18 +191,44 @@ RESULT = (
     "near_edited double, near_next double, common_prefix bigint"
 )
 COLUMNS = [part.split()[0] for part in RESULT.split(", ")]
+TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+
 
+def _compared(key: int, text: str, own: PrefixHashes, mine: np.ndarray, next_text: str, next_lanes: np.ndarray) -> tuple:
+    quarter = len(text) // 4
+    edited = text[: len(text) - quarter] + next_text[:quarter]
+    other = PrefixHashes(edited)
+    theirs = lanes(other)
+    return (
+        key, own.length, hashlib.sha256(edited.encode()).hexdigest(), written(mine), written(theirs),
+        likeness(mine, theirs), likeness(mine, next_lanes), common_extension(own, 0, other, 0),
+    )
 
-def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A sorted range: every document but the last compared, and the first and last text as they are."""
+    schema = pa.schema([*zip(COLUMNS, TYPES), ("first", pa.string()), ("last", pa.string())])
+    blank = (None,) * (len(COLUMNS) - 1)
+    before = None
     for batch in batches:
         out = []
-        for key, text, head, following in zip(*(c.to_pylist() for c in batch.columns)):
-            edited = text[: len(text) - len(text) // 4] + head
-            own, other = PrefixHashes(text), PrefixHashes(edited)
-            a, b = lanes(own), lanes(other)
-            out.append((
-                key, own.length, hashlib.sha256(edited.encode()).hexdigest(), written(a), written(b),
-                likeness(a, b), likeness(a, read(following)), common_extension(own, 0, other, 0),
-            ))
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if before and before[0] == key:
+                continue
+            own = PrefixHashes(text)
+            mine = lanes(own)
+            out.append((*_compared(*before, text, mine), None, None) if before else (key, *blank, text, None))
+            before = (key, text, own, mine)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], COLUMNS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+    if before:
+        row = (before[0], *blank, None, before[1])
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
+
+
+def _at_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, text, following in zip(*(c.to_pylist() for c in batch.columns)):
+            own = PrefixHashes(text)
+            row = _compared(key, text, own, lanes(own), following, lanes(PrefixHashes(following)))
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, TYPES)], COLUMNS)
