@@ -140,9 +140,9 @@ def listed_length(n: int, percent: int = PERCENT) -> int:
 
 
 def groups_for(n: int) -> int:
-    """Groups for a set of n shingles, a power of two: at most one shingle a group on average, so that
+    """Groups for a set of n shingles, a power of two: two to four shingles a group on average, so that
     the points of unlike sets share far less than they need."""
-    return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << max(0, n - 1).bit_length()))
+    return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << (n // 4).bit_length()))
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
@@ -227,13 +227,18 @@ def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _stored(counts: np.ndarray) -> bytes:
-    """Counts as bytes: one per group where all are below 256, else four."""
-    return b"\x01" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\x04" + counts.astype("<u4").tobytes()
+    """Counts as half a byte per group where all are below 16, else as four bytes."""
+    if counts.max() < 16:
+        return b"\x00" + (counts[0::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+    return b"\x04" + counts.astype("<u4").tobytes()
 
 
 def _loaded(stored: bytes) -> np.ndarray:
-    """Counts, at most 255 in bytes; sums over them are taken in wider numbers."""
-    return np.frombuffer(stored, np.uint8 if stored[0] == 1 else "<u4", offset=1)
+    """Counts, in bytes where they are below 16; sums over them are taken in wider numbers."""
+    if stored[0]:
+        return np.frombuffer(stored, "<u4", offset=1)
+    packed = np.frombuffer(stored, np.uint8, offset=1)
+    return np.stack((packed & 15, packed >> 4), 1).ravel()
 
 
 def _shared(documents: DataFrame, percent: int) -> DataFrame:
