@@ -13,8 +13,8 @@ is by hash, shingles of more than ``HOT`` buckets' size last. A bucket is one su
 * Documents with equal sets go by their smallest id from the start.
 * A document whose listed shingles are mostly hot cannot tell its prefix in that order; it is *heavy*
   and meets every document by the plain order by hash, in which all others list theirs too.
-* Near copies fill many buckets. First every document is compared with its buckets' leaders, and
-  only buckets that still hold several components get trees, for pairs across components. No link
+* Near copies fill many buckets. First every document is compared with its buckets' leaders, then
+  those outside a bucket's largest component with more of its members, and only buckets that still hold several components get trees, for pairs across components. No link
   between components is lost, and no pair inside one is needed.
 * A bucket larger than ``BLOCK`` is dealt into blocks, and each pair of blocks is a task's unit.
 """
@@ -46,6 +46,8 @@ FEWEST_GROUPS, MOST_GROUPS = 16, 1 << 16
 #: Bytes of text that are hashed at a time, and rows whose bounds are computed at a time.
 AT_ONCE = 1 << 20
 ROWS = 4096
+#: Pairs that a task remembers.
+TOLD = 500_000
 
 BASE = 0x9E3779B97F4A7C15
 GAP = np.zeros(256, bool)
@@ -349,51 +351,132 @@ def _across(shared: DataFrame, labels: DataFrame, points: DataFrame, percent: in
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != key:
-                    yield from _pairs(key, held, percent)
-                    key, held = row[:3], []
-                held.append(row[3:])
-        yield from _pairs(key, held, percent)
+        told: set[tuple[int, int]] = set()
+        for rows, ends in _whole_buckets(batches):
+            found = _pairs(rows, ends, percent)
+            # Pairs that this task has told before, as far as they fit, are not told again.
+            new = [pair for pair in dict.fromkeys(found) if pair not in told]
+            if len(told) > TOLD:
+                told.clear()
+            told.update(new)
+            if new:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*new)], ["a", "b"])
 
     sorted_rows = spread.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
     return sorted_rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _pairs(key, rows: list, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of one bucket, or of two of its blocks: at most ``2 * BLOCK`` rows or so."""
-    if len(rows) < 2 or len({r[2] for r in rows}) < 2:
-        return
-    own, doc, component, heavy, first, size = (np.array([r[k] for r in rows]) for k in range(6))
-    points = [_loaded(r[6]) for r in rows]
-    groups = np.array([len(p) for p in points])
-    one_block = key[1] == key[2]
-    for g in np.unique(groups):
-        queries = np.nonzero(groups == g)[0]
-        targets = np.nonzero((groups == g) | (groups == 2 * g))[0]
-        if len(targets) < 2:
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows, some thousands at a time, cut between buckets, and where each bucket starts."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < ROWS:
             continue
-        vectors = np.stack([folded(points[k][None], g)[0] for k in targets])
-        at_query = np.searchsorted(targets, queries)
-        if len(targets) <= FAN:
-            q, t = (x.ravel() for x in np.meshgrid(np.arange(len(queries)), np.arange(len(targets)), indexing="ij"))
-            small, large = np.minimum(size[queries[q]], size[targets[t]]), np.maximum(size[queries[q]], size[targets[t]])
-            near = small * 100 >= large * percent
-            q, t = q[near], t[near]
-            enough = bounds(vectors, at_query[q], vectors, t) >= overlap_needed(size[queries[q]], size[targets[t]], percent)
-            q, t = q[enough], t[enough]
-        else:
-            q, t = CountTree(vectors, size[targets]).search(vectors[at_query], size[queries], percent)
-        q, t = queries[q], targets[t]
-        may = (component[q] != component[t]) & (heavy[q] | heavy[t] | (first[q] & first[t]))
-        if not one_block:
-            may &= own[q] != own[t]
-        q, t = q[may], t[may]
-        if len(q):
-            a, b = np.minimum(doc[q], doc[t]), np.maximum(doc[q], doc[t])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        rows = pa.Table.from_batches(held)
+        starts = _starts(rows)
+        last = int(starts[-1])
+        if last:
+            yield rows.slice(0, last), np.append(starts[:-1], last)
+        held = rows.slice(last).combine_chunks().to_batches()
+        size = sum(b.num_rows for b in held)
+    if size:
+        rows = pa.Table.from_batches(held)
+        yield rows, np.append(_starts(rows), rows.num_rows)
+
+
+def _starts(rows: pa.Table) -> np.ndarray:
+    changed = np.zeros(rows.num_rows, bool)
+    changed[0] = True
+    for name in ("shingle", "i", "j"):
+        column = rows.column(name).to_numpy()
+        changed[1:] |= column[1:] != column[:-1]
+    return np.nonzero(changed)[0]
+
+
+def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of several buckets (or pairs of blocks of one, at most ``2 * BLOCK`` rows or so each).
+
+    Buckets that fit one leaf are their own tree: all of a size are paired at once. Larger ones get
+    a tree for each number of groups, searched by the documents that have as many, for partners with
+    as many or twice as many; sets of more unlike sizes cannot link.
+    """
+    names = ("own", "i", "j", "doc_id", "component", "heavy", "first", "n")
+    own, i, j, doc, component, heavy, first, size = (rows.column(c).to_numpy() for c in names)
+    stored = rows.column("point").to_pylist()
+
+    def may(q: np.ndarray, t: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(size[q], size[t]), np.maximum(size[q], size[t])
+        listed = heavy[q] | heavy[t] | (first[q] & first[t])
+        other_block = (i[q] == j[q]) | (own[q] != own[t])
+        return (component[q] != component[t]) & listed & other_block & (small * 100 >= large * percent)
+
+    starts, counts = ends[:-1], np.diff(ends)
+    together: list[tuple[np.ndarray, np.ndarray]] = []
+    for count in range(2, FAN + 1):
+        at = starts[counts == count]
+        if len(at):
+            low, high = np.triu_indices(count, 1)
+            q, t = (at[:, None] + low).ravel(), (at[:, None] + high).ravel()
+            near = may(q, t)
+            together.append((q[near], t[near]))
+    if together:
+        q, t = (np.concatenate(x) for x in zip(*together))
+        a, b = np.minimum(doc[q], doc[t]), np.maximum(doc[q], doc[t])
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        once = order[np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(order)]]
+        q, t = q[once], t[once]
+        points = {k: _loaded(stored[k]) for k in np.unique(np.concatenate((q, t))).tolist()}
+        groups = np.array([min(len(points[a]), len(points[b])) for a, b in zip(q.tolist(), t.tolist())], np.int64)
+        for g in np.unique(groups):
+            some_q, some_t = q[groups == g], t[groups == g]
+            used, at = np.unique(np.concatenate((some_q, some_t)), return_inverse=True)
+            vectors = np.stack([folded(points[k][None], g)[0] for k in used.tolist()])
+            shared = bounds(vectors, at[: len(some_q)], vectors, at[len(some_q) :])
+            enough = shared >= overlap_needed(size[some_q].astype(np.int64), size[some_t], percent)
+            yield from _ordered(doc, some_q[enough], some_t[enough])
+    for start, count in zip(starts[counts > FAN].tolist(), counts[counts > FAN].tolist()):
+        inside = np.arange(start, start + count)
+        if len(np.unique(component[inside])) < 2:
+            continue
+        points = [_loaded(stored[k]) for k in inside.tolist()]
+        groups = np.array([len(p) for p in points])
+        for g in np.unique(groups):
+            queries = np.nonzero(groups == g)[0]
+            targets = np.nonzero((groups == g) | (groups == 2 * g))[0]
+            vectors = np.stack([folded(points[k][None], g)[0] for k in targets])
+            sizes = size[inside].astype(np.int64)
+            tree = CountTree(vectors, sizes[targets])
+            q, t = tree.search(vectors[np.searchsorted(targets, queries)], sizes[queries], percent)
+            q, t = inside[queries[q]], inside[targets[t]]
+            near = may(q, t)
+            yield from _ordered(doc, q[near], t[near])
+
+
+def _ordered(doc: np.ndarray, q: np.ndarray, t: np.ndarray) -> Iterator[tuple[int, int]]:
+    return zip(np.minimum(doc[q], doc[t]).tolist(), np.maximum(doc[q], doc[t]).tolist())
+
+
+def _outside(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """In buckets of more than a leaf, every document outside the largest component with three
+    documents of that component: near copies that the first leader missed mostly meet one of them."""
+    found = shared.join(labels, F.col("doc_id") == F.col("id"), "left").select(
+        "shingle", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    )
+    parts = found.groupBy("shingle", "component").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("one"), F.max("doc_id").alias("two"),
+        F.min_by("doc_id", F.xxhash64("doc_id")).alias("three"),
+    )
+    largest = parts.groupBy("shingle").agg(
+        F.max_by(F.struct("component", F.array("one", "two", "three").alias("leaders")), F.struct("docs", "component")).alias("x"),
+        F.sum("docs").alias("all"), F.count(F.lit(1)).alias("components"),
+    ).where(F.col("all") > FAN).where("components > 1")
+    left = found.join(largest.select("shingle", F.col("x.component").alias("inner"), "x.leaders"), "shingle")
+    left = left.where("component <> inner").select("doc_id", F.explode(F.array_distinct("leaders")).alias("leader"))
+    return left.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
 
 
 def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -419,6 +502,8 @@ def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     pairs = materialize(_near(_leaders(shared), points, percent), "pairs")
     links = materialize(_verified(pairs, docs, percent), "links")
+    pairs = materialize(_near(_outside(shared, components(links)), points, percent), "pairs")
+    links = links.unionByName(materialize(_verified(pairs, docs, percent), "links"))
     pairs = materialize(_across(shared, components(links), points, percent), "pairs")
     more = materialize(_verified(pairs, docs, percent), "links")
     # Copies join their set's first document; an id whose rows have several sets joins them.
