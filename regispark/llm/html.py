@@ -395,5 +395,5 @@ def extracted(pages: DataFrame, extractor: Extractor, html: str = "html") -> Dat
             columns = [*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*others, "text", "n_chars"])
 
-    schema = pages.select(others).schema.add("text", "string").add("n_chars", "bigint")
+    schema = pages.select(others).schema.add("text", "string").add("n_chars", "long")
     return pages.select(*others, html).mapInArrow(run, schema)

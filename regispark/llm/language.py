@@ -27,6 +27,8 @@ RANKED = 300
 #: Documents per language that profiles are learned from, at most (a classifier's sample).
 SAMPLE = 500
 UNKNOWN = "und"
+#: Stands for a word's end; no letter, and not 0, so that n-grams of unlike lengths are unlike numbers.
+END = 1
 BITS = 21
 
 
@@ -42,18 +44,18 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     Lower-cased; all that is no letter is a word end. N-grams stay within a word and its two ends.
     """
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    points = np.where(_letters()[points], points, 0) if len(points) else points
-    points = np.concatenate(([0], points, [0]))
-    points = points[np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0)))]
+    points = np.where(_letters()[points], points, END) if len(points) else points
+    points = np.concatenate(([END], points, [END]))
+    points = points[np.concatenate(([True], (points[1:] != END) | (points[:-1] != END)))]
     if len(points) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    grams = [points[points != 0]]
+    grams = [points[points != END]]
     codes = points
     for n in range(2, LONGEST + 1):
         codes = codes[:-1] << BITS | points[n - 1 :]
         inner = np.ones(len(codes), bool)
         for k in range(1, n - 1):
-            inner &= points[k : k + len(codes)] != 0
+            inner &= points[k : k + len(codes)] != END
         grams.append(codes[inner])
     return np.unique(np.concatenate(grams), return_counts=True)
 
