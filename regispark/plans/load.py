@@ -6,14 +6,16 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regispark.operators.prune import active_only, prune
 from regispark.operators.typing import split_rejected, type_table
 from regispark.schemas import DICTIONARIES, FACTS, FULL_KEY, KEY, TABLES
 from regispark.session import materialize
 from regispark.sinks.tables import analyze, drop_tables, swap_table, write_indexed
-from regispark.sources.archives import scan_archived_table
+from regispark.sources.archives import list_members, scan_archived_table
 from regispark.sources.delimited import scan_table
+from regispark.sources.files import list_files, route_files
 
 ESTABLISHMENT = "estabelecimento"
 REJECTS = "__rejects"
@@ -39,6 +41,16 @@ def read_publication(
     }
 
 
+def missing_tables(spark: SparkSession, folder: str, *, archived: bool = False) -> list[str]:
+    """Tables that no file of the folder, or member of its archives, is for."""
+    if archived:
+        listing = list_members(spark, folder).select(F.element_at(F.split("member", "/"), -1).alias("name"))
+    else:
+        listing = list_files(spark, folder).select("name")
+    found = {row["table"] for row in route_files(listing).select("table").distinct().collect()}
+    return [name for name in TABLES if name not in found]
+
+
 def load_publication(
     spark: SparkSession,
     folder: str,
@@ -48,6 +60,7 @@ def load_publication(
     exclude_special: bool = False,
     on_error: str = "fail",
     archived: bool = False,
+    allow_missing: bool = False,
     **scan_options,
 ) -> dict[str, DataFrame]:
     """Read a publication and replace the tables of ``database`` with it.
@@ -56,8 +69,12 @@ def load_publication(
     other facts are written at all. Every table is written once, straight from the scan and with
     Bloom filters on its keys, under a new name; the names are swapped after the last one
     succeeded. With ``active=False`` nothing is pruned. ``on_error="quarantine"`` also writes
-    ``<table>__rejects``.
+    ``<table>__rejects``. A table without a file in the publication stops the load before anything
+    is written, unless ``allow_missing``: then it becomes empty.
     """
+    missing = [] if allow_missing else missing_tables(spark, folder, archived=archived)
+    if missing:
+        raise ValueError(f"no file for {', '.join(missing)} in {folder}")
     tables = read_publication(
         spark, folder, on_error=on_error, archived=archived, **scan_options
     )

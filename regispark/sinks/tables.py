@@ -27,9 +27,20 @@ def replace_table(df: DataFrame, table: str, *, partition_by: list[str] | None =
 
 
 def swap_table(spark: SparkSession, fresh: str, table: str) -> None:
-    """Drop ``table`` and give its name to ``fresh``."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    """Give the name of ``table`` to ``fresh``. The old table is renamed aside first and dropped last;
+    if the second rename fails it gets its name back."""
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        return
+    aside = f"{table}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {aside}")
 
 
 def append_table(df: DataFrame, table: str) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from regispark.schemas import Table
 from regispark.sources.delimited import parse_lines, without_missing
+from regispark.session import ship
 from regispark.sources.files import list_files
 
 BLOCK_BYTES = 4 * 1024 * 1024
@@ -31,21 +32,25 @@ def list_members(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataF
     Only the archives' directories are read.
     """
     archives = list_files(spark, folder, glob).select("name", "path")
+    ship(spark)
     return _spread(archives).mapInPandas(_members, MEMBERS)
 
 
 def expand_archives(
-    spark: SparkSession, folder: str, glob: str = "*.zip", containing: str = ""
+    spark: SparkSession, folder: str, glob: str = "*.zip", containing: str = "", whole: bool = False
 ) -> DataFrame:
     """``(archive, member, block, data, error)``: members as blocks of whole lines.
 
-    ``containing`` picks members by a part of their name; only these are inflated.
+    ``containing`` picks members by a part of their name; only these are inflated. With ``whole``
+    every member is inflated once to see that it is sound, so a damaged one gives its error and no
+    blocks; without it, blocks come before damage further on is found.
     """
     members = list_members(spark, folder, glob)
     if containing:
         name = F.element_at(F.split("member", "/"), -1)
         members = members.where(F.col("member").isNull() | name.contains(containing))
-    return _spread(members).mapInPandas(_blocks, BLOCKS)
+    ship(spark)
+    return _spread(members).mapInPandas(_checked_blocks if whole else _blocks, BLOCKS)
 
 
 def archive_report(blocks: DataFrame) -> DataFrame:
@@ -56,12 +61,20 @@ def archive_report(blocks: DataFrame) -> DataFrame:
     )
 
 
-def archive_lines(blocks: DataFrame) -> DataFrame:
+def archive_lines(blocks: DataFrame, on_error: str = "fail") -> DataFrame:
     """``(archive, member, value)``: one row per line, decoded as ISO-8859-1.
 
-    Blocks are spread over the cluster first, whatever member they come from.
+    Blocks are spread over the cluster first, whatever member they come from. An unreadable archive
+    or member fails the job, or with ``on_error="quarantine"`` gives no rows.
     """
-    data = blocks.where(F.col("data").isNotNull()).repartition("archive", "member", "block")
+    if on_error == "fail":
+        data = blocks.where(F.col("data").isNotNull() | F.col("error").isNotNull())
+        told = F.concat_ws(" ", F.lit("unreadable archive:"), "archive", "member", "error")
+        checked = F.when(F.col("error").isNotNull(), F.raise_error(told).cast("binary")).otherwise(F.col("data"))
+        data = data.withColumn("data", checked)
+    else:
+        data = blocks.where(F.col("data").isNotNull())
+    data = data.repartition("archive", "member", "block")
     text = F.rtrim(F.decode("data", "ISO-8859-1"), F.lit("\n"))
     return data.select("archive", "member", F.explode(F.split(text, "\n", -1)).alias("value"))
 
@@ -73,14 +86,17 @@ def scan_archives(
     *,
     containing: str = "",
     na_tokens: Sequence[str] = (),
+    on_error: str = "fail",
     **options,
 ) -> DataFrame:
     """Staging rows straight from archives; options as for ``delimited.parse_lines``.
 
-    Unreadable archives give no rows: ``archive_report`` names them.
+    An unreadable archive or member fails the job. With ``on_error="quarantine"`` it gives no rows at
+    all, and ``archive_report`` names it.
     """
-    lines = archive_lines(expand_archives(spark, folder, containing=containing))
-    return without_missing(parse_lines(lines, names, decoded=True, **options), names, na_tokens)
+    blocks = expand_archives(spark, folder, containing=containing, whole=on_error != "fail")
+    rows = parse_lines(archive_lines(blocks, on_error), names, decoded=True, on_error=on_error, **options)
+    return without_missing(rows, names, na_tokens)
 
 
 def scan_archived_table(spark: SparkSession, folder: str, table: Table, **options) -> DataFrame:
@@ -115,7 +131,11 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns)
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _checked_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _blocks(batches, whole=True)
+
+
+def _blocks(batches: Iterator[pd.DataFrame], whole: bool = False) -> Iterator[pd.DataFrame]:
     columns = ["archive", "member", "block", "data", "error"]
     for batch in batches:
         for name, path, member, error in zip(
@@ -127,6 +147,10 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             number = -1
             try:
                 with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+                    if whole:
+                        with archive.open(member) as stream:
+                            while stream.read(BLOCK_BYTES):  # ends in a check of the sum
+                                pass
                     with archive.open(member) as stream:
                         for number, data in enumerate(_whole_lines(stream)):
                             yield pd.DataFrame(

@@ -65,7 +65,9 @@ def scan(
             on_error=on_error,
             keep=[FILE],
         )
-    rows = rows.where(~F.lower(FILE).endswith(".tmp.csv"))
+    named = [paths] if isinstance(paths, str) else paths
+    if not any(path.lower().endswith(".tmp.csv") for path in named):  # a load's leftovers in a folder
+        rows = rows.where(~F.lower(FILE).endswith(".tmp.csv"))
     rows = without_missing(rows, names, na_tokens)
     return rows if file_column else rows.drop(FILE)
 

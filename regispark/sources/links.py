@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HREF = r'href="([^"]+)"'
+# An attribute in any case, with blanks round its sign, quoted in either way or not at all.
+HREF = r"""(?i)\bhref\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
+# References that stand in links (fixed values); the ampersand's comes last.
+REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
@@ -19,6 +22,10 @@ def extract_links(
     kept = [c for c in pages.columns if c != html]
     links = F.explode(F.regexp_extract_all(F.col(html), F.lit(HREF), 1)).alias("link")
     found = pages.select(*kept, links)
+    link = F.regexp_replace("link", r"""^["']|["']$""", "")
+    for reference, character in REFERENCES.items():
+        link = F.replace(link, F.lit(reference), F.lit(character))
+    found = found.withColumn("link", link)
     if suffix:
         found = found.where(F.lower("link").endswith(suffix.lower()))
     return found.withColumn("target", join_url(F.col(base), F.col("link")))

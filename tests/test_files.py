@@ -12,6 +12,7 @@ from regispark.schemas import KEY, TABLES, code_links
 from regispark.sinks import tables as sinks
 from regispark.sources import archives
 from regispark.sources.snapshots import at_snapshot
+from regispark.sources.links import extract_links
 from regispark.streaming.ingest import ingest, stream_files
 
 
@@ -32,10 +33,31 @@ def test_archives(spark, tmp_path, monkeypatch):
     assert report["a.zip", "d/two.csv"] == (3, None)
     assert report["empty.zip", "none.csv"] == (0, None)
     assert report["bad.zip", None][1] is not None
-    rows = archives.scan_archives(spark, str(tmp_path), ["codigo", "descricao"])
+    with pytest.raises(Exception, match="unreadable archive"):
+        archives.scan_archives(spark, str(tmp_path), ["codigo", "descricao"]).collect()
+    rows = archives.scan_archives(spark, str(tmp_path), ["codigo", "descricao"], on_error="quarantine")
+    rows = rows.select("codigo", "descricao")
     assert sorted(map(tuple, rows.collect())) == [("1", "x"), ("2", "é"), ("3", "z")]
 
 
+def test_a_damaged_member_gives_nothing_in_quarantine(spark, tmp_path):
+    lines = "".join(f"{k};{os.urandom(40).hex()}\n" for k in range(4000)).encode()
+    zipped(tmp_path / "a.zip", {"one.csv": lines, "two.csv": b"1;x\n"})
+    data = bytearray((tmp_path / "a.zip").read_bytes())
+    data[100_000:100_020] = b"\x00" * 20
+    (tmp_path / "a.zip").write_bytes(data)
+    with pytest.raises(Exception, match="unreadable archive"):
+        archives.scan_archives(spark, str(tmp_path), ["codigo", "descricao"]).collect()
+    rows = archives.scan_archives(spark, str(tmp_path), ["codigo", "descricao"], on_error="quarantine")
+    assert [tuple(r)[:2] for r in rows.collect()] == [("1", "x")]
+
+
+def test_links_in_all_forms(spark):
+    html = "<a href='a.zip'><A HREF = \"b.zip?x=1&amp;y=2\"><a class=c href=d.zip>"
+    pages = spark.createDataFrame([(html, "http://h/p/")], "html string, url string")
+    assert [r["link"] for r in extract_links(pages).collect()] == ["a.zip", "b.zip?x=1&y=2", "d.zip"]
+
+
 def test_damaged_member_does_not_stop_the_others(spark, tmp_path):
     zipped(tmp_path / "a.zip", {"one.csv": os.urandom(5000).hex().encode(), "two.csv": b"1;x\n"})
     data = bytearray((tmp_path / "a.zip").read_bytes())
