@@ -377,9 +377,13 @@ def fit(htmls: Sequence[str]) -> Extractor:
 
 def learn(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Extractor:
     """Fits on at most ``sample`` pages, those whose text hashes smallest."""
-    some = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
-    rows = some.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
-    return fit([r["html"] for r in rows])
+    some = pages.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h"), F.col(html).alias("html"))
+    # Only hashes are sorted; whole pages come to the driver once those to take are known.
+    chosen = [r["h"] for r in some.select("h").distinct().orderBy("h").limit(sample).collect()]
+    if not chosen:
+        return fit([])
+    taken = some.where(F.col("h") <= chosen[-1]).groupBy("h").agg(F.min("html").alias("html"))
+    return fit([r["html"] for r in taken.orderBy("h").collect()])
 
 
 def extracted(pages: DataFrame, extractor: Extractor, html: str = "html") -> DataFrame:
