@@ -142,9 +142,15 @@ def listed_length(n: int, percent: int = PERCENT) -> int:
 
 
 def groups_for(n: int) -> int:
-    """Groups for a set of n shingles, a power of two: two to four shingles a group on average, so that
-    the points of unlike sets share far less than they need."""
-    return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << (n // 4).bit_length()))
+    """Groups for a set of n shingles, a power of two: one shingle a group or less on average, so that
+    few pairs whose points allow a link turn out unlinked."""
+    return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << n.bit_length()))
+
+
+def tree_groups(groups: int) -> int:
+    """Groups over which trees are built: coarser points make the walk short, the pairs that it leaves are
+    bounded again by the finer ones."""
+    return max(FEWEST_GROUPS, groups // 4)
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
@@ -430,30 +436,39 @@ def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int
         once = order[np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(order)]]
         q, t = q[once], t[once]
         points = {k: _loaded(stored[k]) for k in np.unique(np.concatenate((q, t))).tolist()}
-        groups = np.array([min(len(points[a]), len(points[b])) for a, b in zip(q.tolist(), t.tolist())], np.int64)
-        for g in np.unique(groups):
-            some_q, some_t = q[groups == g], t[groups == g]
-            used, at = np.unique(np.concatenate((some_q, some_t)), return_inverse=True)
-            vectors = np.stack([folded(points[k][None], g)[0] for k in used.tolist()])
-            shared = bounds(vectors, at[: len(some_q)], vectors, at[len(some_q) :])
-            enough = shared >= overlap_needed(size[some_q].astype(np.int64), size[some_t], percent)
-            yield from _ordered(doc, some_q[enough], some_t[enough])
+        for some_q, some_t in _bounded(points, size, q, t, percent):
+            yield from _ordered(doc, some_q, some_t)
     for start, count in zip(starts[counts > FAN].tolist(), counts[counts > FAN].tolist()):
         inside = np.arange(start, start + count)
         if len(np.unique(component[inside])) < 2:
             continue
-        points = [_loaded(stored[k]) for k in inside.tolist()]
-        groups = np.array([len(p) for p in points])
+        points = {k: _loaded(stored[k]) for k in inside.tolist()}
+        groups = np.array([len(points[k]) for k in inside.tolist()])
         for g in np.unique(groups):
             queries = np.nonzero(groups == g)[0]
             targets = np.nonzero((groups == g) | (groups == 2 * g))[0]
-            vectors = np.stack([folded(points[k][None], g)[0] for k in targets])
+            vectors = np.stack([folded(points[k][None], tree_groups(int(g)))[0] for k in inside[targets].tolist()])
             sizes = size[inside].astype(np.int64)
             tree = CountTree(vectors, sizes[targets])
             q, t = tree.search(vectors[np.searchsorted(targets, queries)], sizes[queries], percent)
             q, t = inside[queries[q]], inside[targets[t]]
             near = may(q, t)
-            yield from _ordered(doc, q[near], t[near])
+            for some_q, some_t in _bounded(points, size, q[near], t[near], percent):
+                yield from _ordered(doc, some_q, some_t)
+
+
+def _bounded(
+    points: dict[int, np.ndarray], size: np.ndarray, q: np.ndarray, t: np.ndarray, percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The given pairs of rows whose points, over as many groups as both have, allow a link."""
+    groups = np.array([min(len(points[a]), len(points[b])) for a, b in zip(q.tolist(), t.tolist())], np.int64)
+    for g in np.unique(groups):
+        some_q, some_t = q[groups == g], t[groups == g]
+        used, at = np.unique(np.concatenate((some_q, some_t)), return_inverse=True)
+        vectors = np.stack([folded(points[k][None], g)[0] for k in used.tolist()])
+        shared = bounds(vectors, at[: len(some_q)], vectors, at[len(some_q) :])
+        enough = shared >= overlap_needed(size[some_q].astype(np.int64), size[some_t], percent)
+        yield some_q[enough], some_t[enough]
 
 
 def _ordered(doc: np.ndarray, q: np.ndarray, t: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -494,10 +509,10 @@ def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         spoken.select("doc_id", "high", "low").groupBy("high", "low").agg(F.min("doc_id").alias("least")), "same"
     )
     copies = spoken.select("doc_id", "high", "low").join(same, ["high", "low"]).where("doc_id <> least")
-    copies = materialize(copies.select("doc_id", "least"), "copies")
-    ((known, _),) = broadcast_if_small(copies.select("doc_id").distinct())
-    single = spoken.join(known, "doc_id", "left_anti")
-    points = materialize(single.select("doc_id", "n", "point"), "points")
+    copies = materialize(copies.distinct(), "copies")
+    ((known, _),) = broadcast_if_small(copies.select("doc_id", "high", "low"))
+    single = spoken.join(known, ["doc_id", "high", "low"], "left_anti")
+    points = spoken.select("doc_id", "n", "point")
     shared = _shared(single, percent)
 
     pairs = materialize(_near(_leaders(shared), points, percent), "pairs")
