@@ -42,6 +42,8 @@ HOT = 200
 BLOCK = 1000
 #: Points of a leaf, and nodes of an inner node.
 FAN = 16
+#: Buckets of more documents hold fine points.
+LARGE = 256
 FEWEST_GROUPS, MOST_GROUPS = 16, 1 << 16
 #: Bytes of text that are hashed at a time, and rows whose bounds are computed at a time.
 AT_ONCE = 1 << 20
@@ -147,9 +149,9 @@ def groups_for(n: int) -> int:
     return min(MOST_GROUPS, max(FEWEST_GROUPS, 1 << n.bit_length()))
 
 
-def tree_groups(groups: int) -> int:
-    """Groups over which trees are built: coarser points make the walk short, the pairs that it leaves are
-    bounded again by the finer ones."""
+def coarse(groups: int) -> int:
+    """Groups of the points that small buckets hold and that trees are built over. In large buckets
+    the pairs that a tree leaves are bounded again by the fine points."""
     return max(FEWEST_GROUPS, groups // 4)
 
 
@@ -210,7 +212,7 @@ class CountTree:
 
 def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """For every row: ``doc_id``, ``n`` (set size), ``high`` and ``low`` (128-bit hash of the set),
-    ``listed`` (its first shingles by hash) and ``point``."""
+    ``listed`` (its first shingles by hash), ``fine`` (its point) and ``point`` (over fewer groups)."""
     ship(docs.sparkSession)
     small_batches(docs.sparkSession)
 
@@ -219,6 +221,7 @@ def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             sets = list(shingle_sets(batch.column(1).to_pylist()))
             digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), ">i8").reshape(-1, 2)
             listed = [s[: listed_length(len(s), percent)].astype(np.int64) if len(s) else s.astype(np.int64) for s in sets]
+            points = [point(s) for s in sets]
             ends = np.cumsum([0, *map(len, listed)])
             columns = [
                 batch.column(0),
@@ -226,12 +229,13 @@ def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 pa.array(digest[:, 0].astype(np.int64)),
                 pa.array(digest[:, 1].astype(np.int64)),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(listed))),
-                pa.array([_stored(point(s)) for s in sets], pa.binary()),
+                pa.array([_stored(p) for p in points], pa.binary()),
+                pa.array([_stored(folded(p[None], coarse(len(p)))[0]) for p in points], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "high", "low", "listed", "point"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "high", "low", "listed", "fine", "point"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, n int, high bigint, low bigint, listed array<bigint>, point binary")
+    return rows.mapInArrow(run, "doc_id bigint, n int, high bigint, low bigint, listed array<bigint>, fine binary, point binary")
 
 
 def _stored(counts: np.ndarray) -> bytes:
@@ -352,9 +356,12 @@ def _across(shared: DataFrame, labels: DataFrame, points: DataFrame, percent: in
     spread = spread.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    spread = spread.join(points.select("doc_id", "n", "point"), "doc_id").select(
-        "shingle", "i", "j", "own", "doc_id", "component", "heavy", "first", "n", "point"
-    )
+    # A row of a large bucket has many pairs, so what tells them apart better is worth its bytes there.
+    large = F.col("docs") > LARGE
+    spread = spread.join(points, "doc_id").select(
+        "shingle", "i", "j", "own", "doc_id", "component", "heavy", "first", "n", large.alias("large"),
+        F.when(large, F.col("fine")).otherwise(F.col("point")).alias("point"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[tuple[int, int]] = set()
@@ -409,8 +416,8 @@ def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int
     a tree for each number of groups, searched by the documents that have as many, for partners with
     as many or twice as many; sets of more unlike sizes cannot link.
     """
-    names = ("own", "i", "j", "doc_id", "component", "heavy", "first", "n")
-    own, i, j, doc, component, heavy, first, size = (rows.column(c).to_numpy() for c in names)
+    names = ("own", "i", "j", "doc_id", "component", "heavy", "first", "n", "large")
+    own, i, j, doc, component, heavy, first, size, large = (rows.column(c).to_numpy() for c in names)
     stored = rows.column("point").to_pylist()
 
     def may(q: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -447,13 +454,14 @@ def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int
         for g in np.unique(groups):
             queries = np.nonzero(groups == g)[0]
             targets = np.nonzero((groups == g) | (groups == 2 * g))[0]
-            vectors = np.stack([folded(points[k][None], tree_groups(int(g)))[0] for k in inside[targets].tolist()])
+            walked = coarse(int(g)) if large[start] else int(g)
+            vectors = np.stack([folded(points[k][None], walked)[0] for k in inside[targets].tolist()])
             sizes = size[inside].astype(np.int64)
             tree = CountTree(vectors, sizes[targets])
             q, t = tree.search(vectors[np.searchsorted(targets, queries)], sizes[queries], percent)
             q, t = inside[queries[q]], inside[targets[t]]
             near = may(q, t)
-            for some_q, some_t in _bounded(points, size, q[near], t[near], percent):
+            for some_q, some_t in _bounded(points, size, q[near], t[near], percent) if large[start] else [(q[near], t[near])]:
                 yield from _ordered(doc, some_q, some_t)
 
 
@@ -512,7 +520,7 @@ def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     copies = materialize(copies.distinct(), "copies")
     ((known, _),) = broadcast_if_small(copies.select("doc_id", "high", "low"))
     single = spoken.join(known, ["doc_id", "high", "low"], "left_anti")
-    points = spoken.select("doc_id", "n", "point")
+    points = spoken.select("doc_id", "n", "point", "fine")
     shared = _shared(single, percent)
 
     pairs = materialize(_near(_leaders(shared), points, percent), "pairs")
