@@ -39,7 +39,7 @@ PERCENT = 80
 #: Shingles that more documents list are compared last.
 HOT = 200
 #: Documents of a bucket that are compared in one piece.
-BLOCK = 1000
+BLOCK = 3000
 #: Points of a leaf, and nodes of an inner node.
 FAN = 16
 #: Buckets of more documents hold fine points.
