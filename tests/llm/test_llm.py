@@ -476,3 +476,12 @@ def test_sql_agrees(spark, name):
 
     problem, _, _ = difference(spark, database(DATA), name, DATA)
     assert problem is None
+
+
+def test_ngram_repeated_id_keeps_each_text(spark):
+    """An id with a copied text and another text is linked by both."""
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    near = two + " end"
+    rows = [(1, one), (2, one), (2, two), (3, near), (4, three)]
+    found = ngram_join.linked_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
