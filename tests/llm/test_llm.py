@@ -104,7 +104,10 @@ def brute_components(texts):
     return {k: (len(sets[k]), find(k)) for k in texts}
 
 
-def test_ngram_join_matches_brute_force_with_hot_passages(spark):
+@pytest.mark.parametrize(("large", "block"), [(ngram_join.LARGE, ngram_join.BLOCK), (18, 25)])
+def test_ngram_join_matches_brute_force_with_hot_passages(spark, monkeypatch, large, block):
+    monkeypatch.setattr(ngram_join, "LARGE", large)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     draw = random.Random(11)
     passage = prose(draw, 60)
     texts = {}
