@@ -24,6 +24,7 @@ MIN_LEFT = 0.3
 GAPS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
+REMOVED = ["n_removed_lines", "n_removed_words"]
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
@@ -85,6 +86,25 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return staged.select(*others, F.inline(F.array(F.struct(*MEASURES))))
 
 
+def _line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """``host``, ``text_hash``, ``pos`` (in the text split at line ends), ``line`` (hash of the
+    normalised line) and ``words`` of the lines with words, once for each distinct text of a host."""
+    spoken = F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
+    lines = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("text_hash"), spoken)
+    lines = lines.where(F.length(_removed(F.col("col"), GAPS)) > 0)
+    normal = F.lower(F.trim(F.regexp_replace("col", WORD_GAP, " ")))
+    lines = lines.select(
+        "host", "text_hash", "pos", F.xxhash64(normal).alias("line"), F.size(F.split(normal, " ")).alias("words")
+    ).dropDuplicates(["host", "text_hash", "pos"])
+    return materialize(lines, "lines")
+
+
+def _often_held(lines: DataFrame) -> DataFrame:
+    """``host``, ``line`` and ``held`` of the lines that ``LINE_DOCS`` distinct texts of a host hold."""
+    held = lines.select("host", "text_hash", "line").distinct().groupBy("host", "line")
+    return held.agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= LINE_DOCS)
+
+
 def depleted_texts(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """``host`` and ``text_hash`` of the texts that keep too few words without boilerplate lines.
 
@@ -92,17 +112,9 @@ def depleted_texts(docs: DataFrame, text: str = "text", host: str = "source") ->
     host, so exact copies weigh as one. All lines of all documents count; counts are combined
     before they are shuffled. A null host is a host of its own; a null text has no lines.
     """
-    spoken = F.posexplode(_lines(F.coalesce(F.col(text), F.lit(""))))
-    lines = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("text_hash"), spoken)
-    normal = F.lower(F.trim(F.regexp_replace("col", WORD_GAP, " ")))
-    lines = lines.select(
-        "host", "text_hash", "pos", F.xxhash64(normal).alias("line"), F.size(F.split(normal, " ")).alias("words")
-    ).dropDuplicates(["host", "text_hash", "pos"])
-    lines = materialize(lines, "lines")
+    lines = _line_rows(docs, text, host)
     hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    held = lines.select("host", "text_hash", "line").distinct().groupBy("host", "line").agg(
-        F.count(F.lit(1)).alias("held")
-    ).where(F.col("held") >= LINE_DOCS)
+    held = _often_held(lines)
     same_host = F.col("a.host").eqNullSafe(F.col("b.host"))
     often = held.alias("a").join(hosts.alias("b"), same_host).where(F.col("held") >= LINE_SHARE * F.col("texts"))
     often = often.select(F.col("a.host").alias("host"), "line", F.lit(True).alias("often"))
@@ -127,10 +139,61 @@ def judged(docs: DataFrame) -> DataFrame:
     )
 
 
+def boilerplate_places(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """``host``, ``text_hash``, ``places``, ``n_removed_lines`` and ``n_removed_words`` of the texts
+    with boilerplate lines, whose places in the text split at line ends are listed in order.
+
+    Lines are told apart and counted as in ``depleted_texts``, with its limits.
+    """
+    lines = _line_rows(docs, text, host)
+    hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    same_host = F.col("a.host").eqNullSafe(F.col("b.host"))
+    often = _often_held(lines).alias("a").join(hosts.alias("b"), same_host)
+    often = often.where(F.col("held") >= LINE_SHARE * F.col("texts")).select(F.col("a.host").alias("host"), "line")
+    ((often, _),) = broadcast_if_small(materialize(often, "often"))
+    found = lines.alias("a").join(often.alias("b"), same_host & (F.col("a.line") == F.col("b.line")))
+    return found.groupBy(F.col("a.host").alias("host"), "text_hash").agg(
+        F.sort_array(F.collect_list("pos")).alias("places"),
+        F.count(F.lit(1)).alias("n_removed_lines"),
+        F.sum("words").alias("n_removed_words"),
+    )
+
+
+def without_boilerplate(docs: DataFrame) -> DataFrame:
+    """``docs`` without boilerplate lines in ``text``, the others in order and as they were, with
+    ``n_removed_lines`` and ``n_removed_words``, in place of columns of those names.
+
+    ``n_chars``, where there is one, follows the text. Texts without such a line stay untouched, and
+    no row is dropped.
+    """
+    ((found, _),) = broadcast_if_small(materialize(boilerplate_places(docs), "places"))
+    return _cleaned(docs.select(F.struct(*docs.columns).alias("doc")), found).select(
+        *(F.col("doc")[c].alias(c) for c in docs.columns if c not in REMOVED), *REMOVED
+    )
+
+
+def _cleaned(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """``rows`` with documents ``doc`` freed from the lines at ``places``, and what was removed."""
+    names, others = rows.schema["doc"].dataType.names, [c for c in rows.columns if c != "doc"]
+    same = F.col("a.doc.source").eqNullSafe(F.col("b.host")) & (F.xxhash64("a.doc.text") == F.col("b.text_hash"))
+    rows = rows.alias("a").join(places.alias("b"), same, "left").withColumn("_split", F.split("doc.text", "\n"))
+    # Split before, so that it is not done again for every line.
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("places"))
+    left = F.array_join(F.transform(stay, lambda i: F.get("_split", i)), "\n")
+    rows = rows.withColumn("_left", F.when(F.col("places").isNotNull(), left))
+    new = {"text": F.coalesce("_left", "doc.text")}
+    if "n_chars" in names:
+        new["n_chars"] = F.coalesce(F.length("_left").cast("bigint"), "doc.n_chars")
+    doc = F.struct(*(new.get(c, F.col("doc")[c]).alias(c) for c in names))
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in REMOVED]
+    return rows.select(doc.alias("doc"), *others, *counts)
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that ``judged`` keeps, with their columns as they were."""
-    ((worn, _),) = broadcast_if_small(materialize(depleted_texts(docs), "worn"))
+    """The documents that ``judged`` keeps, without their boilerplate lines. Columns other than
+    ``text`` and ``n_chars`` stay as they were."""
+    ((places, _),) = broadcast_if_small(materialize(boilerplate_places(docs), "places"))
     passed = measured(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("_text")), "_text")
-    passed = passed.where(~F.col("base_failed")).select("doc.*")
-    same = F.col("a.source").eqNullSafe(F.col("b.host")) & (F.xxhash64("a.text") == F.col("b.text_hash"))
-    return passed.alias("a").join(worn.alias("b"), same, "left_anti").select(docs.columns)
+    passed = passed.where(~F.col("base_failed")).select("doc", F.col("n_words").alias("_n_words"))
+    enough = F.col("_n_words") - F.col("n_removed_words") >= MIN_LEFT * F.col("_n_words")
+    return _cleaned(passed, places).where(enough).select("doc.*")

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from regispark.llm import (
     binary,
     bpe,
@@ -293,6 +294,38 @@ def test_quality_on_odd_input(spark, odd_docs, no_docs):
     assert quality.keep_good(odd_docs).columns == odd_docs.columns
 
 
+def test_boilerplate_lines_leave_documents(spark, odd_docs, no_docs):
+    draw = random.Random(8)
+    rows = []
+    for k in range(40):
+        own = [prose(draw, 30) for _ in range(3)]
+        held = [own[0], "", " Share  this PAGE", own[1], "share this\tpage ", own[2], ""] if k < 30 else own
+        rows.append((k, "\n".join(held), "en", "h" if k % 2 else None, 1))
+    rows += [(50, None, "en", "h", 5), (51, rows[1][1], "en", "other", 5)]
+    docs = spark.createDataFrame(rows * 2, SCHEMA).withColumn("n_removed_words", F.lit("x"))
+    limit = quality.LINE_DOCS
+    quality.LINE_DOCS = 12
+    try:
+        found = quality.without_boilerplate(docs).collect()
+        kept = quality.keep_good(docs).collect()
+    finally:
+        quality.LINE_DOCS = limit
+    texts = {k: t for k, t, *_ in rows}
+    assert len(found) == len(rows) * 2
+    for r in found:
+        lines = (texts[r["doc_id"]] or "").split("\n")
+        left = [x for x in lines if x.lower().split() != ["share", "this", "page"] or r["doc_id"] == 51]
+        gone = len(lines) - len(left)
+        assert r["text"] == (None if r["doc_id"] == 50 else "\n".join(left))
+        assert (r["n_removed_lines"], r["n_removed_words"]) == (gone, 3 * gone)
+        assert r["n_chars"] == (len(r["text"]) if gone else dict((x[0], x[4]) for x in rows)[r["doc_id"]])
+    same = {r["doc_id"]: (r["text"], r["n_chars"]) for r in found}
+    assert {r["doc_id"] for r in kept} == set(texts) - {50} and len(kept) == 82
+    assert all((r["text"], r["n_chars"]) == same[r["doc_id"]] for r in kept)
+    assert quality.without_boilerplate(odd_docs).count() == odd_docs.count()
+    assert quality.without_boilerplate(no_docs).count() == 0
+
+
 def test_depleted_documents_go(spark):
     draw = random.Random(6)
     boiler = "\n".join(prose(draw, 20) for _ in range(4))
