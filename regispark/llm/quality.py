@@ -16,7 +16,7 @@ from regispark.operators.joins import broadcast_if_small
 #: Fewest words of a document, and the largest part of them, in percent, in repeated windows.
 MIN_WORDS = 50
 MAX_REPEATED = 50
-#: A line is boilerplate when this many distinct texts of a host, and this part of them, hold it.
+#: A line is boilerplate when this many distinct texts of a host hold it; for ``judged``, also this part of them.
 LINE_DOCS = 20
 LINE_SHARE = 0.10
 #: Part of its words that a document must keep without boilerplate lines.
@@ -143,14 +143,12 @@ def boilerplate_places(docs: DataFrame, text: str = "text", host: str = "source"
     """``host``, ``text_hash``, ``places``, ``n_removed_lines`` and ``n_removed_words`` of the texts
     with boilerplate lines, whose places in the text split at line ends are listed in order.
 
-    Lines are told apart and counted as in ``depleted_texts``, with its limits.
+    Lines are told apart and counted as in ``depleted_texts``, but ``LINE_DOCS`` alone decides, so that
+    a line in as many texts is judged alike at every size of the host.
     """
     lines = _line_rows(docs, text, host)
-    hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    ((often, _),) = broadcast_if_small(materialize(_often_held(lines), "often"))
     same_host = F.col("a.host").eqNullSafe(F.col("b.host"))
-    often = _often_held(lines).alias("a").join(hosts.alias("b"), same_host)
-    often = often.where(F.col("held") >= LINE_SHARE * F.col("texts")).select(F.col("a.host").alias("host"), "line")
-    ((often, _),) = broadcast_if_small(materialize(often, "often"))
     found = lines.alias("a").join(often.alias("b"), same_host & (F.col("a.line") == F.col("b.line")))
     return found.groupBy(F.col("a.host").alias("host"), "text_hash").agg(
         F.sort_array(F.collect_list("pos")).alias("places"),
@@ -159,6 +157,17 @@ def boilerplate_places(docs: DataFrame, text: str = "text", host: str = "source"
     )
 
 
+def removals(docs: DataFrame) -> DataFrame:
+    """``doc_id``, what boilerplate lines took, and the length and digest of the text left, of every row."""
+    cleaned = without_boilerplate(docs.select("doc_id", "source", "text"))
+    return cleaned.select(
+        "doc_id",
+        *REMOVED,
+        F.length("text").cast("bigint").alias("n_left_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("left_sha256"),
+    )
+
+
 def without_boilerplate(docs: DataFrame) -> DataFrame:
     """``docs`` without boilerplate lines in ``text``, the others in order and as they were, with
     ``n_removed_lines`` and ``n_removed_words``, in place of columns of those names.
@@ -190,8 +199,11 @@ def _cleaned(rows: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that ``judged`` keeps, without their boilerplate lines. Columns other than
-    ``text`` and ``n_chars`` stay as they were."""
+    """The documents that pass the base rules and keep ``MIN_LEFT`` of their words, without their
+    boilerplate lines. Columns other than ``text`` and ``n_chars`` stay as they were.
+
+    Lines are those of ``boilerplate_places``; ``judged`` also asks for ``LINE_SHARE``, as its SQL does.
+    """
     ((places, _),) = broadcast_if_small(materialize(boilerplate_places(docs), "places"))
     passed = measured(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("_text")), "_text")
     passed = passed.where(~F.col("base_failed")).select("doc", F.col("n_words").alias("_n_words"))

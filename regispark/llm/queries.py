@@ -101,6 +101,31 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+@query(
+    rf"""
+    with d as (select row_number() over () as r, doc_id, coalesce(source, '') as host, source is null as nohost, text,
+                      string_split(coalesce(text, ''), chr(10)) as ls from documents),
+    ln as (select r, host, nohost, md5(text) as th, pos, ls[pos] as line,
+                  lower(trim(regexp_replace(ls[pos], '[\x20\x09-\x0D]+', ' ', 'g'))) as k
+           from (select *, unnest(range(1, len(ls) + 1)) as pos from d)),
+    often as (select host, nohost, k from ln where k <> '' group by all having count(distinct th) >= {quality.LINE_DOCS}),
+    m as (select ln.*, o.k is not null as gone
+          from ln left join often o on o.host = ln.host and o.nohost = ln.nohost and o.k = ln.k),
+    g as (select r, (count(*) filter (gone))::bigint as n_removed_lines,
+                 coalesce(sum(len(string_split(k, ' '))) filter (gone), 0)::bigint as n_removed_words,
+                 coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '') as rest
+          from m group by r)
+    select doc_id, n_removed_lines, n_removed_words,
+           case when text is not null then length(rest) end::bigint as n_left_chars,
+           case when text is not null then sha256(rest) end as left_sha256
+    from d join g using (r)
+    """
+)
+def op5_boilerplate_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document loses with its boilerplate lines, and the text that is left."""
+    return quality.removals(table(spark, folder, "documents"))
+
+
 @query()
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""

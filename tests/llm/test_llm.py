@@ -326,6 +326,34 @@ def test_boilerplate_lines_leave_documents(spark, odd_docs, no_docs):
     assert quality.without_boilerplate(no_docs).count() == 0
 
 
+def test_boilerplate_is_alike_at_every_host_size(spark):
+    draw = random.Random(9)
+    rows = [(k, "a line that many share\n" + prose(draw, 60), "en", "small", 1) for k in range(25)]
+    rows += [(100 + k, "a line that many share\n" * (k < 25) + prose(draw, 60), "en", "large", 1) for k in range(400)]
+    rows += [(600 + k, "a line that few share\n" * (k < 19) + prose(draw, 60), "en", "tiny", 1) for k in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r["doc_id"]: r["n_removed_lines"] for r in quality.without_boilerplate(docs).collect()}
+    assert {k for k, n in found.items() if n == 1} == {*range(25), *range(100, 125)}
+    assert not any("many share" in r["text"] for r in quality.keep_good(docs).collect())
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "made"])
+def test_boilerplate_sql_agrees(spark, folder, tmp_path):
+    from checks.compare import database, difference
+
+    if folder == "made":
+        held = ["Top line\n\n", "", "\n top\tLINE ", "\u00c9t\u00e9 \u00e0 la une\n"]
+        rows = [(k, f"{held[k % 4]}own {k}\n{held[k % 3]}", "en", "ab"[k % 2], 1) for k in range(200)]
+        rows += [(300, None, "en", None, 1), (301, "", "en", None, 1), (301, "\n\n", "en", "a", 1)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "one"))
+        (part,) = (tmp_path / "one").glob("*.parquet")
+        folder = str(tmp_path / "t")
+        (tmp_path / "t").mkdir()
+        (tmp_path / "t" / "documents.parquet").write_bytes(part.read_bytes())
+    problem, _, _ = difference(spark, database(folder), "op5_boilerplate_lines", folder)
+    assert problem is None
+
+
 def test_depleted_documents_go(spark):
     draw = random.Random(6)
     boiler = "\n".join(prose(draw, 20) for _ in range(4))
