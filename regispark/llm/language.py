@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regispark.llm.frames import ship, small_batches
+from regispark.llm.frames import materialize, ship, small_batches
 
 #: Longest n-gram, in letters and word ends.
 LONGEST = 3
@@ -26,6 +26,10 @@ PROFILE = 400
 RANKED = 300
 #: Documents per language that profiles are learned from, at most (a classifier's sample).
 SAMPLE = 500
+#: A stage's cut: this part of the score that all but ``LOW`` of a language's training documents reach.
+#: Texts in other languages and scripts stay below it, short and damaged ones of its own above.
+CUT = 2 / 3
+LOW = 0.01
 UNKNOWN = "und"
 #: Stands for a word's end; no letter, and not 0, so that n-grams of unlike lengths are unlike numbers.
 END = 1
@@ -101,14 +105,11 @@ def held_out(id: str) -> Column:
     return F.coalesce(rest == 0, F.lit(True))
 
 
-def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
-    """Profiles of the languages of labelled documents that are not held out.
-
-    Learned from at most ``sample`` documents of each language, those whose ids hash smallest, so
-    that the model and what the driver gets stay bounded; counts are summed by Spark.
-    """
-    ship(docs.sparkSession)
-    small_batches(docs.sparkSession)
+def training(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE
+) -> DataFrame:
+    """``lang`` and ``text`` of labelled documents that are not held out: at most ``sample`` of each
+    language, those whose ids hash smallest."""
     labelled = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         ~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
@@ -121,6 +122,22 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id")
     chosen = few.withColumn("place", F.row_number().over(by_draw)).where(F.col("place") <= sample).select("doc_id")
     chosen = F.broadcast(chosen.distinct())  # at most ``sample`` ids per language
+    return labelled.join(chosen, "doc_id").select("lang", "text")
+
+
+def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
+    """Profiles of the languages of labelled documents that are not held out.
+
+    Learned from ``training`` documents, so that the model and what the driver gets stay bounded;
+    counts are summed by Spark.
+    """
+    return learn_from(training(docs, id, text, lang, sample))
+
+
+def learn_from(known: DataFrame) -> Profiles:
+    """Profiles of the languages of documents with ``lang`` and ``text``."""
+    ship(known.sparkSession)
+    small_batches(known.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,7 +148,7 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
                     ["lang", "code", "n"],
                 )
 
-    grams = labelled.join(chosen, "doc_id").select("lang", "text").mapInArrow(count, "lang string, code bigint, n bigint")
+    grams = known.select("lang", "text").mapInArrow(count, "lang string, code bigint, n bigint")
     summed = grams.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = summed.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= PROFILE)
@@ -175,7 +192,25 @@ def identify(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """Documents with a language and a score of ``least`` or more, with their columns as they were."""
-    found = predict(docs, learn(docs), into=("_lang", "_score"))
-    return found.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least)).select(docs.columns)
+def cuts(known: DataFrame, profiles: Profiles) -> dict[str, float]:
+    """For each language, ``CUT`` of the score that all but ``LOW`` of its documents reach when they
+    are told to be in it."""
+    found = predict(known.select("lang", "text"), profiles).where(F.col("lang") == F.col("lang_pred"))
+    reached = found.groupBy("lang").agg(F.percentile("score", F.lit(LOW)).alias("score"))
+    return {r["lang"]: CUT * r["score"] for r in reached.collect()}
+
+
+def keep_identified(docs: DataFrame, least: float = 0.0, cut: bool = False) -> DataFrame:
+    """Documents with a language and a score of ``least`` or more, with their columns as they were.
+
+    With ``cut``, a score must also be above 0 and reach its language's ``cuts``: texts in a language
+    or script that was not learned go.
+    """
+    known = materialize(training(docs), "training")
+    profiles = learn_from(known)
+    found = predict(docs, profiles, into=("_lang", "_score"))
+    kept = (F.col("_lang") != UNKNOWN) & (F.col("_score") >= least)
+    if cut:
+        by_language = [F.when(F.col("_lang") == k, F.lit(v)) for k, v in sorted(cuts(known, profiles).items())]
+        kept &= (F.col("_score") > 0) & (F.col("_score") >= F.coalesce(*by_language, F.lit(0.0)))
+    return found.where(kept).select(docs.columns)

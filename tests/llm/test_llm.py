@@ -25,6 +25,7 @@ from regispark.llm import (
     queries,
     units,
 )
+from regispark.llm.frames import DOCUMENTS
 
 P = pytest.importorskip("public_tokenizers")
 DATA = "/root/testdata/sf0.001"
@@ -273,6 +274,24 @@ def test_language_on_held_out_documents(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.where("doc_id = 100").count() == 0
 
 
+def test_language_stage_rejects_what_was_not_learned(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*DOCUMENTS)
+    foreign = [
+        "Съешь же ещё этих мягких французских булок, да выпей чаю", "明日は雨が降るでしょう", "Ok привет это русский текст",
+        "Zażółć gęślą jaźń, proszę bardzo, dziękuję wszystkim za pomoc w tej sprawie",
+        "Hyvää päivää kaikille, tänään on kaunis ilma ja me menemme ulos",
+    ]
+    short = ["The cat sat on the mat.", "yes", "Wir gehen heute ins Kino", "Avec.", "A.\nAll rights reserved."]
+    made = [(-1 - k, t, None, "a", len(t)) for k, t in enumerate(foreign + short)]
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    kept = {r["doc_id"] for r in stage(spark, docs.unionByName(spark.createDataFrame(made, SCHEMA)), "").collect()}
+    assert {k for k in kept if k < 0} == {-1 - k for k in range(len(foreign), len(made))}
+    before = {r["doc_id"] for r in docs.collect()}
+    assert len(before - kept) <= 0.002 * len(before)
+
+
 def test_language_distance_by_hand():
     profiles = language.Profiles({"x": np.array([5, 7, 9]), "y": np.array([9, 1])}, 3)
     codes, counts = language.ngrams("Aa! ab")
