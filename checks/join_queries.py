@@ -78,6 +78,22 @@ def company_establishment(spark, folder):
     )
 
 
+_OTHER_KEY = "o_custkey - CASE WHEN o_custkey % 10 = 9 THEN 1 ELSE 0 END"
+
+
+@query(f"""
+SELECT c_custkey AS o_custkey, c_name, o_orderkey, o_orderstatus
+FROM customer LEFT JOIN (SELECT {_OTHER_KEY} AS k, * FROM orders) ON c_custkey = k""")
+def company_establishment_whole(spark, folder):
+    """All orders; those of every tenth customer go to the one before, so that it stays with NULLs."""
+    orders = table(spark, folder, "orders").withColumn("o_custkey", F.expr(_OTHER_KEY))
+    return joins.company_establishment(
+        _customers(spark, folder).select("o_custkey", "c_name"),
+        orders.select("o_custkey", "o_orderkey", "o_orderstatus"),
+        "o_custkey",
+    )
+
+
 @query("""
 SELECT c_custkey AS o_custkey, c_name, o_orderkey, CAST(o_orderdate AS DATE) AS day
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey

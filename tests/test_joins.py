@@ -214,3 +214,13 @@ def test_chunks_cover_everything_once(spark):
     chunks = [rows_between(runs, skip, 30).collect() for skip in range(0, 120, 30)]
     assert [len(c) for c in chunks] == [30, 30, 30, 10]
     assert sorted(r["id"] for c in chunks for r in c) == list(range(100))
+
+
+def test_whole_orders_are_joined(spark):
+    from checks.join_queries import company_establishment_whole
+
+    folder = "/root/testdata/sf0.001"
+    keys = [r["o_orderkey"] for r in company_establishment_whole(spark, folder).select("o_orderkey").collect()]
+    found = [k for k in keys if k is not None]
+    assert len(found) == spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert len(keys) - len(found) >= spark.read.parquet(f"{folder}/customer.parquet").count() // 10
