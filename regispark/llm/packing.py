@@ -99,17 +99,21 @@ def packed(
     any other length. No row is dropped or cut. Empty input gives no rows.
     """
     others = [c for c in docs.columns if c not in ("bucket_length", "batch", "place")]
-    sized = docs.select(*others, counted_length(F.coalesce(F.col(length), F.lit(0))).alias("_counted"))
+    whole = F.coalesce(F.col(length), F.lit(0)).cast("bigint")
+    sized = docs.select(*others, whole.alias("_length"), counted_length(whole).alias("_counted"))
     # At most EXACT + 64 * FINE rows reach the driver.
-    histogram = [(r["_counted"], r["n"]) for r in sized.groupBy("_counted").agg(F.count(F.lit(1)).alias("n")).collect()]
+    found = sized.groupBy("_counted").agg(F.count(F.lit(1)).alias("n"), F.max("_length").alias("longest")).collect()
+    histogram = [(r["_counted"], r["n"]) for r in found]
+    # A bucket's own length is that of its longest document, which rounding may have raised.
+    longest = {r["_counted"]: r["longest"] for r in found}
     ends = best_lengths(histogram, buckets) or [0]
-    fitting = F.lit(ends[-1])
+    fitting = F.lit(longest.get(ends[-1], 0))
     for end in reversed(ends[:-1]):
-        fitting = F.when(F.col("_counted") <= end, F.lit(end)).otherwise(fitting)
+        fitting = F.when(F.col("_counted") <= end, F.lit(longest[end])).otherwise(fitting)
     shards = F.lit(1)
     for low, end in zip([-1, *ends[:-1]], ends):
         rows = sum(n for counted, n in histogram if low < counted <= end)
-        shards = F.when(F.col("bucket_length") == end, F.lit(1 + rows // SHARD_ROWS)).otherwise(shards)
+        shards = F.when(F.col("bucket_length") == longest.get(end, 0), F.lit(1 + rows // SHARD_ROWS)).otherwise(shards)
     in_shard = Window.partitionBy("bucket_length", "_shard").orderBy("_counted", *key)
     numbered = (
         sized.withColumn("bucket_length", fitting.cast("bigint"))

@@ -204,6 +204,15 @@ def test_packing_on_odd_input(odd_docs, no_docs):
     assert all(r["bucket_length"] >= (r["m"] or 0) for r in packing.packed(lengths, "m", ["doc_id"]).collect())
 
 
+def test_bucket_lengths_are_those_of_documents(spark):
+    lengths = [5, 9, 16_385, 16_390, 40_001, 40_003, 100_001, 3_000_001]
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id bigint, n bigint")
+    for buckets in (3, 16):
+        rows = packing.packed(docs, "n", ["doc_id"], buckets=buckets).collect()
+        for end in {r["bucket_length"] for r in rows}:
+            assert end == max(r["n"] for r in rows if r["bucket_length"] == end)
+
+
 # 3 and 10: BPE and token files
 
 
