@@ -5,8 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from regispark.llm import binary, bpe, chat, fingerprint, html, language, lines, ngram_join, packing, quality
+from pyspark.sql import functions as F
+
+from regispark.llm import (
+    binary,
+    bpe,
+    chat,
+    fingerprint,
+    html,
+    language,
+    lines,
+    ngram_join,
+    packing,
+    periodic,
+    quality,
+    topk,
+    trie,
+)
+from regispark.llm.frames import words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -180,3 +196,78 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents written to token files and read back."""
     path = vocabulary("byte_bpe_50k.json")
     return binary.documents_read_back(table(spark, folder, "documents"), path, END_ID)
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` where the text of about every tenth document goes over, from some word on, into repeats of the
+    words from there; by a hash of its id."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("bigint")
+    n = F.size("_words")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("bigint")
+    at = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), n - 1),
+        lambda i: F.get("_words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+    )
+    repeats = (h % 10 == 0) & (n > 0)
+    rows = docs.withColumn("_words", F.when(h % 10 == 0, words(F.col("text"))))
+    return rows.select("doc_id", F.when(repeats, F.array_join(at, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, and digests of its text without the repeats."""
+    return periodic.run_digests(with_repeats(table(spark, folder, "documents")))
+
+
+@query(
+    """
+    with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+               where embedding is not null
+                 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+          from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)
+    select query_id, rank::integer as rank, vec_id, score
+    from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10
+    """
+)
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten rows with the highest inner product with every hundredth row."""
+    rows = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), topk.whole_vectors(F.col("embedding")).alias("values"), (F.col("vec_id") % 100 == 0).alias("asked")
+    )
+    return topk.exact_top_k(rows)
+
+
+_CRC32 = """list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::varchar, ''), lambda c: ord(c)::bigint)),
+        lambda r, b: list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))"""
+
+
+@query(
+    rf"""
+    with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                      row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as k
+               from conversations where conv_id is not null),
+    own as (select conv_id, list({{'role': role, 'text': text}} order by k) as turns from t group by conv_id),
+    h as (select *, xor({_CRC32}, 4294967295) % 4 as h from own),
+    re as (select h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) as turns
+           from h left join own b on b.conv_id = h.conv_id - h.conv_id % 20),
+    p as (select conv_id, len(turns) as n, d, turns[1:d] as path from (select *, unnest(range(0, len(turns) + 1)) as d from re)),
+    node as (select path, d, min(conv_id) as conv_id, count(*) as n_convs,
+                    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d), '')) as ends_sha256
+             from p group by path, d),
+    w as (select *, case when d = 0 then 0 else
+                 len(list_filter(string_split_regex(path[d].text, '[ 	-]+'), lambda x: x <> '')) end as words from node),
+    kids as (select path[1:d - 1] as path, count(*) as n_children from node where d > 0 group by 1),
+    f as (select w.*, coalesce(n_children, 0) as n_children from w left join kids using (path)),
+    up as (select path[1:a] as path, sum((n_convs - 1) * words) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+           from (select *, unnest(range(0, d + 1)) as a from f) group by 1)
+    select f.conv_id, f.d::bigint as depth, parent.conv_id as parent_conv_id, f.n_convs::bigint as n_convs, f.n_children::bigint as n_children,
+           n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, f.ends_sha256
+    from f join up using (path) left join f parent on f.d > 0 and parent.path = f.path[1:f.d - 1]
+    """
+)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the trie of all conversations, each opened like the first one of its group."""
+    return trie.prefix_trie(trie.shared_openings(trie.conversations(table(spark, folder, "conversations"))))
