@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks import standins
 from checks.registry import query, table
 from regispark.operators import joins
-from regispark.operators.enrich import enrich, related
+from regispark.operators.enrich import described_list, enrich, related
+from regispark.operators.numbering import row_numbers
 from regispark.operators.prune import active_only as active
 from regispark.operators.prune import prune
 from regispark.operators.typing import type_table
@@ -94,6 +95,31 @@ def company_establishment_whole(spark, folder):
     )
 
 
+@query(f"""
+SELECT c_custkey AS o_custkey, c_name, o_orderkey, o_orderstatus
+FROM customer LEFT JOIN (SELECT {_OTHER_KEY} AS k, * FROM orders) ON c_custkey = k""")
+def company_establishment_hot(spark, folder):
+    """The same where every customer with at least twenty orders counts as hot, and takes the plan for such."""
+    orders = table(spark, folder, "orders").withColumn("o_custkey", F.expr(_OTHER_KEY))
+    return joins.company_establishment(
+        _customers(spark, folder).select("o_custkey", "c_name"),
+        orders.select("o_custkey", "o_orderkey", "o_orderstatus"),
+        "o_custkey",
+        limit=0,
+        hot_rows=20,
+    )
+
+
+@query("""
+SELECT o_orderpriority, o_orderkey,
+       row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS number
+FROM orders""")
+def number_hot_keys(spark, folder):
+    """Row numbers where each key holds a large part of all rows and is numbered by many tasks."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_orderkey", "o_orderdate")
+    return row_numbers(orders, "o_orderpriority", ["o_orderdate", "o_orderkey"], "number", hot_rows=500).drop("o_orderdate")
+
+
 @query("""
 SELECT c_custkey AS o_custkey, c_name, o_orderkey, CAST(o_orderdate AS DATE) AS day
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey
@@ -173,16 +199,37 @@ def enriched_company(spark, folder):
     return enrich("empresa", tables["empresa"], tables)
 
 
+_PADDED = "array_to_string([lpad(x, 7, '0') FOR x IN string_split(cnae_fiscal_secundaria, ',')], ',')"
+
+
 @query(f"""
-SELECT e.*, p_brand || ' ' || p_name AS cnae_fiscal_principal_descricao,
+WITH texts AS (SELECT map_from_entries(list({{'k': lpad(CAST(p_partkey AS VARCHAR), 7, '0'), 'v': p_brand || ' ' || p_name}})) AS m
+               FROM part)
+SELECT e.* REPLACE ({_PADDED} AS cnae_fiscal_secundaria), p_brand || ' ' || p_name AS cnae_fiscal_principal_descricao,
        r_name AS pais_descricao, n_name AS municipio_descricao,
-       s_name AS motivo_situacao_cadastral_descricao
-FROM ({standins.TYPED_ESTABLISHMENT_SQL}) e LEFT JOIN part ON p_partkey = cnae_fiscal_principal
+       s_name AS motivo_situacao_cadastral_descricao,
+       list_transform(string_split({_PADDED}, ','), lambda x: m[x]) AS cnae_fiscal_secundaria_descricao
+FROM texts, ({standins.TYPED_ESTABLISHMENT_SQL}) e LEFT JOIN part ON p_partkey = cnae_fiscal_principal
 LEFT JOIN region ON r_regionkey = pais LEFT JOIN nation ON n_nationkey = municipio
 LEFT JOIN supplier ON s_suppkey = motivo_situacao_cadastral""")
 def enriched_establishment(spark, folder):
+    """All codes described, the listed ones too; codes as wide as the dictionary's."""
     tables = _typed(spark, folder, "estabelecimento", "cnae", "pais", "munic", "moti")
-    return enrich("estabelecimento", tables["estabelecimento"], tables)
+    codes = F.transform(F.split("cnae_fiscal_secundaria", ","), lambda c: F.lpad(c, 7, "0"))
+    rows = tables["estabelecimento"].withColumn("cnae_fiscal_secundaria", F.array_join(codes, ","))
+    return enrich("estabelecimento", rows, tables)
+
+
+@query(f"""
+WITH texts AS (SELECT map_from_entries(list({{'k': CAST(p_partkey AS VARCHAR), 'v': p_name}})) AS m FROM part)
+SELECT o_orderkey, list_transform(string_split(list, ','), lambda x: m[x]) AS described
+FROM texts, (SELECT o_orderkey, {standins.CODE_LIST_SQL} AS list FROM orders)""")
+def described_lists_joined(spark, folder):
+    """Listed codes described by a dictionary too large to go with the tasks."""
+    orders = table(spark, folder, "orders").select("o_orderkey", standins.code_list().alias("list"))
+    part = table(spark, folder, "part")
+    found = described_list(orders, "list", part, "described", code="p_partkey", value="p_name", limit=0)
+    return found.drop("list")
 
 
 @query(f"""

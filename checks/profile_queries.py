@@ -10,7 +10,13 @@ from regispark.functions import codes
 from regispark.operators import joins
 from regispark.operators.numbering import row_numbers
 from regispark.operators.pivot import pivot_slots
+from regispark.operators.prune import active_only
+from regispark.operators.typing import type_table
 from regispark.plans.profile import company_profile as profile
+from regispark.plans.profile import loaded_profile
+from regispark.schemas import FULL_KEY, KEY, TABLES
+from regispark.session import materialize, scratch_path
+from regispark.sinks.publications import Publications
 
 PUBLISHED = "2025-09-01"
 
@@ -157,3 +163,40 @@ def unnest_codes_described(spark, folder):
 def pivot_codes(spark, folder):
     described = unnest_codes_described(spark, folder)
     return pivot_slots(described, ["o_orderkey"], ["code", "description"], "slot", 10)
+
+
+_NUMBERS = range(1, 11)
+_LOADED_SLOTS = ", ".join(
+    f"slots[{i}] AS cnae_secundario_{i}, a{i}.description AS descricao_atividade_secundaria_{i}" for i in _NUMBERS
+)
+_LOADED_JOINS = " ".join(f"LEFT JOIN activity a{i} ON a{i}.code = slots[{i}]" for i in _NUMBERS)
+
+
+@query(f"""
+WITH activity AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS code, p_brand || ' ' || p_name AS description FROM part),
+e AS (SELECT *, [lpad(x, 7, '0') FOR x IN string_split(cnae_fiscal_secundaria, ',')] AS slots,
+             lpad(CAST(cnae_fiscal_principal AS VARCHAR), 7, '0') AS main
+      FROM ({standins.TYPED_ESTABLISHMENT_SQL}) WHERE situacao_cadastral = 2)
+SELECT cnpj, razao_social, uf AS sigla_uf, municipio AS id_municipio, n_name AS nome_municipio,
+       main AS cnae_fiscal_principal, m.description AS descricao_atividade_principal, {_LOADED_SLOTS},
+       '2025-09' AS data_info
+FROM e JOIN ({standins.TYPED_COMPANY_SQL}) USING (cnpj_basico) LEFT JOIN nation ON n_nationkey = municipio
+LEFT JOIN activity m ON m.code = main {_LOADED_JOINS}""")
+def company_profile_loaded(spark, folder):
+    """The profile of the later of two published snapshots; in the earlier one companies had other names."""
+    codes_ = F.transform(F.split("cnae_fiscal_secundaria", ","), lambda c: F.lpad(c, 7, "0"))
+    listed = F.when(F.col("cnae_fiscal_secundaria") != "", F.array_join(codes_, ","))
+    store = Publications(spark, scratch_path(spark, "registry"))
+    for snapshot in ("2025-08", "2025-09"):
+        raw = {name: standins.raw_table(spark, folder, name) for name in ("empresa", "estabelecimento", "cnae", "munic")}
+        raw["estabelecimento"] = raw["estabelecimento"].withColumn("cnae_fiscal_secundaria", F.coalesce(listed, F.lit("")))
+        if snapshot == "2025-08":
+            raw["empresa"] = raw["empresa"].withColumn("razao_social", F.upper("razao_social"))
+        tables = {name: type_table(df, TABLES[name]) for name, df in raw.items()}
+        tables["estabelecimento"] = active_only(tables["estabelecimento"])
+        with store.publishing() as load:
+            for name, df in tables.items():
+                keys = {"empresa": [KEY], "estabelecimento": [KEY, FULL_KEY]}.get(name, ["codigo"])
+                load.write(name, materialize(df, name), snapshot, keys, clustered=len(keys) > 1 or name == "empresa")
+            load.commit()
+    return loaded_profile(store.pin(), "2025-09")

@@ -17,7 +17,7 @@ from checks import standins
 from checks.registry import query, table
 from regispark.operators.numbering import row_range as rows_in_range
 from regispark.operators.typing import type_table, typed
-from regispark.plans.load import load_publication
+from regispark.plans.load import load_publication, publish_registry
 from regispark.schemas import TABLES
 from regispark.session import scratch_path
 from regispark.sinks import tables as sinks
@@ -28,6 +28,7 @@ from regispark.sources.files import manifest_diff as diff
 from regispark.sources.files import route_files as route
 from regispark.sources.links import extract_links as links
 from regispark.sources.snapshots import at_snapshot
+from regispark.streaming.files import FileIngest
 from regispark.streaming.ingest import ingest, stream_files
 
 
@@ -49,6 +50,54 @@ def scan_multiline(spark, folder):
     return read.withColumn("id", F.col("id").cast("bigint"))
 
 
+_ODD_LINES_SQL = """
+SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN lang || '"x"' ELSE lang END AS lang,
+       CASE WHEN doc_id % 7 = 0 THEN chr(10) || text || '";' || chr(10) ELSE text END AS text
+FROM documents"""
+
+
+def _odd_lines(spark, folder):
+    """Documents as raw lines: quoted line breaks, quotes inside unquoted fields, NULs before a quote."""
+    break_ = F.lit("\n")
+    text = F.when(F.expr("doc_id % 7 = 0"), F.concat(break_, "text", F.lit('";'), break_)).otherwise(F.col("text"))
+    lang = F.when(F.expr("doc_id % 3 = 0"), F.concat("lang", F.lit('"x"'))).otherwise(F.col("lang"))
+    nul = F.when(F.expr("doc_id % 5 = 0"), F.lit("\x00")).otherwise(F.lit(""))
+    quoted = F.concat(nul, F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(";", F.col("doc_id").cast("string"), lang, quoted)
+    return table(spark, folder, "documents").select("doc_id", line.alias("line"))
+
+
+def _odd_rows(read):
+    return read.withColumn("id", F.col("id").cast("bigint"))
+
+
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+@query(_ODD_LINES_SQL)
+def scan_multiline_split(spark, folder):
+    """Files cut into splits much smaller than a record now and then; quoted line breaks at their ends."""
+    root = scratch_path(spark, "split")
+    _put_lines(_odd_lines(spark, folder).select("line"), root, "docs.csv")
+    before = spark.conf.get(SPLIT)
+    spark.conf.set(SPLIT, "64k")
+    try:
+        read = scan(spark, root, ["id", "lang", "text"], multiline=True)
+    finally:
+        spark.conf.set(SPLIT, before)
+    return _odd_rows(read)
+
+
+@query(_ODD_LINES_SQL)
+def scan_zipped_multiline(spark, folder):
+    """The same records straight from archives."""
+    lines = _odd_lines(spark, folder).select(
+        F.expr("'DOCS.' || doc_id % 3").alias("member"), F.expr("'docs' || doc_id % 3").alias("name"), "line"
+    )
+    root = _zipped(lines, scratch_path(spark, "zips"))
+    return _odd_rows(scan_archives(spark, root, ["id", "lang", "text"], multiline=True))
+
+
 @query("""
 SELECT c_custkey, c_name, c_custkey % 3 AS part FROM customer
 UNION ALL SELECT c_custkey, c_name, 9 FROM customer""")
@@ -147,6 +196,33 @@ def extract_links(spark, folder):
     return found.select("page_id", "link", "target")
 
 
+@query("""
+WITH parts AS (
+  SELECT page_id, string_split(split_part(split_part(url, '?', 1), '#', 1), '/') AS p FROM pages),
+up AS (
+  SELECT page_id, p[1:3] AS origin, p[4:greatest(len(p) - 1, 3)] AS folders FROM parts)
+SELECT page_id, k AS place,
+       CASE k WHEN 0 THEN '../b/./c/x' || page_id || '&d.zip?q=../r' WHEN 1 THEN '/e/../f/..'
+              WHEN 2 THEN 'https://o.example/a/../z.zip' ELSE '../../../../é' END AS link,
+       CASE k WHEN 0 THEN array_to_string(origin || folders[1:len(folders) - 1] || ['b', 'c', 'x' || page_id || '&d.zip?q=../r'], '/')
+              WHEN 1 THEN array_to_string(origin, '/') || '/'
+              WHEN 2 THEN 'https://o.example/a/../z.zip' ELSE array_to_string(origin, '/') || '/é' END AS target
+FROM up, (SELECT unnest([0, 1, 2, 3]) AS k)""")
+def extract_links_parsed(spark, folder):
+    """Links as a parser sees them, put into every page among what only looks like links."""
+    made = F.concat(
+        F.lit("<!-- <a href='no.zip'> --><script>var a = '<a href=\"no2.zip\">'</script><p data-href=no3.zip title='href=no4.zip'>"),
+        F.lit("<A Class=x  HREF = '../b/./c&#x2F;x"), F.col("page_id"), F.lit("&amp;d.zip?q=../r'>"),
+        F.lit('<a title="a > b" href="/e/../f/.." href="no5.zip">'),
+        F.lit("<a disabled href=https://o.example/a/../z.zip>< a href=no6.zip><area href='../../../../&#233;'/>"),
+    )
+    pages = table(spark, folder, "pages").select("page_id", "url", F.concat(made, F.lit("<p>no"), F.lit("</p>")).alias("html"))
+    found = links(pages)
+    order = F.when(F.col("link").startswith("../b"), 0).when(F.col("link").startswith("/e"), 1)
+    order = order.when(F.col("link").startswith("https"), 2).otherwise(3)
+    return found.select("page_id", order.alias("place"), "link", "target")
+
+
 @query("""
 SELECT name, size, last IS NULL OR c_nationkey = 7
        OR (coalesce(size, 0) <> 0 AND size <> CASE WHEN c_nationkey < 12 THEN size ELSE last END)
@@ -215,24 +291,30 @@ def scan_zipped(spark, folder):
 
 def _archives(spark, folder):
     """Customers as zip files, one per nation and task."""
-    root = scratch_path(spark, "zips")
     customer = table(spark, folder, "customer").join(
         F.broadcast(table(spark, folder, "nation")), F.expr("c_nationkey = n_nationkey")
     )
-    rows = customer.select(
-        "n_nationkey", "n_name", F.expr("concat(c_custkey, ';', c_name, '\n')").alias("line")
+    lines = customer.select(
+        F.expr("'CNAECSV.' || n_nationkey").alias("member"),
+        F.col("n_name").alias("name"),
+        F.expr("concat(c_custkey, ';', c_name)").alias("line"),
     )
+    return _zipped(lines, scratch_path(spark, "zips"))
+
+
+def _zipped(lines, root):
+    """Lines in zip files, one per name and task."""
 
     def write(batches):
         for number, batch in enumerate(batches):
-            for (key, name), part in batch.groupby(["n_nationkey", "n_name"]):
+            for (member, name), part in batch.groupby(["member", "name"]):
                 buffer = io.BytesIO()
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr(f"CNAECSV.{key}", "".join(part["line"]))
+                    archive.writestr(member, "".join(f"{x}\n" for x in part["line"]).encode("latin-1"))
                 file = f"{TaskContext.get().partitionId()}-{number}-{name}.zip"
                 yield _written(root, file, buffer.getvalue())
 
-    _run(rows.mapInPandas(write, "file string"))
+    _run(lines.mapInPandas(write, "file string"))
     return root
 
 
@@ -240,14 +322,17 @@ def _publish(rows, root, file):
     """Delimited text files under a published name, one per task; unlike Spark's own file names
     these hold the token of their table."""
     line = F.to_csv(F.struct("*"), FORMAT | {"quoteAll": "true"})
+    _put_lines(rows.select(line.alias("line")), root, file)
+
 
+def _put_lines(lines, root, file):
     def write(batches):
         for number, batch in enumerate(batches):
             data = "".join(text + "\r\n" for text in batch["line"]).encode("latin-1")
             name = f"{TaskContext.get().partitionId()}-{number}-{file}"
             yield _written(root, name, data)
 
-    _run(rows.select(line.alias("line")).mapInPandas(write, "file string"))
+    _run(lines.mapInPandas(write, "file string"))
 
 
 def _written(root, name, data):
@@ -286,6 +371,47 @@ def incremental_ingest(spark, folder):
     return spark.read.parquet(target)
 
 
+@query(standins.TYPED_ESTABLISHMENT_SQL)
+def incremental_ingest_establishment(spark, folder):
+    """Establishments in two deliveries; files of the first come again with other rows, after a restart."""
+    source, target = scratch_path(spark, "landing"), scratch_path(spark, "ingested")
+    orders = table(spark, folder, "orders").repartition(6, "o_orderkey")
+    raw = standins.establishment_text(orders)
+    first = F.col("cnpj_ordem") < "5000"
+    older = raw.where(first).withColumn("bairro", F.lit("NA")).withColumn("uf", F.lit("XX"))
+    establishment = TABLES["estabelecimento"]
+
+    def ingested():
+        loading = FileIngest(spark, source, target, establishment, files_per_batch=4, na_tokens=("NA",))
+        loading.run()
+        return loading
+
+    _publish(older, source, standins.file_name("estabelecimento"))
+    ingested()
+    _publish(raw.where(first), source, standins.file_name("estabelecimento"))
+    _publish(raw.where(~first), source, standins.file_name("estabelecimento", 1))
+    ingested()
+    return ingested().rows().drop("_path")
+
+
+@query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS codigo, c_name AS descricao FROM customer""")
+def stream_archives(spark, folder):
+    """Archives that arrive in two deliveries, each member read once."""
+    source, target = scratch_path(spark, "zips"), scratch_path(spark, "ingested")
+    customer = table(spark, folder, "customer").select(
+        F.expr("'CNAECSV.' || c_nationkey").alias("member"),
+        F.expr("'nation' || c_nationkey").alias("name"),
+        F.expr("concat(lpad(c_custkey, 7, '0'), ';', c_name)").alias("line"),
+        "c_nationkey",
+    )
+    early = F.col("c_nationkey") < 9
+    for delivery in (early, ~early):
+        _zipped(customer.where(delivery).drop("c_nationkey"), source)
+        loading = FileIngest(spark, source, target, TABLES["cnae"], archived=True, files_per_batch=20)
+        loading.run()
+    return loading.rows().drop("_path")
+
+
 @query("""SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 ORDER BY o_orderdate, o_orderkey, o_custkey, o_totalprice LIMIT 500 OFFSET 700""")
 def row_range(spark, folder):
@@ -403,10 +529,31 @@ def load_registry(spark, folder):
 
 
 def _load(spark, folder):
+    return load_publication(spark, _raw_files(spark, folder), _database(spark))
+
+
+def _raw_files(spark, folder, tables=TABLES):
     root = scratch_path(spark, "publication")
-    for name in TABLES:
+    for name in tables:
         _publish(standins.raw_table(spark, folder, name), root, standins.file_name(name))
-    return load_publication(spark, root, _database(spark))
+    return root
+
+
+@query(f"""
+SELECT * FROM ({standins.TYPED_ESTABLISHMENT_SQL})
+WHERE situacao_cadastral = 2 AND cnpj IN (
+  SELECT cnpj FROM ({standins.TYPED_ESTABLISHMENT_SQL}) WHERE situacao_cadastral = 2
+  ORDER BY cnpj DESC LIMIT 3)""")
+def loaded_point_lookup(spark, folder):
+    """The three last full keys, looked up in a published registry by its file directory."""
+    registry = _published(spark, folder, rows_per_file=2_000)
+    keys = registry.table("estabelecimento").select("cnpj").distinct().orderBy(F.desc("cnpj")).limit(3).collect()
+    return registry.lookup("estabelecimento", "cnpj", *[r["cnpj"] for r in keys]).drop("snapshot")
+
+
+def _published(spark, folder, root=None, snapshot="2025-09", **options):
+    raw = _raw_files(spark, folder)
+    return publish_registry(spark, raw, root or scratch_path(spark, "registry"), snapshot, **options)
 
 
 def _database(spark):
@@ -414,3 +561,14 @@ def _database(spark):
     name = "registry_" + path.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
     return name
+
+
+@query("""SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
+ORDER BY o_orderstatus NULLS FIRST, o_orderpriority NULLS FIRST,
+         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END NULLS FIRST, o_orderkey LIMIT 300 OFFSET 4000""")
+def row_range_text(spark, folder):
+    """A range of rows ordered by texts, a column with NULLs and a key; a small part of them is sorted."""
+    seller = F.expr("CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END").alias("seller")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", seller)
+    by = ["o_orderstatus", "o_orderpriority", "seller", "o_orderkey"]
+    return rows_in_range(orders, by, 4000, 300, small=1000).drop("seller")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regispark.functions.codes import split_codes
 from regispark.functions.values import padded_code
 from regispark.operators.joins import company_establishment, lookups
-from regispark.operators.sizing import BROADCAST_LIMIT
-from regispark.schemas import ACTIVITY_CODE_WIDTH, LINKS, code_links
+from regispark.operators.sizing import BROADCAST_LIMIT, measured_bytes
+from regispark.schemas import ACTIVITY_CODE_WIDTH, LINKS, code_links, list_links
 
 
 def enrich(
@@ -17,7 +18,11 @@ def enrich(
     dictionaries: dict[str, DataFrame],
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Adds ``<column>_descricao`` for each declared link of ``table`` into a given dictionary."""
+    """Adds ``<column>_descricao`` for each declared link of ``table`` into a given dictionary: a text, or for
+    a column that lists codes an array with the text of each, in list order."""
+    for link in list_links(table):
+        if link.target in dictionaries and link.column in df.columns:
+            df = described_list(df, link.column, dictionaries[link.target], f"{link.column}_descricao", limit=limit)
     links = [link for link in code_links(table) if link.target in dictionaries]
     steps, helpers = [], []
     for link in links:
@@ -33,6 +38,50 @@ def enrich(
     return lookups(df, steps, limit=limit).drop(*helpers)
 
 
+def described_list(
+    df: DataFrame,
+    column: str,
+    dictionary: DataFrame,
+    described: str,
+    *,
+    code: str = "codigo",
+    value: str = "descricao",
+    limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Adds an array with the description of each code of a comma list, in order; NULL for unknown codes, and
+    for a NULL list. Of a code listed twice in the dictionary the greatest description counts.
+
+    The dictionary is dealt into small lists by a hash of the code, so that one code is looked up among
+    about one entry; if all of them are within ``limit`` they go with the tasks, and ``df`` stays as
+    it is. Otherwise the codes of all lists are joined, one row each with its place, and put together
+    by list: what is shuffled is codes and descriptions, and each list once.
+    """
+    texts = dictionary.groupBy(F.col(code).cast("string").alias("code")).agg(F.max(value).alias("text"))
+    texts = texts.where(F.col("code").isNotNull())
+    codes = split_codes(F.col(column))
+    if measured_bytes(texts)[0] <= limit:
+        count = max(1, 2 * texts.count())
+        bucket = F.pmod(F.xxhash64("code"), F.lit(count)).cast("int").alias("bucket")
+        dealt = texts.groupBy(bucket).agg(F.collect_list(F.struct("code", "text")).alias("texts"))
+        numbered = df.sparkSession.range(count).select(F.col("id").cast("int").alias("bucket"))
+        lists = numbered.join(dealt, "bucket", "left").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("bucket", "texts"))), lambda b: b["texts"]).alias("lists")
+        )
+        named = df.withColumn("_lists", lists.scalar())
+
+        def text(c: Column) -> Column:
+            own = F.get("_lists", F.pmod(F.xxhash64(c), F.lit(count)).cast("int"))
+            return F.get(F.filter(own, lambda x: x["code"] == c), F.lit(0))["text"]
+
+        return named.withColumn(described, F.transform(codes, text)).drop("_lists")
+    lists = df.where(F.col(column).isNotNull()).select(column).distinct()
+    items = lists.select(column, F.posexplode(codes).alias("place", "code")).join(texts.hint("merge"), "code", "left")
+    joined = items.groupBy(column).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]).alias(described)
+    )
+    return df.join(joined.withColumnRenamed(column, "_list"), F.col(column) == F.col("_list"), "left").drop("_list")
+
+
 def related(source: str, target: str, tables: dict[str, DataFrame]) -> DataFrame:
     """Left join along the declared base-key relationship of two tables.
 

@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regispark.operators.sizing import (
     BROADCAST_LIMIT,
     HOT_ROWS,
     broadcast_if_small,
-    hot_values,
-    is_one_of,
+    heavy_keys,
+    split_by_keys,
     with_place,
 )
 from regispark.session import materialize
 
-SALTS = 64
-
 
 def lookup(
     df: DataFrame,
@@ -70,30 +68,35 @@ def company_establishment(
 
     An inner join broadcasts the companies if they are few and otherwise leaves skewed keys to
     AQE, which can split the establishments of one company. The outer join cannot be split that
-    way (its establishments are the null-supplying side), so there companies with very many
-    establishments are spread over ``SALTS`` copies of the company row.
+    way (its establishments are the null-supplying side). Companies with at least ``hot_rows``
+    establishments are found first; they cannot be unmatched, so they take an inner join: few of
+    them are broadcast, and their establishments stay where they are. More are copied, each as often as
+    its establishments fill ``hot_rows``, over which these are spread by their place.
     """
     if not keep_unmatched:
         ((companies, _),) = broadcast_if_small(companies, limit=limit)
         return companies.join(establishments, on, "inner")
 
-    hot = [v for v in hot_values(establishments, on, hot_rows) if v is not None]
-    if not hot:
+    hot = heavy_keys(establishments.where(F.col(on).isNotNull()), on, min_rows=hot_rows)
+    if hot.isEmpty():
         return companies.join(establishments, on, "left")
-
-    def salts(c: Column) -> Column:
-        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        return F.when(is_one_of(c, hot), every).otherwise(F.array(F.lit(0)))
-
-    place = F.pmod(F.col("_place"), F.lit(SALTS)).cast("int")
-    salt = F.when(is_one_of(F.col(on), hot), place).otherwise(F.lit(0))
-    many = with_place(establishments, "_place").withColumn("_salt", salt)
-    many = many.withColumn("_hit", F.lit(True)).drop("_place")
-    one = companies.withColumn("_salt", F.explode(salts(F.col(on))))
-    joined = one.join(many, [on, "_salt"], "left")
-    # A hot company has establishments, so its copies without one are not unmatched companies.
-    spare = is_one_of(F.col(on), hot) & F.col("_hit").isNull()
-    return joined.where(~spare).drop("_salt", "_hit")
+    other_companies, hot_companies = split_by_keys(companies, hot, on)
+    other_rows, hot_establishments = split_by_keys(establishments, hot, on)
+    rest = other_companies.join(other_rows, on, "left")
+    ((few, small),) = broadcast_if_small(hot_companies, limit=limit)
+    if small:
+        return rest.unionByName(few.join(hot_establishments, on, "inner"))
+    return rest.unionByName(_in_pieces(hot_companies, hot_establishments, hot, on, hot_rows))
+
+
+def _in_pieces(one: DataFrame, many: DataFrame, hot: DataFrame, on: str, hot_rows: int) -> DataFrame:
+    """Inner join where no task gets more than about ``hot_rows`` rows of a key of ``hot`` (key, ``n``)."""
+    ((pieces, _),) = broadcast_if_small(hot.select(on, F.ceil(F.col("n") / hot_rows).alias("_pieces")))
+    copies = one.join(pieces, on).withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)))
+    placed = with_place(many, "_place").join(pieces, on)
+    # A hash of the place, as the places of a task are in a row.
+    spread = placed.withColumn("_piece", F.pmod(F.xxhash64("_place"), F.col("_pieces"))).drop("_place", "_pieces")
+    return copies.drop("_pieces").join(spread, [on, "_piece"], "inner").drop("_piece")
 
 
 def key_set(df: DataFrame, key: str) -> DataFrame:

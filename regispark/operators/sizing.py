@@ -8,20 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regispark.session import materialize
+
 MIB = 1024 * 1024
 BROADCAST_LIMIT = 64 * MIB
 ROW_OVERHEAD = 64
 FIXED_WIDTH = 8
 
 HOT_ROWS = 1_000_000
-HOT_TRACKED = 10_000
-HOT_LISTED = 1_000
+LEAST_BUCKETS = 4_096
 
 
 def measured_bytes(*sides: DataFrame) -> list[int]:
     """In-memory size of each side, counted over all its rows in one job."""
     sized = [
-        df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).cast("bigint").alias("bytes"))
+        df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("bigint").alias("bytes"))
         .withColumn("side", F.lit(i))
         for i, df in enumerate(sides)
     ]
@@ -33,27 +34,58 @@ def measured_bytes(*sides: DataFrame) -> list[int]:
 
 
 def broadcast_if_small(
-    *sides: DataFrame, limit: int = BROADCAST_LIMIT
+    *sides: DataFrame, limit: int = BROADCAST_LIMIT, known: Sequence[int | None] = ()
 ) -> list[tuple[DataFrame, bool]]:
     """Each side with a broadcast hint where its measured size is within ``limit``.
 
-    The others come back with a shuffled-join hint, which AQE can split on skewed keys.
+    The others come back with a shuffled-join hint, which AQE can split on skewed keys. ``known`` are
+    bounds on the sizes from statistics, if there are any: a side within ``limit`` by its bound is not
+    measured.
     """
+    bounds = [*known, *[None] * (len(sides) - len(known))]
+    open_ = [i for i, bound in enumerate(bounds) if bound is None or bound > limit]
+    sizes = dict(enumerate(bounds))
+    if open_:
+        sizes |= zip(open_, measured_bytes(*[sides[i] for i in open_]))
     return [
-        (F.broadcast(df), True) if size <= limit else (df.hint("merge"), False)
-        for df, size in zip(sides, measured_bytes(*sides))
+        (F.broadcast(df), True) if sizes[i] <= limit else (df.hint("merge"), False) for i, df in enumerate(sides)
     ]
 
 
-def hot_values(df: DataFrame, column: str, min_rows: int = HOT_ROWS) -> list[object]:
-    """Values of a column that more rows hold than one task should take, NULL included.
+def heavy_keys(df: DataFrame, *keys: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys that at least ``min_rows`` rows hold, with their number of rows ``n``; exact, NULL included.
 
-    A mergeable frequent-items sketch over that column alone: no shuffle by value, and at most
-    ``HOT_LISTED`` values reach the driver. It steers plans only; results do not depend on it.
+    Rows are first counted by a hash of the key, in so many buckets that an even one holds an eighth of
+    ``min_rows``: combined before the shuffle, that moves bucket numbers only. A key in a bucket
+    below ``min_rows`` cannot be heavy, so only rows of the others, few or none, are counted by
+    key. There are at most rows / ``min_rows`` such keys; they come as a written table.
     """
-    sketch = F.expr(f"approx_top_k(`{column}`, {HOT_LISTED}, {HOT_TRACKED})")
-    top = df.select(column).agg(sketch.alias("top")).first()["top"]
-    return [item["item"] for item in top or [] if item["count"] >= min_rows]
+    named = df.select(*keys)
+    rows = named.count()
+    buckets = max(LEAST_BUCKETS, 8 * rows // min_rows)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    full = []
+    if rows >= min_rows:
+        counted = named.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+        # At most rows / min_rows numbers.
+        full = [(r["bucket"],) for r in counted.where(F.col("n") >= min_rows).collect()]
+    spark = df.sparkSession
+    if not full:
+        fields = [named.schema[c] for c in keys]
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField("n", T.LongType())]))
+    ((side, _),) = broadcast_if_small(spark.createDataFrame(full, "_bucket bigint"))
+    suspects = named.withColumn("_bucket", bucket).join(side, "_bucket", "left_semi")
+    found = suspects.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
+    return materialize(found, "heavy")
+
+
+def split_by_keys(df: DataFrame, keys: DataFrame, *on: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is not in ``keys``, and those whose key is; NULL equals NULL."""
+    ((side, _),) = broadcast_if_small(keys.select(*[F.col(c).alias(f"_{c}") for c in on]))
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
 
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
@@ -85,14 +117,7 @@ def with_place(df: DataFrame, name: str) -> DataFrame:
     return in_order.withColumn(name, F.monotonically_increasing_id())
 
 
-def is_one_of(c: Column, values: Sequence[object]) -> Column:
-    """Never NULL; a NULL in ``values`` matches NULL."""
-    known = [v for v in values if v is not None]
-    hit = F.coalesce(c.isin(known), F.lit(False)) if known else F.lit(False)
-    return hit | c.isNull() if None in values else hit
-
-
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     total = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):

@@ -14,14 +14,17 @@ from regispark.sources.delimited import CORRUPT
 REJECTED = "_rejected"
 
 
-def type_table(staging: DataFrame, table: Table, on_error: str = "fail") -> DataFrame:
-    """Typed projection of an all-text table, with the full key where the table has one.
+def type_table(
+    staging: DataFrame, table: Table, on_error: str = "fail", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed projection of an all-text table, with the full key where the table has one, and the columns
+    ``keep`` as they are.
 
     ``on_error="fail"`` stops the job that computes a value which cannot be typed.
     ``"quarantine"`` leaves NULL and lists column and raw value in ``_rejected``, which is NULL
     for clean rows; a raw line the scan put into ``_corrupt`` is passed on.
     """
-    return typed(staging, table.columns, table.full_key, on_error)
+    return typed(staging, table.columns, table.full_key, on_error, keep)
 
 
 def typed(
@@ -29,6 +32,7 @@ def typed(
     columns: Sequence[tuple[str, str]],
     full_key: Sequence[str] = (),
     on_error: str = "fail",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     mode = values.FAIL if on_error == "fail" else values.NULL
     kinds = dict(columns)
@@ -40,7 +44,7 @@ def typed(
         out.append(_rejects(columns).alias(REJECTED))
         corrupt = F.col(CORRUPT) if CORRUPT in staging.columns else F.lit(None).cast("string")
         out.append(corrupt.alias(CORRUPT))
-    return staging.select(*out)
+    return staging.select(*out, *keep)
 
 
 def split_rejected(typed_rows: DataFrame) -> tuple[DataFrame, DataFrame]:

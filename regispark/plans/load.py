@@ -12,6 +12,8 @@ from regispark.operators.prune import active_only, prune
 from regispark.operators.typing import split_rejected, type_table
 from regispark.schemas import DICTIONARIES, FACTS, FULL_KEY, KEY, TABLES
 from regispark.session import materialize
+from regispark.sinks.layout import ROWS_PER_FILE
+from regispark.sinks.publications import Pinned, Publications
 from regispark.sinks.tables import analyze, drop_tables, swap_table, write_indexed
 from regispark.sources.archives import list_members, scan_archived_table
 from regispark.sources.delimited import scan_table
@@ -29,10 +31,14 @@ def read_publication(
     *,
     on_error: str = "fail",
     archived: bool = False,
+    members: DataFrame | None = None,
     **scan_options,
 ) -> dict[str, DataFrame]:
-    """Typed tables of a folder of files, or of the archives they come in; nothing runs yet."""
-    read = scan_archived_table if archived else scan_table
+    """Typed tables of a folder of files, or of the archives they come in; nothing runs yet. ``members`` is a
+    listing of the archives made before, which spares one for each table."""
+    read = scan_table
+    if archived:
+        read, scan_options = scan_archived_table, scan_options | {"members": members}
     return {
         name: type_table(
             read(spark, folder, table, on_error=on_error, **scan_options), table, on_error
@@ -41,10 +47,18 @@ def read_publication(
     }
 
 
-def missing_tables(spark: SparkSession, folder: str, *, archived: bool = False) -> list[str]:
+def listed_members(spark: SparkSession, folder: str) -> DataFrame:
+    """The archives' directories, read once and written."""
+    return materialize(list_members(spark, folder), "members")
+
+
+def missing_tables(
+    spark: SparkSession, folder: str, *, archived: bool = False, members: DataFrame | None = None
+) -> list[str]:
     """Tables that no file of the folder, or member of its archives, is for."""
     if archived:
-        listing = list_members(spark, folder).select(F.element_at(F.split("member", "/"), -1).alias("name"))
+        listed = list_members(spark, folder) if members is None else members
+        listing = listed.select(F.element_at(F.split("member", "/"), -1).alias("name"))
     else:
         listing = list_files(spark, folder).select("name")
     found = {row["table"] for row in route_files(listing).select("table").distinct().collect()}
@@ -72,11 +86,12 @@ def load_publication(
     ``<table>__rejects``. A table without a file in the publication stops the load before anything
     is written, unless ``allow_missing``: then it becomes empty.
     """
-    missing = [] if allow_missing else missing_tables(spark, folder, archived=archived)
+    members = listed_members(spark, folder) if archived else None
+    missing = [] if allow_missing else missing_tables(spark, folder, archived=archived, members=members)
     if missing:
         raise ValueError(f"no file for {', '.join(missing)} in {folder}")
     tables = read_publication(
-        spark, folder, on_error=on_error, archived=archived, **scan_options
+        spark, folder, on_error=on_error, archived=archived, members=members, **scan_options
     )
     rejects: dict[str, DataFrame] = {}
     if on_error == "quarantine":
@@ -99,10 +114,68 @@ def load_publication(
 
     for name in [*TABLES, *rejects]:
         swap_table(spark, f"{database}.{name}{FRESH}", f"{database}.{name}")
+    # Rejects of an earlier load do not belong to this one.
+    drop_tables(spark, *[f"{database}.{name}{REJECTS}" for name in TABLES if f"{name}{REJECTS}" not in rejects])
     _at_once(lambda name: analyze(spark, f"{database}.{name}", *_keys(name)), list(TABLES))
     return {name: spark.table(f"{database}.{name}") for name in TABLES}
 
 
+def publish_registry(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    snapshot: str,
+    *,
+    active: bool = True,
+    exclude_special: bool = False,
+    on_error: str = "fail",
+    archived: bool = False,
+    allow_missing: bool = False,
+    rows_per_file: int = ROWS_PER_FILE,
+    **scan_options,
+) -> Pinned:
+    """Read a publication and publish its ten tables as one snapshot in a new version below ``root``.
+
+    Filters and checks are those of ``load_publication``. Tables are typed once into the scratch
+    folder and written from there in key order, with file directories and statistics (see
+    ``sinks.publications``). Readers see the version before until all tables are there, then all
+    of them. Other snapshots stay; this one is replaced. With ``on_error="quarantine"`` the version also
+    has ``<table>__rejects``.
+    """
+    members = listed_members(spark, folder) if archived else None
+    missing = [] if allow_missing else missing_tables(spark, folder, archived=archived, members=members)
+    if missing:
+        raise ValueError(f"no file for {', '.join(missing)} in {folder}")
+    store = Publications(spark, root)
+    with store.publishing() as load:
+        tables = read_publication(
+            spark, folder, on_error=on_error, archived=archived, members=members, **scan_options
+        )
+        rejects: dict[str, DataFrame] = {}
+        if on_error == "quarantine":
+            for name, df in tables.items():
+                tables[name], rejects[f"{name}{REJECTS}"] = split_rejected(materialize(df, name))
+
+        def write(name: str, df: DataFrame) -> None:
+            keys = _keys(name)
+            if keys:
+                load.write(name, materialize(df, name), snapshot, keys, rows_per_file=rows_per_file)
+            else:
+                load.write(name, df, snapshot, ["codigo"] if name in DICTIONARIES else [], clustered=False)
+
+        establishments = tables[ESTABLISHMENT]
+        if active:
+            establishments = active_only(establishments, exclude_special=exclude_special)
+        first = {ESTABLISHMENT: establishments, **{name: tables[name] for name in DICTIONARIES}}
+        _at_once(lambda name: write(name, first[name]), list(first))
+        others = {name: tables[name] for name in FACTS if name != ESTABLISHMENT}
+        if active:
+            others = prune(others, load.read(ESTABLISHMENT, snapshot))
+        others |= rejects
+        _at_once(lambda name: write(name, others[name]), list(others))
+        return store.pin(load.commit())
+
+
 def _write_all(database: str, tables: dict[str, DataFrame]) -> None:
     def write(name: str) -> None:
         fresh = f"{database}.{name}{FRESH}"
@@ -113,7 +186,7 @@ def _write_all(database: str, tables: dict[str, DataFrame]) -> None:
 
 
 def _keys(name: str) -> list[str]:
-    if name not in FACTS:
+    if name not in FACTS:  # dictionaries, and rejects
         return []
     return [KEY, FULL_KEY] if name == ESTABLISHMENT else [KEY]
 

@@ -8,7 +8,7 @@ only rows of repeated keys take the general plan of numbering, unnesting and piv
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regispark.functions.codes import slot_count, split_codes
@@ -21,8 +21,10 @@ from regispark.operators.sizing import (
     broadcast_if_small,
     repeated_values,
 )
+from regispark.operators.statistics import Statistics
 from regispark.schemas import ACTIVITY_CODE_WIDTH
 from regispark.session import materialize
+from regispark.sinks.publications import Pinned
 from regispark.sources.snapshots import at_snapshot
 
 # --- Fixed values: column names of the profile ---
@@ -54,13 +56,16 @@ def company_profile(
     prefix: str | None = None,
     slots: int = SLOTS,
     limit: int = BROADCAST_LIMIT,
+    known: dict[str, Statistics] | None = None,
 ) -> DataFrame:
     """One row per establishment with up to ``slots`` secondary activities, described.
 
     ``snapshot`` restricts both sides to one publication date, ``prefix`` the company name.
     Companies without an establishment in the snapshot do not appear. List items are numbered in
-    list order; if an establishment key repeats, numbering goes on across its rows.
+    list order; if an establishment key repeats, numbering goes on across its rows. ``known`` has
+    statistics of the inputs by name: what they tell (sizes, keys that do not repeat) is not measured again.
     """
+    known = known or {}
     companies = companies.select("cnpj_basico", "razao_social", "data")
     establishments = establishments.select(
         "cnpj", "cnpj_basico", "sigla_uf", "id_municipio", "cnae_fiscal_principal", LIST, "data"
@@ -76,8 +81,9 @@ def company_profile(
     cities = cities.select(F.col("id_municipio").alias("_city"), F.col("nome").alias("_name"))
 
     (companies, few_companies), (activity, few_activities), (city, _) = broadcast_if_small(
-        companies, activities, cities, limit=limit
-    )
+        companies, activities, cities, limit=limit,
+        known=[known[n].bytes if n in known else None for n in ("companies", "activities", "cities")],
+    )
     rows = companies.withColumnRenamed("data", "data_info").join(
         establishments.drop("data"), "cnpj_basico", "inner"
     )
@@ -88,13 +94,16 @@ def company_profile(
         .select(*KEYS, LIST)
     )
 
-    if any_repeated(activities.select("_activity"), cities.select("_city")):
+    once = all(n in known and known[n].unique("codigo") for n in ("activities", "cities"))
+    if not once and any_repeated(activities.select("_activity"), cities.select("_city")):
         # A code listed twice doubles rows; of its descriptions a slot shows the largest.
         texts = activities.groupBy("_activity").agg(F.max("_text").alias("_text"))
         texts = F.broadcast(texts) if few_activities else texts.hint("merge")
         return _repeated_profile(rows, texts, slots).select(*profile_columns(slots))
 
     unique = _wide if few_activities else _unnested
+    if _keys_are_unique(known):
+        return unique(rows, activity, slots).select(*profile_columns(slots))
     repeated = materialize(
         _repeated_keys(companies, establishments, few_companies, limit), "repeated"
     )
@@ -112,9 +121,28 @@ def profile_columns(slots: int = SLOTS) -> list[str]:
     return [*KEYS[:-1], *pairs, KEYS[-1]]
 
 
+def _keys_are_unique(known: dict[str, Statistics]) -> bool:
+    if not {"companies", "establishments"} <= set(known):
+        return False
+    establishments = known["establishments"]
+    listed_once = establishments.unique("cnpj") and establishments.nulls["cnpj"] <= 1
+    return bool(listed_once and known["companies"].unique("cnpj_basico"))
+
+
+def loaded_profile(registry: Pinned, snapshot: str, **options) -> DataFrame:
+    """``company_profile`` of one snapshot of published tables, with the statistics of their loads."""
+    named = {"companies": "empresa", "establishments": "estabelecimento", "activities": "cnae", "cities": "munic"}
+    tables = {name: registry.table(name) for name in named.values()}
+    for name in ("cnae", "munic"):
+        tables[name] = at_snapshot(tables[name], str(snapshot))
+    known = {role: registry.statistics(name, snapshot) for role, name in named.items()}
+    inputs = profile_inputs(tables, F.col("snapshot"))
+    return company_profile(**inputs, snapshot=str(snapshot), known=known, **options)
+
+
 def profile_inputs(tables: dict[str, DataFrame], snapshot: object) -> dict[str, DataFrame]:
-    """Arguments of ``company_profile`` from the typed registry tables of one snapshot."""
-    date = F.lit(snapshot).alias("data")
+    """Arguments of ``company_profile`` from the typed registry tables; ``snapshot`` is a value, or a column of them."""
+    date = (snapshot if isinstance(snapshot, Column) else F.lit(snapshot)).alias("data")
     main = padded_code(F.col("cnae_fiscal_principal"), ACTIVITY_CODE_WIDTH)
     return {
         "companies": tables["empresa"].select("cnpj_basico", "razao_social", date),

@@ -168,3 +168,8 @@ def code_links(source: str) -> list[Link]:
         for link in LINKS
         if link.source == source and link.target in DICTIONARIES and not link.many
     ]
+
+
+def list_links(source: str) -> list[Link]:
+    """Links from a column that lists codes."""
+    return [link for link in LINKS if link.source == source and link.many]

@@ -64,6 +64,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
     """Give the package to the executors, once per Spark context.
 
@@ -85,4 +88,50 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-_SHIPPED: set[str] = set()
+def _at(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    files, place = _at(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """A new empty file; False if there is one."""
+    files, place = _at(spark, path)
+    if files.exists(place):
+        return False
+    try:
+        files.create(place, False).close()
+    except Exception as problem:
+        if "AlreadyExists" in str(problem):
+            return False
+        raise
+    return True
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new file that is seen whole or not at all."""
+    files, place = _at(spark, path)
+    _, aside = _at(spark, f"{path}.{uuid.uuid4().hex}")
+    out = files.create(aside, False)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    if files.exists(place) or not files.rename(aside, place):
+        files.delete(aside, False)
+        raise RuntimeError(f"{path} exists")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Drops a file, or a folder with all that is in it."""
+    files, place = _at(spark, path)
+    files.delete(place, True)

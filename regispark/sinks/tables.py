@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regispark.operators.sizing import HOT_ROWS, hot_values, with_place
+from regispark.operators.sizing import HOT_ROWS, heavy_keys, split_by_keys, with_place
 from regispark.sources.delimited import BLANKS, FORMAT
 
 # Fixed value: rows per insert.
@@ -57,34 +57,34 @@ def write_indexed(df: DataFrame, table: str, *keys: str) -> None:
     writer.saveAsTable(table)
 
 
-def clustered(df: DataFrame, *keys: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clustered(df: DataFrame, *keys: str, files: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows range-partitioned and sorted by key, for files whose min/max ranges hardly overlap.
 
-    Meant for a written table: the ranges are sampled from it first. A key that holds very many
-    rows is split over several files.
+    Meant for a written table: the ranges are sampled from it first. A set of keys that holds very many
+    rows is split over several files; only its rows are given places to split them by.
     """
-    if not hot_values(df, keys[0], hot_rows):
-        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = with_place(df, "_place").repartitionByRange(*keys, "_place")
+    count = [files] if files else []
+    hot = heavy_keys(df, *keys, min_rows=hot_rows)
+    if hot.isEmpty():
+        return df.repartitionByRange(*count, *keys).sortWithinPartitions(*keys)
+    others, alike = split_by_keys(df, hot, *keys)
+    placed = others.withColumn("_place", F.lit(None).cast("bigint")).unionByName(with_place(alike, "_place"))
+    placed = placed.repartitionByRange(*count, *keys, "_place")
     return placed.sortWithinPartitions(*keys).drop("_place")
 
 
-def write_bucketed(
-    df: DataFrame, table: str, key: str, buckets: int, hot_rows: int = HOT_ROWS
-) -> bool:
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, hot_rows: int = HOT_ROWS) -> None:
     """Bucketed and sorted by key, so that joins on it need no shuffle.
 
-    A bucket is read by one task. That rules it out where a key holds very many rows: such a
-    table is clustered instead, joins on it shuffle, and AQE can split the key. Returns whether
-    the table is bucketed.
+    A bucket is read by one task, which rules it out where a key holds very many rows: that is an
+    error. Such a table is to be ``clustered``; joins on it shuffle, and AQE can split the key.
     """
-    if hot_values(df, key, hot_rows):
-        spread = clustered(df, key, hot_rows=hot_rows)
-        spread.write.format("parquet").mode("overwrite").saveAsTable(table)
-        return False
+    hot = heavy_keys(df, key, min_rows=hot_rows).limit(3).collect()
+    if hot:
+        told = ", ".join(f"{row[key]} ({row['n']} rows)" for row in hot)
+        raise ValueError(f"too many rows of one {key} for a bucket: {told}")
     writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite")
     writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    return True
 
 
 def analyze(spark: SparkSession, table: str, *columns: str) -> None:

@@ -9,27 +9,31 @@ from __future__ import annotations
 
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regispark.schemas import Table
-from regispark.sources.delimited import parse_lines, without_missing
 from regispark.session import ship
-from regispark.sources.files import list_files
+from regispark.sources.delimited import parse_lines, parse_records, recoded, without_missing
+from regispark.sources.files import is_leftover, list_files
+from regispark.sources.multiline import closed_length, records_of
 
 BLOCK_BYTES = 4 * 1024 * 1024
+#: Longest line or record of a member, in bytes; more is taken for damage.
+LONGEST = 64 * 1024 * 1024
 
 MEMBERS = "archive string, path string, member string, size bigint, error string"
-BLOCKS = "archive string, member string, block bigint, data binary, error string"
+BLOCKS = "archive string, path string, member string, block bigint, data binary, error string"
 
 
-def list_members(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
-    """One row per member of each archive, or one row with ``error`` for an unreadable archive.
+def list_members(spark: SparkSession, folder: str | Sequence[str], glob: str = "*.zip") -> DataFrame:
+    """One row per member of each archive of a folder, or of the archives named, or one row with ``error`` for
+    an unreadable archive.
 
-    Only the archives' directories are read.
+    Only the archives' directories are read. Give it, ``materialize``d, to the scans of several tables.
     """
     archives = list_files(spark, folder, glob).select("name", "path")
     ship(spark)
@@ -37,20 +41,27 @@ def list_members(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataF
 
 
 def expand_archives(
-    spark: SparkSession, folder: str, glob: str = "*.zip", containing: str = "", whole: bool = False
+    spark: SparkSession,
+    folder: str,
+    glob: str = "*.zip",
+    containing: str = "",
+    whole: bool = False,
+    multiline: bool = False,
+    members: DataFrame | None = None,
 ) -> DataFrame:
-    """``(archive, member, block, data, error)``: members as blocks of whole lines.
+    """``(archive, path, member, block, data, error)``: members as blocks of whole lines, or with ``multiline`` of
+    whole records, NULs removed.
 
-    ``containing`` picks members by a part of their name; only these are inflated. With ``whole``
-    every member is inflated once to see that it is sound, so a damaged one gives its error and no
+    ``containing`` picks members by a part of their name; only these are inflated. ``members`` is a listing
+    made before. With ``whole`` every member is inflated once to see that it is sound, so a damaged one gives its error and no
     blocks; without it, blocks come before damage further on is found.
     """
-    members = list_members(spark, folder, glob)
-    if containing:
-        name = F.element_at(F.split("member", "/"), -1)
-        members = members.where(F.col("member").isNull() | name.contains(containing))
+    if members is None:
+        members = list_members(spark, folder, glob)
+    name = F.element_at(F.split("member", "/"), -1)
+    members = members.where(F.col("member").isNull() | name.contains(containing) & ~is_leftover(name))
     ship(spark)
-    return _spread(members).mapInPandas(_checked_blocks if whole else _blocks, BLOCKS)
+    return _spread(members).mapInPandas(_block_reader(whole, multiline), BLOCKS)
 
 
 def archive_report(blocks: DataFrame) -> DataFrame:
@@ -61,8 +72,9 @@ def archive_report(blocks: DataFrame) -> DataFrame:
     )
 
 
-def archive_lines(blocks: DataFrame, on_error: str = "fail") -> DataFrame:
-    """``(archive, member, value)``: one row per line, decoded as ISO-8859-1.
+def archive_lines(blocks: DataFrame, on_error: str = "fail", multiline: bool = False) -> DataFrame:
+    """``(archive, path, member, value)``: one row per line, or per record of blocks made with ``multiline``,
+    decoded as ISO-8859-1.
 
     Blocks are spread over the cluster first, whatever member they come from. An unreadable archive
     or member fails the job, or with ``on_error="quarantine"`` gives no rows.
@@ -75,33 +87,57 @@ def archive_lines(blocks: DataFrame, on_error: str = "fail") -> DataFrame:
     else:
         data = blocks.where(F.col("data").isNotNull())
     data = data.repartition("archive", "member", "block")
+    if multiline:
+        ship(data.sparkSession)
+        return data.select("archive", "path", "member", "data").mapInPandas(
+            _records, "archive string, path string, member string, value string"
+        )
     text = F.rtrim(F.decode("data", "ISO-8859-1"), F.lit("\n"))
-    return data.select("archive", "member", F.explode(F.split(text, "\n", -1)).alias("value"))
+    return data.select("archive", "path", "member", F.explode(F.split(text, "\n", -1)).alias("value"))
 
 
-def scan_archives(
-    spark: SparkSession,
-    folder: str,
+def scan_archives(spark: SparkSession, folder: str | Sequence[str], names: list[str], **options) -> DataFrame:
+    """Staging rows straight from archives; options as for ``scan_members``."""
+    return scan_members(list_members(spark, folder), names, **options)
+
+
+def scan_members(
+    members: DataFrame,
     names: list[str],
     *,
     containing: str = "",
     na_tokens: Sequence[str] = (),
     on_error: str = "fail",
-    **options,
+    multiline: bool = False,
+    encoding: str = "cp1252",
+    keep: bool = False,
 ) -> DataFrame:
-    """Staging rows straight from archives; options as for ``delimited.parse_lines``.
+    """Staging rows of the members listed, as ``delimited.scan`` gives them for files; ``multiline`` allows line
+    breaks inside quotes, ``keep`` keeps the ``path`` of each row's archive.
 
     An unreadable archive or member fails the job. With ``on_error="quarantine"`` it gives no rows at
     all, and ``archive_report`` names it.
     """
-    blocks = expand_archives(spark, folder, containing=containing, whole=on_error != "fail")
-    rows = parse_lines(archive_lines(blocks, on_error), names, decoded=True, on_error=on_error, **options)
+    spark = members.sparkSession
+    blocks = expand_archives(
+        spark, "", containing=containing, whole=on_error != "fail", multiline=multiline, members=members
+    )
+    lines = archive_lines(blocks, on_error, multiline)
+    kept = ["path"] if keep else []
+    if multiline:
+        whole = lines.select(*kept, recoded(F.col("value"), encoding).alias("value"), F.lit(True).alias("whole"))
+        rows = parse_records(whole, names, on_error=on_error, keep=kept)
+    else:
+        rows = parse_lines(lines, names, decoded=True, encoding=encoding, on_error=on_error, keep=kept)
     return without_missing(rows, names, na_tokens)
 
 
-def scan_archived_table(spark: SparkSession, folder: str, table: Table, **options) -> DataFrame:
+def scan_archived_table(
+    spark: SparkSession, folder: str, table: Table, members: DataFrame | None = None, **options
+) -> DataFrame:
     """Staging rows of every archived file whose name holds the table's token."""
-    return scan_archives(spark, folder, table.names, containing=table.token, **options)
+    listed = list_members(spark, folder) if members is None else members
+    return scan_members(listed, table.names, containing=table.token, **options)
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -131,18 +167,25 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns)
 
 
-def _checked_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    return _blocks(batches, whole=True)
+def _block_reader(whole: bool, multiline: bool):
+    return lambda batches: _blocks(batches, whole, _whole_records if multiline else _whole_lines)
+
+
+def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for archive, path, member, data in zip(batch["archive"], batch["path"], batch["member"], batch["data"]):
+            values = [record.decode("latin-1") for record in records_of(bytes(data))]
+            yield pd.DataFrame({"archive": archive, "path": path, "member": member, "value": values})
 
 
-def _blocks(batches: Iterator[pd.DataFrame], whole: bool = False) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "member", "block", "data", "error"]
+def _blocks(batches: Iterator[pd.DataFrame], whole: bool, cut: Callable) -> Iterator[pd.DataFrame]:
+    columns = ["archive", "path", "member", "block", "data", "error"]
     for batch in batches:
         for name, path, member, error in zip(
             batch["archive"], batch["path"], batch["member"], batch["error"]
         ):
             if member is None:
-                yield pd.DataFrame([(name, None, None, None, error)], columns=columns)
+                yield pd.DataFrame([(name, path, None, None, None, error)], columns=columns)
                 continue
             number = -1
             try:
@@ -152,23 +195,40 @@ def _blocks(batches: Iterator[pd.DataFrame], whole: bool = False) -> Iterator[pd
                             while stream.read(BLOCK_BYTES):  # ends in a check of the sum
                                 pass
                     with archive.open(member) as stream:
-                        for number, data in enumerate(_whole_lines(stream)):
+                        for number, data in enumerate(cut(stream)):
                             yield pd.DataFrame(
-                                [(name, member, number, data, None)], columns=columns
+                                [(name, path, member, number, data, None)], columns=columns
                             )
                 if number < 0:
-                    yield pd.DataFrame([(name, member, 0, b"", None)], columns=columns)
+                    yield pd.DataFrame([(name, path, member, 0, b"", None)], columns=columns)
             except Exception as problem:  # report a damaged member, go on with the next
                 text = f"{type(problem).__name__}: {problem}"
-                yield pd.DataFrame([(name, member, number + 1, None, text)], columns=columns)
+                yield pd.DataFrame([(name, path, member, number + 1, None, text)], columns=columns)
 
 
 def _whole_lines(stream) -> Iterator[bytes]:
-    rest = b""
+    rest: list[bytes] = []
     while chunk := stream.read(BLOCK_BYTES):
-        head, newline, tail = (rest + chunk).rpartition(b"\n")
+        head, newline, tail = chunk.rpartition(b"\n")
         if newline:
-            yield head + newline
-        rest = tail
+            yield b"".join([*rest, head, newline])
+            rest = []
+        rest.append(tail)
+        if sum(map(len, rest)) > LONGEST:
+            raise ValueError(f"a line of more than {LONGEST} bytes")
+    if any(rest):
+        yield b"".join(rest)
+
+
+def _whole_records(stream) -> Iterator[bytes]:
+    rest = b""
+    while chunk := stream.read(max(BLOCK_BYTES, len(rest))):
+        rest += chunk.replace(b"\x00", b"")
+        size = closed_length(rest)
+        if size:
+            yield rest[:size]
+        rest = rest[size:]
+        if len(rest) > LONGEST:
+            raise ValueError(f"a record of more than {LONGEST} bytes")
     if rest:
         yield rest

@@ -10,10 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from regispark.functions.codepage import controls_to_cp1252, latin1, strip_nul
-from regispark.schemas import Table, text_schema
+from regispark.schemas import Table
+from regispark.sources.files import is_leftover
+from regispark.sources.multiline import read_lines, records
 
 # The file format.
 FORMAT = {"sep": ";", "quote": '"', "escape": '"', "header": "false"}
@@ -48,11 +49,13 @@ def scan(
 
     ``on_error="fail"`` stops the job at a row with the wrong number of fields; ``"quarantine"``
     keeps such rows with the raw line in ``_corrupt`` (see ``split_corrupt``).
-    Blank lines are skipped. ``multiline`` allows line breaks inside quotes, at the price of one
-    task per file.
+    Blank lines are skipped, and files that a load left behind (``files.is_leftover``). ``multiline`` allows line breaks inside quotes, at the price of reading
+    the files twice, the first time at once (see ``multiline.records``).
     """
     if multiline:
-        rows = _scan_multiline(spark, paths, names, encoding, on_error, glob)
+        lines = read_lines(spark, paths, glob)
+        whole = records(lines, recoded(latin1(F.col("value")), encoding), file=FILE, on_error=on_error)
+        rows = parse_records(whole, names, on_error=on_error, keep=[FILE])
     else:
         reader = spark.read.option("lineSep", "\n")
         if glob:
@@ -65,9 +68,7 @@ def scan(
             on_error=on_error,
             keep=[FILE],
         )
-    named = [paths] if isinstance(paths, str) else paths
-    if not any(path.lower().endswith(".tmp.csv") for path in named):  # a load's leftovers in a folder
-        rows = rows.where(~F.lower(FILE).endswith(".tmp.csv"))
+    rows = rows.where(~is_leftover(F.col(FILE)))
     rows = without_missing(rows, names, na_tokens)
     return rows if file_column else rows.drop(FILE)
 
@@ -93,9 +94,23 @@ def parse_lines(
     return lines.select(*keep, parsed)
 
 
+def parse_records(
+    whole: DataFrame, names: Sequence[str], *, on_error: str = "fail", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of text from cleaned records (``value``), which may hold line breaks. A record that is not
+    ``whole`` is a corrupt row."""
+    text = _without_cr(F.col("value"))
+    lines = whole.where(F.ltrim(F.col("value"), F.lit(" \r")) != "")
+    if on_error == "fail":
+        return lines.select(*keep, F.inline(F.array(_from_csv(text, names, on_error))))
+    parsed = lines.where("whole").select(*keep, F.inline(F.array(_from_csv(text, names, on_error))))
+    nothing = [F.lit(None).cast("string").alias(name) for name in names]
+    return parsed.unionByName(lines.where("not whole").select(*keep, *nothing, F.col("value").alias(CORRUPT)))
+
+
 def clean_line(latin1_line: Column, encoding: str = "cp1252") -> Column:
     """Line in its real encoding, without NULs and without the CR of a CRLF ending."""
-    return _without_cr(_recode(latin1_line, encoding))
+    return _without_cr(recoded(latin1_line, encoding))
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,7 +136,8 @@ def scan_table(spark: SparkSession, folder: str, table: Table, **options) -> Dat
     return scan(spark, folder, table.names, glob=f"*{table.token}*", **options)
 
 
-def _recode(latin1_text: Column, encoding: str) -> Column:
+def recoded(latin1_text: Column, encoding: str) -> Column:
+    """Text in its real encoding, without NULs."""
     if encoding not in ENCODINGS:
         raise ValueError(f"encoding must be one of {ENCODINGS}")
     return strip_nul(controls_to_cp1252(latin1_text) if encoding == "cp1252" else latin1_text)
@@ -140,27 +156,3 @@ def _from_csv(line: Column, names: Sequence[str], on_error: str) -> Column:
         columns.append(f"`{CORRUPT}` string")
         options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return F.from_csv(line, ", ".join(columns), options)
-
-
-def _scan_multiline(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    names: Sequence[str],
-    encoding: str,
-    on_error: str,
-    glob: str | None,
-) -> DataFrame:
-    schema = text_schema(list(names))
-    reader = spark.read.options(**PARSE).option("encoding", "ISO-8859-1").option("multiLine", True)
-    if on_error == "fail":
-        reader = reader.option("mode", "FAILFAST")
-    else:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    rows = reader.schema(schema).csv(paths if isinstance(paths, str) else list(paths))
-
-    cleaned = {c: _recode(F.col(c), encoding) for c in names}
-    cleaned[names[-1]] = _without_cr(cleaned[names[-1]])
-    return rows.withColumns(cleaned).withColumn(FILE, F.col("_metadata.file_name"))

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from regispark.operators.typing import typed
 from regispark.sources.delimited import FILE, parse_lines
+from regispark.sources.files import is_leftover
 
 FILES_PER_BATCH = 1000
 
@@ -24,7 +25,8 @@ def stream_files(
 ) -> DataFrame:
     """Typed rows of files as they arrive, with the same cleaning and typing as the batch scan.
 
-    A file counts as new by its path: publish changed files under new names.
+    A file counts as new by its path: publish changed files under new names, or use
+    ``streaming.files``.
     """
     lines = (
         spark.readStream.format("text")
@@ -35,6 +37,7 @@ def stream_files(
         .withColumn(FILE, F.col("_metadata.file_name"))
     )
     names = [name for name, _ in columns]
+    lines = lines.where(~is_leftover(F.col(FILE)))
     rows = parse_lines(lines, names, encoding=encoding, on_error=on_error)
     return typed(rows, columns, on_error=on_error)
 

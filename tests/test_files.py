@@ -128,17 +128,15 @@ def test_replace_append_drop(spark, database):
 def test_bucketed_semi_join_needs_no_shuffle(spark, database, explain):
     rows = spark.range(1000).select((F.col("id") % 100).cast("string").alias(KEY), "id")
     keys = rows.where("id < 50").select(KEY).distinct()
-    assert sinks.write_bucketed(rows, f"{database}.socios", KEY, 4) is True
+    sinks.write_bucketed(rows, f"{database}.socios", KEY, 4)
     sinks.write_bucketed(keys, f"{database}.active", KEY, 4)
     right = spark.table(f"{database}.active").hint("merge")
     joined = spark.table(f"{database}.socios").join(right, KEY, "left_semi")
     assert joined.count() == 500
     assert "Exchange" not in explain(joined)
-    assert sinks.write_bucketed(rows, f"{database}.hot", KEY, 4, hot_rows=10) is False
-    right = spark.table(f"{database}.active").hint("merge")
-    joined = spark.table(f"{database}.hot").join(right, KEY, "left_semi")
-    assert joined.count() == 500
-    assert "Exchange" in explain(joined)
+    with pytest.raises(ValueError, match="10 rows"):
+        sinks.write_bucketed(rows, f"{database}.hot", KEY, 4, hot_rows=10)
+    assert not spark.catalog.tableExists(f"{database}.hot")
 
 
 def test_indexed_table_has_bloom_filters(spark, database, tmp_path):

@@ -3,14 +3,14 @@ from pyspark.sql import functions as F
 
 from regispark.operators import joins
 from regispark.operators.enrich import enrich
-from regispark.operators.numbering import row_numbers, row_range, rows_between, sorted_runs
+from regispark.operators.numbering import Chunks, row_numbers, row_range, rows_between, sorted_runs
 from regispark.operators.prune import active_only, prune
 from regispark.operators.sizing import (
     any_repeated,
     broadcast_if_small,
-    hot_values,
-    is_one_of,
+    heavy_keys,
     measured_bytes,
+    split_by_keys,
 )
 
 
@@ -41,10 +41,19 @@ def test_sizes(spark, companies):
     assert broadcast_if_small(companies, limit=small - 1)[0][1] is False
 
 
-def test_hot_values(establishments):
-    assert hot_values(establishments, "k", 100) == [3]
-    assert hot_values(establishments, "k", 10_000) == []
-    assert establishments.where(is_one_of(F.col("k"), [3, None])).count() == 421
+def test_heavy_keys(spark, establishments):
+    assert rows(heavy_keys(establishments, "k", min_rows=100)) == [(3, 420)]
+    assert rows(heavy_keys(establishments, "k", min_rows=10_000)) == []
+    assert rows(heavy_keys(establishments.limit(0), "k", min_rows=1)) == []
+    some = spark.createDataFrame([(3,), (None,)], "k int")
+    others, those = split_by_keys(establishments, some, "k")
+    assert those.count() == 421
+    assert others.count() == establishments.count() - 421
+    pairs = heavy_keys(establishments, "k", "e", min_rows=20)
+    assert rows(pairs) == [(3, "x", 400)]
+
+
+def test_any_repeated(establishments):
     assert any_repeated(establishments.select("k")) is True
     assert any_repeated(establishments.select("k").distinct()) is False
 
@@ -56,16 +65,38 @@ def test_left_join_with_a_hot_key(companies, establishments, hot_rows):
     assert rows(got) == rows(want)
 
 
-def test_hot_key_is_spread(companies, establishments, explain):
-    got = joins.company_establishment(companies, establishments, "k", hot_rows=100)
-    assert "_salt" in explain(got)
-    per_salt = (
-        joins.with_place(establishments, "_place")
-        .where("k = 3")
-        .groupBy(F.pmod("_place", F.lit(joins.SALTS)))
-        .count()
-    )
-    assert per_salt.agg(F.max("count")).first()[0] <= 10
+def test_all_of_many_heavy_keys_are_found(spark):
+    """1,200 keys with 100 to 102 rows among 40,000 with fewer; nulls heavy too."""
+    hot = spark.range(1_200 * 100).select((F.col("id") % 1_200).alias("k"))
+    more = spark.range(2 * 1_200).select((F.col("id") % 1_200).alias("k"))
+    cold = spark.range(40_000 * 3).select((F.col("id") % 40_000 + 5_000).alias("k"))
+    none = spark.range(150).select(F.lit(None).cast("bigint").alias("k"))
+    df = hot.unionByName(more).unionByName(cold).unionByName(none)
+    found = dict(heavy_keys(df, "k", min_rows=100).collect())
+    assert found == {**{k: 102 for k in range(1_200)}, None: 150}
+    some = df.where("k is null or k < 40 or k > 44000").withColumn("v", F.monotonically_increasing_id())
+    numbered = row_numbers(some, "k", ["v"], "n", hot_rows=100)
+    again = numbered.groupBy("k").agg(F.count("*").alias("c"), F.max("n").alias("m"), F.countDistinct("n").alias("d"))
+    assert again.where("c <> m or c <> d").count() == 0
+    assert again.count() == 1_040
+    companies = df.distinct().withColumn("name", F.col("k").cast("string"))
+    for limit in (0, 10**8):
+        joined = joins.company_establishment(companies, df.withColumn("e", F.lit(1)), "k", limit=limit, hot_rows=100)
+        assert joined.where("e is not null").count() == df.dropna().count()
+        assert joined.where("e is null").count() == 1
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_hot_keys_are_spread(spark, companies, establishments, explain, limit):
+    got = joins.company_establishment(companies, establishments, "k", limit=limit, hot_rows=100)
+    plan = explain(got)
+    assert ("_piece" in plan) == (limit == 0)
+    assert rows(got) == rows(companies.join(establishments, "k", "left"))
+    hot = heavy_keys(establishments, "k", min_rows=100)
+    _, many = split_by_keys(establishments, hot, "k")
+    pieces = F.pmod(F.xxhash64("_place"), F.lit(5))  # 420 rows in pieces of 100
+    per_piece = joins.with_place(many, "_place").groupBy(pieces).count()
+    assert per_piece.agg(F.max("count")).first()[0] <= 120
 
 
 @pytest.mark.parametrize("limit", [0, 10**6])
@@ -224,3 +255,40 @@ def test_whole_orders_are_joined(spark):
     found = [k for k in keys if k is not None]
     assert len(found) == spark.read.parquet(f"{folder}/orders.parquet").count()
     assert len(keys) - len(found) >= spark.read.parquet(f"{folder}/customer.parquet").count() // 10
+
+
+NAMES = ["Ana", "ana", "Álvaro", "", None, "Bruno", "Bruno ", "Çelik", "Zé"]
+
+
+@pytest.mark.parametrize("skip", [0, 1, 37, 500, 950, 999, 1200])
+def test_row_range_of_text_and_several_columns(spark, skip, monkeypatch):
+    """A part of the rows is sorted and written, whatever the types of the order."""
+    from regispark.operators import numbering
+
+    sorted_sizes = []
+    monkeypatch.setattr(
+        numbering, "sorted_runs", lambda df, by: sorted_sizes.append(df.count()) or sorted_runs(df, by)
+    )
+    monkeypatch.setattr(numbering, "SAMPLED", 300)
+    data = [(NAMES[i * 7 % 9], None if i % 11 == 0 else i * 31 % 50 / 4, i * 7919 % 1000, i % 2 == 0) for i in range(1000)]
+    df = spark.createDataFrame(data, "name string, part double, id int, flag boolean").repartition(5)
+    order = sorted(data, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0, r[2]))
+    got = numbering.row_range(df, ["name", "part", "id"], skip, 10, small=40).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(order[skip : skip + 10], key=repr)
+    assert sorted_sizes[0] <= 100
+
+
+def test_row_range_of_alike_rows_ends(spark):
+    df = spark.range(300).select(F.lit("same").alias("v"), "id")
+    got = row_range(df, ["v"], 290, 100, small=5).collect()
+    assert len(got) == 10
+    assert row_range(df.limit(0), ["v"], 0, 10).collect() == []
+
+
+def test_chunk_sizes_are_read_once(spark):
+    chunks = Chunks(sorted_runs(spark.range(100).select(F.col("id").cast("string").alias("v")), ["v"]))
+    chunks.runs.sparkSession.sparkContext.setJobGroup("chunks", "")
+    parts = [chunks.rows(skip, 30) for skip in range(0, 120, 30)]
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("chunks")) == []
+    spark.sparkContext.setJobGroup("", "")
+    assert [p.count() for p in parts] == [30, 30, 30, 10]

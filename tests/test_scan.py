@@ -156,3 +156,46 @@ def test_links(spark):
     ]
     bare = spark.createDataFrame([("http://h", '<a href="x">')], "url string, html string")
     assert extract_links(bare).first()["target"] == "http://h/x"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<a data-href="no.zip">', []),
+        ('<!-- <a href="no.zip"> --><a href=y.zip>', ["http://h/d/y.zip"]),
+        ('<!-- never closed <a href="no.zip">', []),
+        ("<script>'<a href=\"no.zip\">'</script><style>href=no</style>", []),
+        ("<a href='..&#x2F;x.zip'>", ["http://h/x.zip"]),
+        ("<a href='a&#47;..&#47;b&amp;#47;'>", ["http://h/d/b&#47;"]),
+        ("<a href=../../../x><a href=./><a href=..>", ["http://h/x", "http://h/d/", "http://h/"]),
+        ("<a title='x > y' href=\"q?a=../b#../c\">", ["http://h/d/q?a=../b#../c"]),
+        ("<a href='first' href='second'>", ["http://h/d/first"]),
+        ("< a href=no><a\nHREF\n=\n'n\ne w'>", ["http://h/d/ne w"]),
+        ("<a href='&#128512;&#xD800;&#0;'>", ["http://h/d/\U0001f600\ufffd\ufffd"]),
+        ("<a href='&bogus;&lt'>", ["http://h/d/&bogus;&lt"]),
+        ("<a href='//o/x/../y'><a href=''>", ["http://o/x/../y"]),
+        ("x" * 300_000 + "<p " + "a='b' " * 50_000 + ">" + "<a href=z>", ["http://h/d/z"]),
+    ],
+)
+def test_links_as_a_parser_sees_them(spark, html, want):
+    df = spark.createDataFrame([("http://h/d/i.html?q#f", html)], "url string, html string")
+    assert [r.target for r in extract_links(df).collect()] == want
+
+
+def test_url_join_like_the_standard_library(spark):
+    import random
+    from urllib.parse import urljoin
+
+    from regispark.sources.links import join_url
+
+    draw = random.Random(4)
+    parts = ["a", "b.zip", ".", "..", "", "c d"]
+    bases = ["http://h/d/e/i.html?q#f", "https://h", "http://h/x/", "http://h:8/y?z"]
+    rows = []
+    for _ in range(400):
+        path = "/".join(draw.choice(parts) for _ in range(draw.randrange(1, 7)))
+        if path.strip("/") and not path.startswith("//") and "//" not in path:
+            rows.append((draw.choice(bases), path + draw.choice(["", "?s=../t", "#u/../v"])))
+    df = spark.createDataFrame(rows, "base string, link string")
+    for row in df.withColumn("target", join_url(F.col("base"), F.col("link"))).collect():
+        assert row.target == urljoin(row.base, row.link), row
