@@ -198,9 +198,9 @@ def _above_cutoff(group, lists: int):
             for row in batch.to_pylist():
                 q, pos, score = [], [], []
                 for at, found in group.value.scores(row):
-                    # ceil(cutoff / lists), without leaving whole numbers
-                    least = -(-group.value.cutoff[at : at + SLICE] // lists)
-                    least = np.maximum(least, LEAST + 1)[:, None]
+                    cutoff = group.value.cutoff[at : at + SLICE]
+                    # cutoff / lists, rounded up; without a cutoff all entries
+                    least = np.where(cutoff == LEAST, LEAST + 1, (cutoff + (lists - 1)) // lists)[:, None]
                     there, place = np.nonzero(found >= least)
                     q.append(at + there)
                     pos.append(place)

@@ -34,7 +34,7 @@ NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _turns() -> Column:
-    """Turns of a conversation in order: by turn (null first), role, then digest of the text."""
+    """Turns of a conversation in order: by turn (null first), role, then a digest of role and text."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     told = F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text))
     one = F.struct("turn", role.alias("role"), told.alias("told"), F.size(words(text)).alias("words"))
