@@ -7,28 +7,30 @@ bucket, batches are formed of as many rows as a token budget holds.
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regispark.llm.frames import materialize, words
+from regispark.operators.sizing import heavy_keys, split_by_keys
 
 BUCKETS = 16
 #: Tokens of a batch, padding included; a longer document is a batch by itself.
 BUDGET = 65_536
-#: Up to this length every length is counted by itself; longer ones are rounded up by less than
-#: one part in ``FINE`` / 2, so the histogram has at most EXACT + 64 * FINE rows whatever the input.
-EXACT = 16_384
-FINE = 4_096
 #: Rows of a shard, in which one task numbers rows.
 SHARD_ROWS = 50_000
 
 
-def counted_length(length: Column) -> Column:
-    """The length a document counts as in the histogram: itself, or rounded up beyond ``EXACT``."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(EXACT)).cast("double"))) - 12).cast("bigint")
-    return F.when(length <= EXACT, length).otherwise(F.ceil(length / step) * step).cast("bigint")
+def counted_length(length: Column, fine: int | None = None) -> Column:
+    """The length a document counts as in the histogram: itself, or with ``fine`` rounded up by less than
+    one part in ``fine`` / 2."""
+    if fine is None:
+        return length.cast("bigint")
+    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(fine)).cast("double") / fine))).cast("bigint")
+    return (F.ceil(length / step) * step).cast("bigint")
 
 
 def best_lengths(histogram: Sequence[tuple[int, int]], buckets: int) -> list[int]:
@@ -43,36 +45,45 @@ def best_lengths(histogram: Sequence[tuple[int, int]], buckets: int) -> list[int
     rows = sorted((length, n) for length, n in histogram if n > 0)
     if not rows:
         return []
-    lengths = [length for length, _ in rows]
-    docs, tokens = [0], [0]
+    # Plain arrays of numbers: there may be millions of lengths.
+    lengths = array("q", (length for length, _ in rows))
+    docs, tokens = array("q", [0]), array("q", [0])
     for length, n in rows:
         docs.append(docs[-1] + n)
         tokens.append(tokens[-1] + length * n)
     count = len(rows)
-    waste = [0] + [None] * count  # of the first j lengths in 0 buckets: only none at all
-    choices: list[list[int]] = []
+    unknown = -1
+    waste = array("q", [0]) + array("q", [unknown]) * count  # of the first j lengths in 0 buckets: only none at all
+    choices: list[array] = []
     best = None
     for _ in range(min(buckets, count)):
-        hull: list[tuple[int, int, int]] = []  # slope, height, i
+        # Lines as place i and height; the slope is -docs[i].
+        hull, heights = array("q"), array("q")
         head = 0
-        new, choice = [None] * (count + 1), [0] * (count + 1)
+        new, choice = array("q", [unknown]) * (count + 1), array("i", [0]) * (count + 1)
         for j in range(1, count + 1):
             i = j - 1
-            if waste[i] is not None:
-                line = (-docs[i], waste[i] + tokens[i], i)
-                while len(hull) - head >= 2 and _covered(hull[-2], hull[-1], line):
+            if waste[i] != unknown:
+                line = (-docs[i], waste[i] + tokens[i])
+                while len(hull) - head >= 2 and _covered(
+                    (-docs[hull[-2]], heights[-2]), (-docs[hull[-1]], heights[-1]), line
+                ):
                     hull.pop()
-                hull.append(line)
+                    heights.pop()
+                hull.append(i)
+                heights.append(line[1])
             if head == len(hull):
                 continue
             at = lengths[j - 1]
-            while len(hull) - head >= 2 and hull[head + 1][0] * at + hull[head + 1][1] <= hull[head][0] * at + hull[head][1]:
+            while len(hull) - head >= 2 and (
+                heights[head + 1] - docs[hull[head + 1]] * at <= heights[head] - docs[hull[head]] * at
+            ):
                 head += 1
-            slope, height, i = hull[head]
-            new[j], choice[j] = slope * at + height + at * docs[j] - tokens[j], i
+            i = hull[head]
+            new[j], choice[j] = heights[head] - docs[i] * at + at * docs[j] - tokens[j], i
         waste = new
         choices.append(choice)
-        if waste[count] is not None and (best is None or waste[count] < best[0]):
+        if waste[count] != unknown and (best is None or waste[count] < best[0]):
             best = (waste[count], len(choices))
     ends, j = [], count
     for k in range(best[1], 0, -1):
@@ -81,49 +92,68 @@ def best_lengths(histogram: Sequence[tuple[int, int]], buckets: int) -> list[int
     return ends[::-1]
 
 
-def _covered(a: tuple[int, int, int], b: tuple[int, int, int], c: tuple[int, int, int]) -> bool:
+def _covered(a: tuple[int, int], b: tuple[int, int], c: tuple[int, int]) -> bool:
     """Whether the line ``b`` is nowhere below both ``a`` and ``c``, which have more and less slope."""
     return (c[1] - a[1]) * (a[0] - b[0]) <= (b[1] - a[1]) * (a[0] - c[0])
 
 
 def packed(
-    docs: DataFrame, length: str, key: Sequence[str], buckets: int = BUCKETS, budget: int = BUDGET
+    docs: DataFrame, length: str, key: Sequence[str], buckets: int = BUCKETS, budget: int = BUDGET, fine: int | None = None
 ) -> DataFrame:
     """``docs`` with ``bucket_length``, ``batch`` and ``place``, in place of columns of those names.
 
     A batch is named by its bucket's length, its shard and its number: it has
     ``max(1, budget // bucket_length)`` places, counted from 0. Rows are dealt into shards by a hash
     of ``key``, so that no task numbers more than a bounded part of a bucket however many rows it
-    holds, and go by length and ``key`` inside it; rows alike in both are in any order. The last
-    batch of a shard may be part full. A null length counts as 0, and length 0 has a bucket like
-    any other length. No row is dropped or cut. Empty input gives no rows.
+    holds, and go by length and ``key`` inside it; rows alike in both are in any order. Rows of a
+    ``key`` that more than a shard's rows hold are dealt by their place in ``docs``, which is to be a
+    written table. The last batch of a shard may be part full. A null length counts as 0, and
+    length 0 has a bucket like any other length. No row is dropped or cut. Empty input gives no rows.
+
+    The histogram of lengths, which the driver gets, has one entry for each length there is: fewer
+    than the square root of twice all tokens. ``fine`` rounds lengths for it, and so bounds it at about 64
+    times ``fine`` entries, at the price of boundaries that are best for rounded lengths.
     """
     others = [c for c in docs.columns if c not in ("bucket_length", "batch", "place")]
+    keys = [f"key_{k}" for k in range(len(key))]
     whole = F.coalesce(F.col(length), F.lit(0)).cast("bigint")
-    sized = docs.select(*others, whole.alias("_length"), counted_length(whole).alias("_counted"))
-    # At most EXACT + 64 * FINE rows reach the driver.
-    found = sized.groupBy("_counted").agg(F.count(F.lit(1)).alias("n"), F.max("_length").alias("longest")).collect()
-    histogram = [(r["_counted"], r["n"]) for r in found]
+    # The caller's columns travel in a struct, so that none has the name of one made here.
+    sized = docs.select(
+        F.struct(*others).alias("doc"), whole.alias("length"), *[F.col(c).alias(k) for c, k in zip(key, keys)]
+    ).withColumn("counted", counted_length(F.col("length"), fine))
+    told = sized.groupBy("counted").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("longest")).toArrow()
+    counted, number, most = (told.column(c).to_pylist() for c in ("counted", "n", "longest"))
+    histogram = list(zip(counted, number))
     # A bucket's own length is that of its longest document, which rounding may have raised.
-    longest = {r["_counted"]: r["longest"] for r in found}
+    longest = dict(zip(counted, most))
     ends = best_lengths(histogram, buckets) or [0]
+    rows = [0] * len(ends)
+    for size, n in histogram:
+        rows[bisect_left(ends, size)] += n
     fitting = F.lit(longest.get(ends[-1], 0))
-    for end in reversed(ends[:-1]):
-        fitting = F.when(F.col("_counted") <= end, F.lit(longest[end])).otherwise(fitting)
-    shards = F.lit(1)
-    for low, end in zip([-1, *ends[:-1]], ends):
-        rows = sum(n for counted, n in histogram if low < counted <= end)
-        shards = F.when(F.col("bucket_length") == longest.get(end, 0), F.lit(1 + rows // SHARD_ROWS)).otherwise(shards)
-    in_shard = Window.partitionBy("bucket_length", "_shard").orderBy("_counted", *key)
+    shards = F.lit(1 + rows[-1] // SHARD_ROWS)
+    for end, n in zip(reversed(ends[:-1]), reversed(rows[:-1])):
+        inside = F.col("counted") <= end
+        fitting = F.when(inside, F.lit(longest[end])).otherwise(fitting)
+        shards = F.when(inside, F.lit(1 + n // SHARD_ROWS)).otherwise(shards)
+    hot = heavy_keys(sized, *keys, min_rows=SHARD_ROWS)
+    placed = sized.withColumn("dealt", F.xxhash64(*keys))
+    if not hot.isEmpty():
+        few, many = split_by_keys(sized.withColumn("dealt", F.monotonically_increasing_id()), hot, *keys)
+        placed = few.withColumn("dealt", F.xxhash64(*keys)).unionByName(many.withColumn("dealt", F.xxhash64("dealt")))
+    in_shard = Window.partitionBy("bucket_length", "shard").orderBy("counted", *keys)
     numbered = (
-        sized.withColumn("bucket_length", fitting.cast("bigint"))
-        .withColumn("_shard", F.pmod(F.xxhash64(*key), shards).cast("bigint"))
-        .withColumn("_row", F.row_number().over(in_shard) - 1)
+        placed.withColumn("bucket_length", fitting.cast("bigint"))
+        .withColumn("shard", F.pmod("dealt", shards).cast("bigint"))
+        .withColumn("row", F.row_number().over(in_shard) - 1)
     )
     places = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("bucket_length"), F.lit(1)))).cast("bigint")
-    batch = F.concat_ws("-", "bucket_length", "_shard", F.floor(F.col("_row") / places).cast("bigint"))
+    batch = F.concat_ws("-", "bucket_length", "shard", F.floor(F.col("row") / places).cast("bigint"))
     return numbered.select(
-        *others, "bucket_length", batch.alias("batch"), F.pmod(F.col("_row"), places).cast("bigint").alias("place")
+        *[F.col("doc")[c].alias(c) for c in others],
+        "bucket_length",
+        batch.alias("batch"),
+        F.pmod(F.col("row"), places).cast("bigint").alias("place"),
     )
 
 
