@@ -16,9 +16,8 @@ from regispark.operators.joins import broadcast_if_small
 #: Fewest words of a document, and the largest part of them, in percent, in repeated windows.
 MIN_WORDS = 50
 MAX_REPEATED = 50
-#: A line is boilerplate when this many distinct texts of a host hold it; for ``judged``, also this part of them.
+#: A line is boilerplate when this many distinct texts of a host hold it.
 LINE_DOCS = 20
-LINE_SHARE = 0.10
 #: Part of its words that a document must keep without boilerplate lines.
 MIN_LEFT = 0.3
 GAPS = " \t\n\x0b\x0c\r"
@@ -32,6 +31,11 @@ def _removed(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
+def _text_hash(text: Column) -> Column:
+    """128 bits, as texts are told apart by them."""
+    return F.unhex(F.md5(text))
+
+
 def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.length(_removed(x, GAPS)) > 0)
 
@@ -90,7 +94,7 @@ def _line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
     """``host``, ``text_hash``, ``pos`` (in the text split at line ends), ``line`` (hash of the
     normalised line) and ``words`` of the lines with words, once for each distinct text of a host."""
     spoken = F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
-    lines = docs.select(F.col(host).alias("host"), F.xxhash64(text).alias("text_hash"), spoken)
+    lines = docs.select(F.col(host).alias("host"), _text_hash(F.col(text)).alias("text_hash"), spoken)
     lines = lines.where(F.length(_removed(F.col("col"), GAPS)) > 0)
     normal = F.lower(F.trim(F.regexp_replace("col", WORD_GAP, " ")))
     lines = lines.select(
@@ -109,15 +113,12 @@ def depleted_texts(docs: DataFrame, text: str = "text", host: str = "source") ->
     """``host`` and ``text_hash`` of the texts that keep too few words without boilerplate lines.
 
     Lines are normalised (lower case, single blanks) and counted once for each distinct text of a
-    host, so exact copies weigh as one. All lines of all documents count; counts are combined
-    before they are shuffled. A null host is a host of its own; a null text has no lines.
+    host, so exact copies weigh as one; the number of texts alone decides, whatever the size of the host.
+    All lines of all documents count; counts are combined before they are shuffled. A null host is a host of its own; a null text has no lines.
     """
     lines = _line_rows(docs, text, host)
-    hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    held = _often_held(lines)
+    often = _often_held(lines).select("host", "line", F.lit(True).alias("often"))
     same_host = F.col("a.host").eqNullSafe(F.col("b.host"))
-    often = held.alias("a").join(hosts.alias("b"), same_host).where(F.col("held") >= LINE_SHARE * F.col("texts"))
-    often = often.select(F.col("a.host").alias("host"), "line", F.lit(True).alias("often"))
     marked = lines.alias("a").join(often.alias("b"), same_host & (F.col("a.line") == F.col("b.line")), "left")
     left = F.sum(F.when(F.col("often").isNull(), F.col("words")).otherwise(0))
     return (
@@ -130,7 +131,7 @@ def depleted_texts(docs: DataFrame, text: str = "text", host: str = "source") ->
 
 def judged(docs: DataFrame) -> DataFrame:
     """``doc_id``, the counts, ``base_failed`` and ``kept`` of every row."""
-    counts = measured(docs.select("doc_id", "source", "text").withColumn("_hash", F.xxhash64("text"))).drop("text")
+    counts = measured(docs.select("doc_id", "source", "text").withColumn("_hash", _text_hash(F.col("text")))).drop("text")
     worn = depleted_texts(docs).withColumn("worn", F.lit(True))
     same = F.col("a.source").eqNullSafe(F.col("b.host")) & (F.col("_hash") == F.col("text_hash"))
     return counts.alias("a").join(worn.alias("b"), same, "left").select(
@@ -143,8 +144,8 @@ def boilerplate_places(docs: DataFrame, text: str = "text", host: str = "source"
     """``host``, ``text_hash``, ``places``, ``n_removed_lines`` and ``n_removed_words`` of the texts
     with boilerplate lines, whose places in the text split at line ends are listed in order.
 
-    Lines are told apart and counted as in ``depleted_texts``, but ``LINE_DOCS`` alone decides, so that
-    a line in as many texts is judged alike at every size of the host.
+    Lines are told apart and counted as in ``depleted_texts``: a line in as many texts is judged alike
+    at every size of the host.
     """
     lines = _line_rows(docs, text, host)
     ((often, _),) = broadcast_if_small(materialize(_often_held(lines), "often"))
@@ -184,7 +185,7 @@ def without_boilerplate(docs: DataFrame) -> DataFrame:
 def _cleaned(rows: DataFrame, places: DataFrame) -> DataFrame:
     """``rows`` with documents ``doc`` freed from the lines at ``places``, and what was removed."""
     names, others = rows.schema["doc"].dataType.names, [c for c in rows.columns if c != "doc"]
-    same = F.col("a.doc.source").eqNullSafe(F.col("b.host")) & (F.xxhash64("a.doc.text") == F.col("b.text_hash"))
+    same = F.col("a.doc.source").eqNullSafe(F.col("b.host")) & (_text_hash(F.col("a.doc.text")) == F.col("b.text_hash"))
     rows = rows.alias("a").join(places.alias("b"), same, "left").withColumn("_split", F.split("doc.text", "\n"))
     # Split before, so that it is not done again for every line.
     stay = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("places"))
@@ -202,7 +203,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass the base rules and keep ``MIN_LEFT`` of their words, without their
     boilerplate lines. Columns other than ``text`` and ``n_chars`` stay as they were.
 
-    Lines are those of ``boilerplate_places``; ``judged`` also asks for ``LINE_SHARE``, as its SQL does.
+    Lines are those of ``boilerplate_places``.
     """
     ((places, _),) = broadcast_if_small(materialize(boilerplate_places(docs), "places"))
     passed = measured(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("_text")), "_text")
