@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,29 +160,28 @@ def edited_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text")
 
     Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited``, ``near_next`` and ``common_prefix`` (code points that text and edited text
-    share from the start, by binary search over prefix hashes). A null text is empty. Rows without
-    id are left out, as they have no place in the order; of rows with the same id, the one whose
-    text has the smallest hash (then text) counts. A lone document is its own next one.
+    share from the start, by binary search over prefix hashes) of every row. A null text is empty. Rows
+    without id come first; rows with the same id go by a hash of their text, then by text. A lone
+    document is its own next one.
 
-    Texts are shuffled once, into sorted ranges of ids, where the next document is the next row. Only
+    Texts are shuffled once, into sorted ranges, where the next document is the next row. Only
     the last document of each range waits for the first one of the next range.
     """
     spark = docs.sparkSession
     ship(spark)
     small_batches(spark)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    ordered = rows.where("doc_id is not null").repartitionByRange("doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    told = materialize(ordered.mapInArrow(_in_range, f"{RESULT}, first string, last string"), "fingerprints")
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    told = materialize(ordered.mapInArrow(_in_range, f"{RESULT}, part int, first string, last string"), "fingerprints")
     lasts, firsts = told.where("last is not null"), told.where("first is not null")
-    # One id per range.
-    last_ids = sorted(r[0] for r in lasts.select("doc_id").collect())
-    first_ids = sorted(r[0] for r in firsts.select("doc_id").collect())
-    links = list(zip(last_ids, first_ids[1:] + first_ids[:1]))
-    ends = lasts.select("doc_id", F.col("last").alias("text")).join(
-        spark.createDataFrame(links, "doc_id bigint, next_id bigint"), "doc_id"
+    # One number per range.
+    parts = sorted(r[0] for r in firsts.select("part").collect())
+    links = list(zip(parts, parts[1:] + parts[:1]))
+    ends = lasts.select("doc_id", "part", F.col("last").alias("text")).join(
+        spark.createDataFrame(links, "part int, next_part int"), "part"
     )
-    ends = ends.join(firsts.select(F.col("doc_id").alias("next_id"), F.col("first").alias("next")), "next_id")
+    ends = ends.join(firsts.select(F.col("part").alias("next_part"), F.col("first").alias("next")), "next_part")
     made = told.where("last is null and first is null").select(*COLUMNS)
     return made.unionByName(ends.select("doc_id", "text", "next").mapInArrow(_at_ends, RESULT))
 
@@ -207,22 +207,24 @@ def _compared(key: int, text: str, own: PrefixHashes, mine: np.ndarray, next_tex
 
 def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A sorted range: every document but the last compared, and the first and last text as they are."""
-    schema = pa.schema([*zip(COLUMNS, TYPES), ("first", pa.string()), ("last", pa.string())])
+    schema = pa.schema([*zip(COLUMNS, TYPES), ("part", pa.int32()), ("first", pa.string()), ("last", pa.string())])
+    part = TaskContext.get().partitionId()
     blank = (None,) * (len(COLUMNS) - 1)
     before = None
     for batch in batches:
         out = []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if before and before[0] == key:
-                continue
             own = PrefixHashes(text)
             mine = lanes(own)
-            out.append((*_compared(*before, text, mine), None, None) if before else (key, *blank, text, None))
+            if before:
+                out.append((*_compared(*before, text, mine), part, None, None))
+            else:
+                out.append((key, *blank, part, text, None))
             before = (key, text, own, mine)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
     if before:
-        row = (before[0], *blank, None, before[1])
+        row = (before[0], *blank, part, None, before[1])
         yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 
