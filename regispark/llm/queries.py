@@ -92,10 +92,7 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     ln as (select distinct coalesce(source, '') as host, source is null as nohost, md5(text) as th, pos,
                   lower(trim(regexp_replace(ls[pos], '[\x20\x09-\x0D]+', ' ', 'g'))) as line
            from (select d.source, d.text, w.ls, unnest(range(1, len(w.ls) + 1)) as pos from d join w using (r))),
-    hosts as (select host, nohost, count(distinct th) as texts from ln group by all),
-    often as (select ln.host, ln.nohost, line from ln join hosts using (host, nohost)
-              group by ln.host, ln.nohost, line, texts
-              having count(distinct th) >= {quality.LINE_DOCS} and count(distinct th) >= {quality.LINE_SHARE} * texts),
+    often as (select host, nohost, line from ln group by all having count(distinct th) >= {quality.LINE_DOCS}),
     rest as (select ln.host, ln.nohost, th, sum(len(string_split(ln.line, ' '))) as n,
                     sum(case when o.line is null then len(string_split(ln.line, ' ')) else 0 end) as kept_words
              from ln left join often o on o.host = ln.host and o.nohost = ln.nohost and o.line = ln.line
@@ -166,7 +163,8 @@ _ESCAPE = chat.CONTROL.replace("'", "''")
     o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as k from c),
     e as (select *, case when lag(role) over (partition by conv_id order by k) is distinct from role then 1 else 0 end as starts,
                  length(regexp_replace(replace(text, '\', '\\'), '{_ESCAPE}', '\1\3\\\2\4', 'g')) as n_text,
-                 length(regexp_replace(replace(role, '\', '\\'), '{_ESCAPE}', '\1\3\\\2\4', 'g')) as n_role
+                 length(regexp_replace(replace(role, '\', '\\'), '{_ESCAPE}', '\1\3\\\2\4', 'g'))
+                   + length(role) - length(replace(role, chr(10), '')) as n_role
           from o)
     select conv_id, count(*)::bigint as n_turns,
            sha256(string_agg(role || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
@@ -247,7 +245,8 @@ _CRC32 = """list_reduce(list_concat([4294967295], list_transform(string_split(co
 @query(
     rf"""
     with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
-                      row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as k
+                      row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+                          md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as k
                from conversations where conv_id is not null),
     own as (select conv_id, list({{'role': role, 'text': text}} order by k) as turns from t group by conv_id),
     h as (select *, xor({_CRC32}, 4294967295) % 4 as h from own),
@@ -258,7 +257,8 @@ _CRC32 = """list_reduce(list_concat([4294967295], list_transform(string_split(co
                     sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d), '')) as ends_sha256
              from p group by path, d),
     w as (select *, case when d = 0 then 0 else
-                 len(list_filter(string_split_regex(path[d].text, '[ 	-]+'), lambda x: x <> '')) end as words from node),
+                 len(list_filter(string_split_regex(path[d].text, '[ 	-
+]+'), lambda x: x <> '')) end as words from node),
     kids as (select path[1:d - 1] as path, count(*) as n_children from node where d > 0 group by 1),
     f as (select w.*, coalesce(n_children, 0) as n_children from w left join kids using (path)),
     up as (select path[1:a] as path, sum((n_convs - 1) * words) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
