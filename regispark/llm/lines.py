@@ -154,23 +154,22 @@ def deduplicated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     and text are one document; rows with the same id but other texts go by a hash of the text; null
     ids come first. Empty input gives no rows. Documents without a repeated run stay as they were.
     """
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_deleted", "_gone")]
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_deleted")]
     ((copies, _),) = broadcast_if_small(materialize(later_copies(docs, least), "copies"))
-    rows = docs.select(*others, "text")
+    # The caller's columns travel in a struct, so that none has the name of one made here.
+    rows = docs.select("doc_id", "text", F.struct(*others).alias("doc"))
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("a.text") == F.col("b.text_hash"))
-    joined = rows.alias("a").join(copies.alias("b"), same, "left").select(
-        *(F.col(f"a.{c}").alias(c) for c in others), F.col("a.text").alias("text"), F.col("b.lines").alias("_gone")
-    )
+    joined = rows.alias("a").join(copies.alias("b"), same, "left").select("doc", "text", F.col("b.lines").alias("gone"))
     split = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     )
     return joined.select(
-        *others,
+        *(F.col("doc")[c].alias(c) for c in others),
         text.alias("text"),
         F.coalesce(F.size(split), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_deleted"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_deleted"),
     )
 
 
