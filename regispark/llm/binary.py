@@ -61,7 +61,6 @@ def _tokenizer(path: str) -> UnitCache:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     blank, feed = (tokenizer.encode(c, add_special_tokens=False).tokens[0][0] for c in " \n")
     vocabulary = tokenizer.get_vocab()
     opens = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in (blank, feed)}

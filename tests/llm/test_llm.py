@@ -204,6 +204,37 @@ def test_packing_on_odd_input(odd_docs, no_docs):
     assert all(r["bucket_length"] >= (r["m"] or 0) for r in packing.packed(lengths, "m", ["doc_id"]).collect())
 
 
+def test_long_lengths_are_counted_exactly(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, n) for k, n in enumerate([16_385, 16_388, 16_389])], "doc_id bigint, n bigint")
+    padding = F.sum(F.col("bucket_length") - F.col("n"))
+    assert packing.packed(docs, "n", ["doc_id"], buckets=2).agg(padding).first()[0] == 1
+    assert packing.packed(docs, "n", ["doc_id"], buckets=2, fine=1024).agg(padding).first()[0] >= 1
+    many = [(1 + k * 7 + k * k % 5, 1 + k % 3) for k in range(60_000)]
+    ends = packing.best_lengths(many, 16)
+    assert len(ends) == 16 and ends[-1] == max(n for n, _ in many)
+
+
+def test_rows_of_one_id_are_dealt_over_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 200)
+    spark.range(3000).selectExpr("cast(null as bigint) as doc_id", "id % 7 as n", "id as _length", "id as dealt").write.parquet(
+        str(tmp_path / "docs")
+    )
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    packed = packing.packed(docs, "n", ["doc_id"], buckets=1, budget=60)
+    rows = packed.collect()
+    assert len({(r["batch"], r["place"]) for r in rows}) == len({r["_length"] for r in rows}) == 3000
+    shards = {}
+    for r in rows:
+        shard = r["batch"].split("-")[1]
+        shards[shard] = shards.get(shard, 0) + 1
+    assert len(shards) == 16 and max(shards.values()) < 400
+    clashing = ["doc", "length", "counted", "shard", "row", "key_0", "_counted", "_shard", "_row"]
+    for name in clashing:
+        docs = docs.withColumn(name, F.lit("x"))
+    assert packing.packed(docs, "n", ["doc_id"]).columns == [*docs.columns, "bucket_length", "batch", "place"]
+    assert packing.packed(docs, "n", ["doc_id"]).count() == 3000
+
+
 def test_bucket_lengths_are_those_of_documents(spark):
     lengths = [5, 9, 16_385, 16_390, 40_001, 40_003, 100_001, 3_000_001]
     docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id bigint, n bigint")
@@ -246,7 +277,9 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     path = P.path("byte_bpe_50k.json")
     tokenizer = tokenizers.Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    marked = ["a<|endoftext|>b <|endoftext|> c\n<|endoftext|>", "<|endoftext|>", "x <|endoftext|>. <|endoftext|><|endoftext|> y"]
+    more = spark.createDataFrame([(300 + k, t) for k, t in enumerate(marked)], "doc_id bigint, text string")
+    odd_docs = odd_docs.select("doc_id", "text").unionByName(more)
     folder = f"file://{tmp_path}/tokens"
     manifest = binary.write_token_files(odd_docs, folder, path, 2, width=16)
     rows = sorted(binary.read_token_files(manifest, folder).collect(), key=lambda r: r["start"])
@@ -466,22 +499,63 @@ def test_edited_fingerprints(spark, odd_docs, no_docs):
         r = found[key]
         assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and r["n_chars"] == len(text)
         assert r["common_prefix"] == len(list(itertools.takewhile(lambda x: x[0] == x[1], zip(text, edited))))
-    assert {r["doc_id"] for r in fingerprint.edited_fingerprints(odd_docs).collect()} == {*range(len(ODD)), 100, 101, 102}
+    odd = [(r["doc_id"], r["text"] or "") for r in odd_docs.collect()]
+    told = fingerprint.edited_fingerprints(odd_docs.repartition(7)).collect()
+    assert sorted(repr(r["doc_id"]) for r in told) == sorted(repr(k) for k, _ in odd)
+    assert sum(r["doc_id"] is None for r in told) == 2 and sum(r["doc_id"] == 102 for r in told) == 2
+    copies = [r for r in told if r["doc_id"] == 101]
+    assert len(copies) == 2 and {r["near_next"] for r in copies} >= {1.0}
     assert fingerprint.edited_fingerprints(no_docs).count() == 0
     alike = fingerprint.fingerprints(odd_docs).where("id = 101").select("fingerprint").distinct()
     assert alike.count() == 1
 
 
+def plain_lanes(text):
+    """Smallest mixed hash of the spans of each lane, span by span with whole numbers."""
+    size = min(fingerprint.SPAN, len(text))
+    best = {}
+    for at in range(len(text) - size + 1) if size else ():
+        joined = 0
+        for prime in fingerprint.PRIMES:
+            value = sum((ord(c) + 1) * pow(fingerprint.BASE, k, prime) for k, c in enumerate(text[at : at + size])) % prime
+            joined = (joined << 31 | value) % 2**64
+        x = joined
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        x = min(x ^ x >> 31, 2**64 - 2)
+        best[x % fingerprint.LANES] = min(x, best.get(x % fingerprint.LANES, x))
+    return [(best[k] >> 16) % 0xFFFF if k in best else 0xFFFF for k in range(fingerprint.LANES)]
+
+
+def test_fingerprints_and_likeness_match_brute_force(spark):
+    draw = random.Random(21)
+    texts = ["", "a", "short", "é😀" * 9, "x" * 200] + [prose(draw, draw.randrange(1, 60)) for _ in range(12)]
+    texts += [texts[-1], texts[-1] + " and more", texts[-2][5:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = [plain_lanes(t) for t in texts]
+    for r in fingerprint.edited_fingerprints(docs.repartition(3)).collect():
+        k = r["doc_id"]
+        following = (k + 1) % len(texts)
+        quarter = len(texts[k]) // 4
+        edited = plain_lanes(texts[k][: len(texts[k]) - quarter] + texts[following][:quarter])
+        assert r["fingerprint"] == "".join(f"{x:04x}" for x in want[k])
+        assert r["edited_fingerprint"] == "".join(f"{x:04x}" for x in edited)
+        for name, other in (("near_edited", edited), ("near_next", want[following])):
+            used = [(x, y) for x, y in zip(want[k], other) if (x, y) != (0xFFFF, 0xFFFF)]
+            assert r[name] == (sum(x == y for x, y in used) / len(used) if used else 1.0)
+
+
 # 8: chat
 
 
 def test_chat_round_trip(spark):
     rows = [(c, t, r, x) for c, (t, (r, x)) in itertools.product(range(2), enumerate(zip(itertools.cycle(["user", "assistant", "assistant"]), ODD)))]
+    rows += [(9, 0, "us\ner", "a"), (9, 1, "us\\ler", "b"), (9, 2, "x\\\n\\l", "c"), (9, 3, "assistant", "é\n😀")]
     rows += [(7, 0, None, None), (None, 1, "assistant", "x"), (8, None, "user", "u"), (8, 0, "assistant", "\\")]
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     chats = chat.formatted(turns).cache()
     found = {r["conv_id"]: r for r in chat.digests(chats).collect()}
-    for key in (0, 1, 7, 8, None):
+    for key in (0, 1, 7, 8, 9, None):
         own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0))
         whole = "".join(f"{r or ''}\n{x or ''}\n" for _, _, r, x in own)
         trained = "".join(x or "" for _, _, r, x in own if r == "assistant")
@@ -492,9 +566,35 @@ def test_chat_round_trip(spark):
         runs = [k for k, _ in itertools.groupby(x[2] for x in rows if x[0] == r["conv_id"])]
         assert r["formatted"].count(chat.START) == r["formatted"].count(chat.END) == len(runs)
         assert "[INST]" not in r["formatted"] and "</s>" not in r["formatted"]
+        assert [t["role"] for t in chat.read_back(chats).where(F.col("conv_id").eqNullSafe(r["conv_id"])).first()["turns"]] == [k or "" for k in runs]
+        for spans, text in ((r["loss"], r["formatted"]), (r["loss_bytes"], r["formatted"].encode())):
+            trained = [text[s["start"] : s["start"] + s["length"]] for s in spans]
+            plain = [x[3] or "" for x in sorted((x for x in rows if x[0] == r["conv_id"]), key=lambda x: (x[1] is not None, x[1] or 0)) if x[2] == "assistant"]
+            assert len(trained) == len(plain)
+    clashing = turns.withColumn("rows", F.lit(1)).withColumn("loss", F.lit(1)).withColumn("raw", F.lit(1))
+    assert chat.formatted(clashing).count() == chats.count()
     assert chat.digests(chat.formatted(turns.limit(0))).count() == 0
 
 
+def test_a_conversation_of_many_turns(spark):
+    """Spans of 12,000 turns, all trained but the first of each five."""
+    size = 12_000
+    turns = spark.range(size).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 5 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("é text "), F.col("id").cast("string")).alias("text"),
+    )
+    (row,) = chat.formatted(turns).collect()
+    for spans, text in ((row["loss"], row["formatted"]), (row["loss_bytes"], row["formatted"].encode())):
+        want = [f"é text {k}" for k in range(size) if k % 5]
+        got = [text[s["start"] : s["start"] + s["length"]] for s in spans]
+        assert got == (want if isinstance(text, str) else [w.encode() for w in want])
+    (told,) = chat.digests(chat.formatted(turns)).collect()
+    assert told["loss_sha256"] == hashlib.sha256("".join(want).encode()).hexdigest()
+
+
+
+
 # 9: lines
 
 
@@ -528,6 +628,9 @@ def test_line_dedup_matches_brute_force(spark):
 
 
 def test_line_dedup_on_odd_input(odd_docs, no_docs):
+    named = odd_docs.withColumn("_gone", F.lit(1)).withColumn("gone", F.lit(1)).withColumn("doc", F.lit(1))
+    assert lines.without_copies(named).columns == named.columns
+    assert lines.without_copies(named).count() == odd_docs.count()
     out = lines.deduplicated(odd_docs)
     assert out.count() == odd_docs.count() and out.where("text is null").count() == 2
     assert lines.deduplicated(no_docs).count() == 0
@@ -558,7 +661,7 @@ def test_pipeline(spark):
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.SQL) <= set(entry.oracle_sql())
 
 
