@@ -11,7 +11,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import numpy as np
@@ -25,6 +25,8 @@ from regispark.llm.frames import ship, small_batches
 #: Pages that the trees are fitted on, at most (a classifier's sample), and pages made from each.
 SAMPLE = 150
 MADE = 4
+#: Bytes of the largest page that may be in the sample.
+SAMPLE_BYTES = 256 * 1024
 #: Tag and attribute tokens that are features.
 TOKENS = 96
 
@@ -88,22 +90,25 @@ class _Builder(HTMLParser):
     def __init__(self, page: Page):
         super().__init__(convert_charrefs=True)
         self.page, self.open, self.unread = page, [0], 0
+        #: Where each tag stands among the open elements, so that none is searched for.
+        self.places: dict[str, list[int]] = {}
 
-    def _close(self, names: Sequence[str], until: Sequence[str]) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.page.tag[self.open[depth]]
-            if tag in names:
-                self._cut(depth)
-                return
-            if tag in until:
-                return
+    def _last(self, names: Iterable[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def _close(self, names: Sequence[str], until: Iterable[str]) -> None:
+        depth = self._last(names)
+        if depth and depth >= self._last(until):
+            self._cut(depth)
 
     def _cut(self, depth: int) -> None:
-        self.unread -= sum(self.page.tag[k] in UNREAD for k in self.open[depth:])
-        del self.open[depth:]
+        while len(self.open) > depth:
+            tag = self.page.tag[self.open.pop()]
+            self.places[tag].pop()
+            self.unread -= tag in UNREAD
 
     def handle_starttag(self, tag, attrs):
-        if tag == "body" and any(self.page.tag[k] == "head" for k in self.open):
+        if tag == "body" and self.places.get("head"):
             self._close(["head"], [])
         if tag in BLOCK:
             self._close(["p"], KEEPS_P | {"table", "li", "td", "th"} - {tag})
@@ -113,6 +118,7 @@ class _Builder(HTMLParser):
         words = [w for name, value in attrs if name in ("class", "id", "role") for w in WORD.findall((value or "").lower())]
         node = self.page.add(tag, self.open[-1], tokens=tuple(words))
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
             self.unread += tag in UNREAD
 
@@ -120,10 +126,9 @@ class _Builder(HTMLParser):
         self.handle_starttag(tag, attrs)  # a slash closes void elements only
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.page.tag[self.open[depth]] == tag:
-                self._cut(depth)
-                return
+        depth = self._last([tag])
+        if depth:
+            self._cut(depth)
 
     def handle_data(self, data):
         if not self.unread and self.open:
@@ -131,10 +136,46 @@ class _Builder(HTMLParser):
 
 
 SHAPE = 17
-
-
-def features(page: Page, known: dict[str, int]) -> np.ndarray:
-    """One row per node: shape of its subtree, places, and known tokens of itself and its parent."""
+#: Nodes whose features are laid out in full at once.
+ROWS = 8192
+
+
+class Features:
+    """A page's features: the shape of each node's subtree and its places as numbers, known tokens of itself
+    and of what it lies in as bits."""
+
+    def __init__(self, page: Page, known: dict[str, int]):
+        self.known = len(known)
+        self.shape = _shape(page)
+        n = len(page.tag)
+        size = (len(known) + 7) // 8
+        own = [0] * n
+        for k in range(n):
+            for token in ("tag:" + page.tag[k], *page.tokens[k]):
+                at = known.get(token)
+                if at is not None:
+                    own[k] |= 1 << at
+        # What any ancestor holds reaches a node through its parent: a menu's link text has the menu's tokens.
+        above = [0] * n
+        for k in range(1, n):
+            up = page.parent[k]
+            above[k] = own[up] | above[up]
+        self.bits = [
+            np.frombuffer(b"".join(x.to_bytes(size, "little") for x in held), np.uint8).reshape(n, size) for held in (own, above)
+        ]
+
+    def __len__(self) -> int:
+        return len(self.shape)
+
+    def rows(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        held = [
+            np.unpackbits(b[low:high], axis=1, count=self.known, bitorder="little") if self.known else b[low:high, :0]
+            for b in self.bits
+        ]
+        return np.column_stack([self.shape[low:high], *held])
+
+
+def _shape(page: Page) -> np.ndarray:
     n = len(page.tag)
     parent = np.array(page.parent)
     above = np.maximum(parent, 0)
@@ -142,51 +183,45 @@ def features(page: Page, known: dict[str, int]) -> np.ndarray:
     words = np.array([len(t.split()) for t in page.text], float)
     marks = np.array([sum(t.count(c) for c in ".,;:!?") for t in page.text], float)
     is_text = np.array([t == "#text" for t in page.tag])
-    total, in_links, spoken, marked = text.copy(), np.zeros(n), words.copy(), marks.copy()
-    below, paragraphs, children = np.zeros(n), np.zeros(n), np.zeros(n)
+    number = {t: k for k, t in enumerate(set(page.tag))}
+    kind = np.array([number[t] for t in page.tag])
+    link, paragraph = (kind == number.get("a", -1)).tolist(), (kind == number.get("p", -1)).tolist()
+    ups, texts = page.parent, is_text.tolist()
+    total, in_links, spoken, marked = text.tolist(), [0.0] * n, words.tolist(), marks.tolist()
+    below, paragraphs, children = [0.0] * n, [0.0] * n, [0.0] * n
     for k in range(n - 1, 0, -1):
-        up = parent[k]
-        if page.tag[k] == "a":
+        up = ups[k]
+        if link[k]:
             in_links[k] = total[k]
         total[up] += total[k]
         in_links[up] += in_links[k]
         spoken[up] += spoken[k]
         marked[up] += marked[k]
-        below[up] += below[k] + (not is_text[k])
-        paragraphs[up] += paragraphs[k] + (page.tag[k] == "p")
+        below[up] += below[k] + (not texts[k])
+        paragraphs[up] += paragraphs[k] + paragraph[k]
         children[up] += 1
-    depth, place, seen, before = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
-    alike: Counter = Counter()
-    linked = np.zeros(n)
-    running = 0.0
+    depth, place, seen, linked = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
     for k in range(1, n):
-        up = parent[k]
+        up = ups[k]
         depth[k] = depth[up] + 1
         place[k] = seen[up]
         seen[up] += 1
-        alike[up, page.tag[k]] += 1
-        linked[k] = linked[up] or page.tag[k] == "a"
-        before[k] = running
-        running += text[k]
-    same = np.array([alike[u, t] for u, t in zip(page.parent, page.tag)], float)
+        linked[k] = float(linked[up] or link[k])
+    total, in_links, spoken, marked, below, paragraphs, children, depth, place = (
+        np.array(x) for x in (total, in_links, spoken, marked, below, paragraphs, children, depth, place)
+    )
+    before = np.r_[0.0, 0.0, np.cumsum(text[1:])[:-1]] if n > 1 else np.zeros(n)
+    # Siblings of the same kind.
+    _, which, alike = np.unique((parent + 1) * len(number) + kind, return_inverse=True, return_counts=True)
+    same = alike[which].astype(float)
+    same[0] = 0
     whole = max(total[0], 1.0)
-    shape = [
+    return np.column_stack([
         depth, np.minimum(children, 50), place / np.maximum(children[above], 1), np.minimum(same, 50),
         np.log1p(total), total / whole, in_links / np.maximum(total, 1), np.log1p(below),
         total / (below + 1), np.minimum(paragraphs, 50), spoken / np.maximum(total, 1), marked / np.maximum(spoken, 1),
         before / whole, np.log1p(total[above]), in_links[above] / np.maximum(total[above], 1), linked, is_text,
-    ]
-    held = np.zeros((n, 2 * len(known)))
-    for k in range(n):
-        for token in ("tag:" + page.tag[k], *page.tokens[k]):
-            at = known.get(token)
-            if at is not None:
-                held[k, at] = 1
-    held[1:, len(known) :] = held[parent[1:], : len(known)]
-    # What any ancestor holds reaches a node through its parent: a menu's link text has the menu's tokens.
-    for k in range(1, n):
-        held[k, len(known) :] = np.maximum(held[k, len(known) :], held[parent[k], len(known) :])
-    return np.column_stack([*shape, held])
+    ])
 
 
 def decoded(page: Page, log_odds: np.ndarray) -> list[bool]:
@@ -211,14 +246,30 @@ class Extractor:
     def __init__(self, known: dict[str, int], trees: boosting.BoostedTrees):
         self.known, self.trees = known, trees
 
-    def texts(self, htmls: Sequence[str]) -> list[str]:
-        pages = [Page(h) for h in htmls]
-        if not pages:
+    def texts(self, htmls: Iterable[str]) -> list[str]:
+        """Texts of pages; those of few nodes are scored together, large ones in slices."""
+        out: list[str] = []
+        lot: list[tuple[Page, Features]] = []
+        for html in htmls:
+            page = Page(html)
+            lot.append((page, Features(page, self.known)))
+            if sum(len(f) for _, f in lot) >= ROWS:
+                out += self._lot(lot)
+                lot = []
+        return out + self._lot(lot)
+
+    def _lot(self, lot: list[tuple[Page, Features]]) -> list[str]:
+        if not lot:
             return []
-        rows = [features(p, self.known) for p in pages]
-        odds = self.trees.log_odds(np.concatenate(rows))
-        ends = np.cumsum([len(r) for r in rows])[:-1]
-        return [p.joined(decoded(p, o)) for p, o in zip(pages, np.split(odds, ends))]
+        if len(lot) == 1:
+            ((_, found),) = lot
+            odds = [np.concatenate([self.trees.log_odds(found.rows(k, k + ROWS)) for k in range(0, len(found), ROWS)])]
+        elif len(lot[-1][1]) >= ROWS:
+            return self._lot(lot[:-1]) + self._lot(lot[-1:])
+        else:
+            ends = np.cumsum([len(f) for _, f in lot])[:-1]
+            odds = np.split(self.trees.log_odds(np.concatenate([f.rows() for _, f in lot])), ends)
+        return [page.joined(decoded(page, o)) for (page, _), o in zip(lot, odds)]
 
 
 # Wrappers that sites put round their articles, and round everything else.
@@ -354,8 +405,8 @@ def _signature(opening: str) -> tuple[str, tuple[str, ...]]:
 
 
 def fit(htmls: Sequence[str]) -> Extractor:
-    """Trees fitted on given pages with an ``article`` or ``main`` element, and on pages made of their
-    words with the article and all else in other wrappers and places."""
+    """Trees fitted on given pages with an ``article`` or ``main`` element, with it and with a plain ``div`` in its
+    place, and on pages made of their words with the article and all else in other wrappers and places."""
     draw = random.Random(20)
     training: list[tuple[Page, np.ndarray]] = []
     for html in htmls or [""]:
@@ -363,6 +414,10 @@ def fit(htmls: Sequence[str]) -> Extractor:
         own = labels(page, marked=False)
         if own is not None:
             training.append((page, own))
+            plain = Page(html)
+            root = next(k for k, t in enumerate(plain.tag) if t in ("article", "main"))
+            plain.tag[root], plain.tokens[root] = "div", ()
+            training.append((plain, own))
         words = [w for t in page.text for w in t.replace("<", " ").replace("&", " ").split()]
         for _ in range(MADE):
             made = Page(made_page(draw, words))
@@ -371,13 +426,13 @@ def fit(htmls: Sequence[str]) -> Extractor:
                 training.append((made, found))
     counts = Counter(x for p, _ in training for k, t in enumerate(p.tag) for x in {"tag:" + t, *p.tokens[k]})
     known = {token: k for k, (token, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:TOKENS])}
-    x = np.concatenate([features(p, known) for p, _ in training])
+    x = np.concatenate([Features(p, known).rows() for p, _ in training])
     return Extractor(known, boosting.fit(x, np.concatenate([y for _, y in training]), SHAPE))
 
 
 def learn(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Extractor:
-    """Fits on at most ``sample`` pages, those whose text hashes smallest."""
-    some = pages.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h"), F.col(html).alias("html"))
+    """Fits on at most ``sample`` pages of up to ``SAMPLE_BYTES``, those whose text hashes smallest."""
+    some = pages.where(F.octet_length(html) <= SAMPLE_BYTES).select(F.xxhash64(html).alias("h"), F.col(html).alias("html"))
     # Only hashes are sorted; whole pages come to the driver once those to take are known.
     chosen = [r["h"] for r in some.select("h").distinct().orderBy("h").limit(sample).collect()]
     if not chosen:
@@ -395,7 +450,7 @@ def extracted(pages: DataFrame, extractor: Extractor, html: str = "html") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = extractor.texts([h or "" for h in batch.column(len(others)).to_pylist()])
+            texts = extractor.texts(h.as_py() or "" for h in batch.column(len(others)))
             columns = [*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*others, "text", "n_chars"])
 
