@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import accumulate, chain
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regispark.llm.frames import scratch_path, ship, small_batches
-from regispark.llm.units import WHOLE, UnitCache, text_of
+from regispark.llm.unit_table import UnitTable
 
 NULL_KEY = -(1 << 63)
 PART = "part int, name string, docs bigint, tokens bigint"
@@ -45,13 +45,13 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-#: Units in one text for the tokenizer, and units in one call.
-TOGETHER, BATCH = 64, 4096
+#: Units in one text for the tokenizer, and texts in one call.
+TOGETHER, BATCH = 64, 64
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> UnitCache:
-    """The tokenizers library behind a cache of units.
+def _tokenizer(path: str) -> UnitTable:
+    """The tokenizers library behind a table of units.
 
     Units are encoded many in one text: those that open with a blank one after the other, all
     others after a line feed each. Only the first id of a unit stands for a token that opens with
@@ -69,34 +69,40 @@ def _tokenizer(path: str) -> UnitCache:
             known[id] = token[0] == c
 
     def ids_of(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def together(texts: list[str], first: str, skip: int) -> Iterator[bytes]:
+    def together(units: list[bytes], first: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that open alike, and how many each has."""
+        texts = [b"".join(units[k : k + TOGETHER]).decode() for k in range(0, len(units), TOGETHER)]
+        parts = []
         for at in range(0, len(texts), BATCH):
-            some = texts[at : at + BATCH]
-            joined = ["".join(some[k : k + TOGETHER]) for k in range(0, len(some), TOGETHER)]
-            encoded = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-            ids = np.array([*chain.from_iterable(e.ids for e in encoded)], "<u4")
-            starts = np.nonzero(opens[first][ids])[0] * 4
-            if len(starts) == len(some):
-                raw, ends = ids.tobytes(), [*starts[1:].tolist(), 4 * len(ids)]
-                yield from (raw[a + 4 * skip : b] for a, b in zip(starts.tolist(), ends))
-            else:  # a unit that does not fall apart as described
-                yield from (ids_of(t).tobytes()[4 * skip :] for t in some)
-
-    def many(units: list[str]) -> list[bytes]:
-        kinds = {"\n": [], WHOLE: [], "": []}
-        for k, unit in enumerate(units):
-            kinds[unit[0] if unit[0] in kinds else ""].append(k)
-        out = [b""] * len(units)
-        for kind, first, skip in (("\n", feed, 0), (WHOLE, feed, 1), ("", blank, 0)):
-            own = [text_of(units[k]) for k in kinds[kind]]
-            own = ["\n" + t for t in own] if skip else own
-            for k, ids in zip(kinds[kind], together(own, first, skip)):
-                out[k] = ids
-        return out
-
-    return UnitCache(many, lambda text: ids_of(text).tobytes())
+            encoded = tokenizer.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)
+            parts += [e.ids for e in encoded]
+        ids = np.fromiter(chain.from_iterable(parts), np.uint32, sum(map(len, parts)))
+        starts = np.flatnonzero(opens[first][ids])
+        if len(starts) == len(units):
+            return ids, np.diff(np.r_[starts, len(ids)])
+        # A unit that does not fall apart as described.
+        alone = [ids_of(u.decode()) for u in units]
+        return np.concatenate(alone), np.array([len(a) for a in alone])
+
+    def many(units: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        opened = np.array([u[0] for u in units])
+        first, count = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        pools, base = [np.zeros(0, np.uint32)], 0
+        for own, mark, skip in ((opened == 32, blank, 0), (opened == 10, feed, 0), ((opened != 32) & (opened != 10), feed, 1)):
+            own = np.flatnonzero(own)
+            if not len(own):
+                continue
+            named = [units[k] for k in own.tolist()]
+            ids, sizes = together([b"\n" + u for u in named] if skip else named, mark)
+            first[own] = base + np.cumsum(sizes) - sizes + skip
+            count[own] = sizes - skip
+            pools.append(ids)
+            base += len(ids)
+        return first, count, np.concatenate(pools)
+
+    return UnitTable(many, ids_of)
 
 
 def write_token_files(
@@ -120,8 +126,7 @@ def write_token_files(
         system, root = open_folder(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
-        cache = _tokenizer(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
+        table = _tokenizer(tokenizer_path)
         total = count = 0
         files = {}
         try:
@@ -130,16 +135,18 @@ def write_token_files(
                     continue
                 if not files:
                     files = {x: system.open_output_stream(f"{root}/{name}.{x}") for x in ("bin", "idx", "key")}
-                rows = [ids + end for ids in cache.encode([t or "" for t in batch.column(1).to_pylist()])]
-                ids = np.frombuffer(b"".join(rows), "<u4")
+                own, sizes = table.encode([t or b"" for t in batch.column(1).to_pylist()])
+                # Room for each document's end id behind its own.
+                ends = np.cumsum(sizes + 1)
+                ids = np.full(ends[-1], end_id, np.uint32)
+                ids[np.arange(len(own)) + np.repeat(np.arange(len(sizes)), sizes)] = own
                 if ids.max() > np.iinfo(kind).max:
                     raise ValueError(f"id {ids.max()} does not fit {width} bits")
-                sizes = np.array([len(r) // 4 for r in rows])
-                starts = total + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+                starts = total + ends - sizes - 1
                 files["bin"].write(ids.astype(kind).tobytes())
                 files["idx"].write(starts.astype("<u8").tobytes())
                 files["key"].write(batch.column(0).fill_null(NULL_KEY).to_numpy().astype("<i8").tobytes())
-                total, count = total + int(sizes.sum()), count + len(rows)
+                total, count = total + int(ends[-1]), count + len(sizes)
             if files:
                 files["idx"].write(np.array([total], "<u8").tobytes())
         finally:
@@ -157,6 +164,7 @@ def write_token_files(
         docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
         .repartitionByRange("id")
         .sortWithinPartitions("id", F.xxhash64("text"))
+        .select("id", F.col("text").cast("binary"))
     )
     # One row per task, so the prefix sum over all of them is small.
     parts = sorted(ordered.mapInArrow(run, PART).collect(), key=lambda r: r["part"])
