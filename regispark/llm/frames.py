@@ -19,7 +19,11 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keeps the Arrow batches that Python workers get small, in rows and in bytes."""
+    """Keeps the Arrow batches that Python workers get small, in rows and in bytes.
+
+    A setting of the session, and it stays: what an operator returns is run later. Sessions that hand
+    larger batches to Python elsewhere set it again.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -28,6 +32,3 @@ def words(text: Column) -> Column:
     """Words of a text, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.limit(0)

@@ -502,15 +502,9 @@ def _outside(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return left.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
 
 
-def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row: the smallest id reachable over links.
-
-    Sets link when 100 * common >= ``percent`` * united. Words are what stands between blanks and
-    the control characters 9 to 13, A-Z lower-cased; fewer than five are one shingle. A null or
-    wordless text has no shingles and stays alone. Rows with the same id are one document that any
-    of its texts can link; a null id has a null component. Empty input gives no rows.
-    """
-    docs = docs.select("doc_id", "text")
+def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Every row's set; documents whose set an earlier one has, with that one; points; and the listed
+    shingles of the others, one document for each set."""
     told = materialize(described(docs, percent), "described")
     spoken = told.where(F.col("n") > 0).where(F.col("doc_id").isNotNull())
     same = materialize(
@@ -520,9 +514,55 @@ def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     copies = materialize(copies.distinct(), "copies")
     ((known, _),) = broadcast_if_small(copies.select("doc_id", "high", "low"))
     single = spoken.join(known, ["doc_id", "high", "low"], "left_anti")
-    points = spoken.select("doc_id", "n", "point", "fine")
-    shared = _shared(single, percent)
+    return told, copies, spoken.select("doc_id", "n", "point", "fine"), _shared(single, percent)
+
+
+def class_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all links between documents with different sets, and which documents have the same.
+
+    First ``a`` and ``b``, the smaller id before: one pair for every two linked classes, a class being the
+    documents of one set, told by its smallest id. Second ``doc_id`` and ``class_id`` of every row; documents
+    without shingles are classes of their own, and so is a null id (with a null class). Documents
+    of a class link with each other, and with all of a linked class.
+
+    All pairs that the trees leave are verified, those inside a component too, so the work grows with
+    the number of links between different texts. ``linked_components`` needs far fewer pairs.
+    """
+    docs = docs.select("doc_id", "text")
+    told, copies, points, shared = _classes(docs, percent)
+    apart = docs.sparkSession.createDataFrame([], "id bigint, component bigint")
+    pairs = materialize(_across(shared, apart, points, percent), "pairs")
+    links = materialize(_verified(pairs, docs, percent), "links")
+    first = copies.select(F.col("doc_id").alias("id"), F.col("high").alias("h"), F.col("low").alias("l"), "least")
+    own = (F.col("doc_id") == F.col("id")) & (F.col("high") == F.col("h")) & (F.col("low") == F.col("l"))
+    members = told.join(first, own, "left").select("doc_id", F.coalesce("least", "doc_id").alias("class_id"))
+    return links, members
+
+
+def link_counts(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``class_id`` and ``n_links``, the number of other documents that each links with, from
+    ``class_links``; for tables with unique ids. Links are counted by class and not told one by one."""
+    links, members = class_links(docs, percent)
+    members = materialize(members, "members")
+    sizes = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = both.join(sizes, F.col("b") == F.col("class_id")).groupBy("a").agg(F.sum("size").alias("others"))
+    spoken = materialize(sizes.join(linked, F.col("class_id") == F.col("a"), "left").drop("a"), "sizes")
+    counted = members.alias("m").join(spoken.alias("s"), F.col("m.class_id") == F.col("s.class_id"), "left")
+    n_links = F.coalesce(F.col("s.size") - 1, F.lit(0)) + F.coalesce(F.col("s.others"), F.lit(0))
+    return counted.select("m.doc_id", "m.class_id", n_links.cast("bigint").alias("n_links"))
 
+
+def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row: the smallest id reachable over links.
+
+    Sets link when 100 * common >= ``percent`` * united. Words are what stands between blanks and
+    the control characters 9 to 13, A-Z lower-cased; fewer than five are one shingle. A null or
+    wordless text has no shingles and stays alone. Rows with the same id are one document that any
+    of its texts can link; a null id has a null component. Empty input gives no rows.
+    """
+    docs = docs.select("doc_id", "text")
+    told, copies, points, shared = _classes(docs, percent)
     pairs = materialize(_near(_leaders(shared), points, percent), "pairs")
     links = materialize(_verified(pairs, docs, percent), "links")
     pairs = materialize(_near(_outside(shared, components(links)), points, percent), "pairs")
@@ -538,7 +578,10 @@ def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component of near copies: the one that gives the component its id."""
+    """One document of each component of near copies: the one that gives the component its id.
+
+    An id is one document: rows that repeat the id that stays are kept with it, and so are rows without id.
+    """
     found = linked_components(docs, percent)
     others = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
     ((gone, _),) = broadcast_if_small(materialize(others, "others"))

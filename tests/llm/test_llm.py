@@ -128,6 +128,38 @@ def test_ngram_join_matches_brute_force_with_hot_passages(spark, monkeypatch, la
     assert found == brute_components(texts)
 
 
+@pytest.mark.parametrize("block", [ngram_join.BLOCK, 25])
+def test_links_and_their_numbers_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    draw = random.Random(31)
+    base = prose(draw, 150).split()
+    texts = {}
+    for k in range(120):  # copies and near copies of one text, some pairs linked and some not
+        w = list(base)
+        for _ in range(draw.choice((0, 0, 1, 2, 3))):
+            w[draw.randrange(150)] = "changed" + str(draw.random())
+        texts[k] = " ".join(w)
+    for k in range(120, 170):
+        texts[k] = draw.choice([prose(draw, draw.randrange(0, 30)), "same few words", "same  few\nwords", None, " "])
+    sets = {k: frozenset(shingles(t)) for k, t in texts.items()}
+    first = {}
+    for k in sorted(texts):
+        first.setdefault(sets[k] or k, k)
+    classes = {k: first[sets[k] or k] for k in texts}
+
+    def linked(a, b):
+        common = len(sets[a] & sets[b])
+        return bool(common) and 100 * common >= 80 * len(sets[a] | sets[b])
+
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").withColumn("class_id", F.lit(1))
+    links, members = ngram_join.class_links(docs)
+    want = {(a, b) for a, b in itertools.combinations(sorted(set(classes.values())), 2) if linked(a, b)}
+    assert sorted(map(tuple, links.collect())) == sorted(want) and len(want) > 100
+    assert {r["doc_id"]: r["class_id"] for r in members.collect()} == classes
+    told = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.link_counts(docs).collect()}
+    assert told == {k: (classes[k], sum(linked(k, x) for x in texts if x != k)) for k in texts}
+
+
 def test_count_tree_misses_no_pair():
     draw = np.random.default_rng(1)
     base = draw.integers(0, 5, (40, 64))
@@ -162,6 +194,12 @@ def test_ngram_join_on_odd_input(odd_docs, no_docs):
     by = {r["doc_id"]: r for r in rows}
     assert by[100]["n_shingles"] == 0 and by[100]["component_id"] == 100 and by[None]["component_id"] is None
     assert ngram_join.linked_components(no_docs).count() == 0
+    links, members = ngram_join.class_links(odd_docs)
+    assert members.count() == odd_docs.count() and links.where("a >= b").count() == 0
+    assert ngram_join.link_counts(no_docs).count() == 0
+    kept = ngram_join.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns and kept.where("doc_id is null").count() == 2 and kept.where("doc_id = 101").count() == 2
+    assert ngram_join.one_of_each(no_docs).count() == 0
 
 
 # 2: packing
