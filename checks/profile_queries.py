@@ -40,8 +40,8 @@ def _slots_sql(code: str, description: str) -> str:
     )
 
 
-def _profile_sql(day: str, where: str) -> str:
-    """Numbering goes on across the rows of a key, should it repeat."""
+def _profile_sql(day: str, where: str, more: str = "", cities: str = "nation") -> str:
+    """Numbering goes on across the rows of a key, should it repeat. ``more`` activities, other ``cities``."""
     slots = _slots_sql("cnae_secundario", "descricao_atividade_secundaria")
     keys = (
         "cnpj, razao_social, sigla_uf, id_municipio, nome_municipio, cnae_fiscal_principal, "
@@ -50,7 +50,7 @@ def _profile_sql(day: str, where: str) -> str:
     order = ", ".join(f"{c.strip()} NULLS FIRST" for c in f"{keys}, list".split(",")[1:])
     return f"""
 WITH activity AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS code, p_brand || ' ' || p_name AS description FROM part),
+  SELECT CAST(p_partkey AS VARCHAR) AS code, p_brand || ' ' || p_name AS description FROM part {more}),
 joined AS (
   SELECT o_orderkey AS cnpj, c_name AS razao_social, o_orderstatus AS sigla_uf,
          o_custkey % 27 AS id_municipio, n_name AS nome_municipio,
@@ -59,7 +59,7 @@ joined AS (
          {standins.CODE_LIST_SQL} AS list
   FROM customer JOIN orders ON c_custkey = o_custkey
   LEFT JOIN activity ON code = CAST(o_orderkey * 3 % 2100 AS VARCHAR)
-  LEFT JOIN nation ON n_nationkey = o_custkey % 27
+  LEFT JOIN {cities} ON n_nationkey = o_custkey % 27
   {where}),
 numbered AS (
   SELECT *, coalesce(len(string_split(list, ',')), 1) AS n,
@@ -109,6 +109,25 @@ def company_profile_snapshot(spark, folder):
     return profile(**inputs, snapshot=_date("1998-01-01"), prefix="Customer#00000")
 
 
+@query(
+    _profile_sql(
+        f"DATE '{PUBLISHED}'",
+        "",
+        "UNION ALL SELECT '33', 'Zz again' UNION ALL SELECT '36', NULL",
+        "(SELECT n_nationkey, n_name FROM nation UNION ALL SELECT 5, 'Twice')",
+    )
+)
+def company_profile_repeated_code(spark, folder):
+    """Two activities and a city are listed twice: they touch the rows that have them."""
+    day = F.lit(PUBLISHED).cast("date")
+    inputs = _inputs(spark, folder, day, day)
+    more = spark.createDataFrame([("33", "Zz again"), ("36", None)], "cnae_2_3_subclasses string, descricao string")
+    inputs["activities"] = inputs["activities"].unionByName(more)
+    city = spark.createDataFrame([(5, "Twice")], "id_municipio bigint, nome string")
+    inputs["cities"] = inputs["cities"].unionByName(city)
+    return profile(**inputs)
+
+
 def _date(text):
     import datetime
 

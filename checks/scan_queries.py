@@ -489,45 +489,53 @@ def clustered_lookup(spark, folder):
 _ACTIVE = "SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') FROM orders WHERE o_orderstatus = 'F'"
 
 
-@query(f"""
-SELECT 'empresa' AS "table", CAST(count(*) AS BIGINT) AS n, CAST(sum(capital_social) AS VARCHAR) AS total
-FROM ({standins.TYPED_COMPANY_SQL}) WHERE cnpj_basico IN ({_ACTIVE})
-UNION ALL
-SELECT 'estabelecimento', count(*), CAST(sum(cnae_fiscal_principal) AS VARCHAR)
-FROM ({standins.TYPED_ESTABLISHMENT_SQL}) WHERE situacao_cadastral = 2
-UNION ALL
-SELECT 'socios', count(*), CAST(sum(qualificacao_socio) AS VARCHAR)
-FROM ({standins.TYPED_PARTNERS_SQL}) WHERE cnpj_basico IN ({_ACTIVE})
-UNION ALL
-SELECT 'simples', count(*), CAST(sum(datediff('day', DATE '1970-01-01', data_opcao_mei)) AS VARCHAR)
-FROM ({standins.TYPED_TAX_REGIME_SQL}) WHERE cnpj_basico IN ({_ACTIVE})
-UNION ALL
-SELECT 'cnae', count(*), max(p_brand || ' ' || p_name) FROM part
-UNION ALL
-SELECT 'munic', count(*), max(n_name) FROM nation""")
+def _dictionary_sql(source, key, description, width=None):
+    code = f"lpad(CAST({key} AS VARCHAR), {width}, '0')" if width else f"CAST({key} AS VARCHAR)"
+    return f"SELECT {code} AS codigo, {description} AS descricao FROM {source}"
+
+
+_LOADED = {
+    "empresa": f"SELECT * FROM ({standins.TYPED_COMPANY_SQL}) WHERE cnpj_basico IN ({_ACTIVE})",
+    "estabelecimento": f"SELECT * FROM ({standins.TYPED_ESTABLISHMENT_SQL}) WHERE situacao_cadastral = 2",
+    "socios": f"SELECT * FROM ({standins.TYPED_PARTNERS_SQL}) WHERE cnpj_basico IN ({_ACTIVE})",
+    "simples": f"SELECT * FROM ({standins.TYPED_TAX_REGIME_SQL}) WHERE cnpj_basico IN ({_ACTIVE})",
+    "cnae": _dictionary_sql("part", "p_partkey", "p_brand || ' ' || p_name", 7),
+    "moti": _dictionary_sql("supplier", "s_suppkey", "s_name"),
+    "munic": _dictionary_sql("nation", "n_nationkey", "n_name"),
+    "natju": _dictionary_sql("nation", "n_nationkey", "n_name"),
+    "pais": _dictionary_sql("region", "r_regionkey", "r_name"),
+    "quals": _dictionary_sql("supplier", "s_suppkey", "s_name"),
+}
+
+
+def _columns(name):
+    return [*TABLES[name].names, *(["cnpj"] if TABLES[name].full_key else [])]
+
+
+def _hashed_sql(name):
+    row = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _columns(name))
+    digest = f"CAST('0x' || substr(md5({row}), 1, 12) AS BIGINT)"
+    return f"SELECT '{name}' AS \"table\", count(*) AS n, CAST(sum({digest}) AS VARCHAR) AS rows_hash FROM ({_LOADED[name]})"
+
+
+@query(" UNION ALL ".join(_hashed_sql(name) for name in TABLES))
 def load_registry(spark, folder):
-    """A whole publication: files of all ten tables, scanned, typed, pruned, written, swapped."""
+    """A whole publication: files of all ten tables, scanned, typed, pruned, written, swapped; all rows count."""
     loaded = _load(spark, folder)
-    measures = {
-        "empresa": F.sum("capital_social").cast("string"),
-        "estabelecimento": F.sum("cnae_fiscal_principal").cast("string"),
-        "socios": F.sum("qualificacao_socio").cast("string"),
-        "simples": F.sum(F.datediff("data_opcao_mei", F.lit("1970-01-01").cast("date"))).cast("string"),
-        "cnae": F.max("descricao"),
-        "munic": F.max("descricao"),
-    }
-    parts = [
-        loaded[name].agg(
-            F.lit(name).alias("table"), F.count("*").alias("n"), total.alias("total")
-        )
-        for name, total in measures.items()
-    ]
+    parts = [_hashed(name, loaded[name]) for name in TABLES]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
     return union
 
 
+def _hashed(name, df):
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _columns(name)]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 12), 16, 10).cast("decimal(20,0)")
+    total = F.sum(digest).cast("decimal(38,0)").cast("string")
+    return df.agg(F.lit(name).alias("table"), F.count("*").alias("n"), total.alias("rows_hash"))
+
+
 def _load(spark, folder):
     return load_publication(spark, _raw_files(spark, folder), _database(spark))
 

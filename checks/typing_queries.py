@@ -8,7 +8,7 @@ from checks import standins
 from checks.registry import query, table
 from regispark.functions import codepage, values
 from regispark.operators.typing import split_rejected, type_table, typed
-from regispark.schemas import TABLES, text_schema
+from regispark.schemas import DICTIONARIES, TABLES, text_schema
 
 
 @query("""
@@ -122,14 +122,16 @@ def typed_tax_regime(spark, folder):
 SELECT 'cnae' AS dictionary, lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS codigo,
        p_brand || ' ' || p_name AS descricao FROM part
 UNION ALL SELECT 'munic', CAST(n_nationkey AS VARCHAR), n_name FROM nation
+UNION ALL SELECT 'natju', CAST(n_nationkey AS VARCHAR), n_name FROM nation
 UNION ALL SELECT 'pais', CAST(r_regionkey AS VARCHAR), r_name FROM region
+UNION ALL SELECT 'moti', CAST(s_suppkey AS VARCHAR), s_name FROM supplier
 UNION ALL SELECT 'quals', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""")
 def typed_dictionary(spark, folder):
     parts = [
         type_table(standins.raw_table(spark, folder, name), TABLES[name]).select(
             F.lit(name).alias("dictionary"), F.col("codigo").cast("string"), "descricao"
         )
-        for name in ("cnae", "munic", "pais", "quals")
+        for name in DICTIONARIES
     ]
     union = parts[0]
     for part in parts[1:]:
@@ -192,19 +194,22 @@ def _dirty(spark, folder):
     return typed(raw, QUARANTINE, on_error="quarantine")
 
 
-# Every byte of the UTF-8 text read as a character of the code page. The SQL maps 0x80-0x9F by
-# position and turns the five undefined ones into U+FFFD.
+# Characters of the code page from 0x80 to 0x9F, five of which are undefined.
+_CP1252 = "€\ufffd‚ƒ„…†‡ˆ‰Š‹Œ\ufffdŽ\ufffd\ufffd‘’“”•–—˜™š›œ\ufffdžŸ"
+_LATIN1 = "".join(map(chr, range(0x80, 0xA0)))
+
+# Every byte of the UTF-8 text read as a character of the code page.
 _CP1252_SQL = f"""
 SELECT doc_id, lang,
        translate(array_to_string([chr(CAST(ascii_code AS INTEGER)) FOR ascii_code IN bytes], ''),
-                 '{{latin}}', '{codepage.CP1252_CHARS}') AS decoded
+                 '{_LATIN1}', '{_CP1252}') AS decoded
 FROM (SELECT doc_id, lang,
              [CAST('0x' || substr(h, 2 * i - 1, 2) AS INTEGER)
               FOR i IN range(1, len(h) // 2 + 1)] AS bytes
       FROM (SELECT doc_id, lang, hex(encode(text)) AS h FROM documents))"""
 
 
-@query(_CP1252_SQL.format(latin=codepage.LATIN1_CONTROLS))
+@query(_CP1252_SQL)
 def decode_cp1252(spark, folder):
     return table(spark, folder, "documents").select(
         "doc_id", "lang", codepage.cp1252(F.col("text").cast("binary")).alias("decoded")

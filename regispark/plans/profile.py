@@ -87,33 +87,61 @@ def company_profile(
     rows = companies.withColumnRenamed("data", "data_info").join(
         establishments.drop("data"), "cnpj_basico", "inner"
     )
-    rows = (
-        rows.join(city, F.col("id_municipio") == F.col("_city"), "left")
-        .join(activity, F.col("cnae_fiscal_principal") == F.col("_activity"), "left")
-        .withColumnsRenamed({"_name": "nome_municipio", "_text": "descricao_atividade_principal"})
-        .select(*KEYS, LIST)
-    )
 
+    def described(some: DataFrame) -> DataFrame:
+        return (
+            some.join(city, F.col("id_municipio") == F.col("_city"), "left")
+            .join(activity, F.col("cnae_fiscal_principal") == F.col("_activity"), "left")
+            .withColumnsRenamed({"_name": "nome_municipio", "_text": "descricao_atividade_principal"})
+            .select(*KEYS, LIST)
+        )
+
+    unique = _wide if few_activities else _unnested
+    texts, doubled = activity, None
     once = all(n in known and known[n].unique("codigo") for n in ("activities", "cities"))
     if not once and any_repeated(activities.select("_activity"), cities.select("_city")):
-        # A code listed twice doubles rows; of its descriptions a slot shows the largest.
+        # A main activity or city listed twice doubles its own rows, which take the general plan. Of
+        # the descriptions of a listed code a slot shows the largest.
         texts = activities.groupBy("_activity").agg(F.max("_text").alias("_text"))
         texts = F.broadcast(texts) if few_activities else texts.hint("merge")
-        return _repeated_profile(rows, texts, slots).select(*profile_columns(slots))
-
-    unique = _wide if few_activities else _unnested
-    if _keys_are_unique(known):
-        return unique(rows, activity, slots).select(*profile_columns(slots))
-    repeated = materialize(
-        _repeated_keys(companies, establishments, few_companies, limit), "repeated"
+        rows, doubled = _without_doubled(rows, activities, cities, limit)
+        doubled = described(doubled)
+    rows = described(rows)
+
+    repeated = None
+    if not _keys_are_unique(known):
+        repeated = materialize(
+            _repeated_keys(companies, establishments, few_companies, limit), "repeated"
+        )
+        repeated = None if repeated.isEmpty() else repeated
+    if repeated is None and doubled is None:
+        return unique(rows, texts, slots).select(*profile_columns(slots))
+    once, several = rows, doubled
+    if repeated is not None:
+        ((repeated, _),) = broadcast_if_small(repeated, limit=limit)
+        same = F.col("cnpj").eqNullSafe(F.col("_cnpj"))
+        once = rows.join(repeated, same, "left_anti")
+        more = rows.join(repeated, same, "left_semi")
+        several = more if doubled is None else doubled.unionByName(more)
+    general = _repeated_profile(several, texts, slots)
+    return unique(once, texts, slots).unionByName(general).select(*profile_columns(slots))
+
+
+def _without_doubled(
+    rows: DataFrame, activities: DataFrame, cities: DataFrame, limit: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose main activity and city are listed once, or not at all, and the others. The codes listed
+    more often, no more than a dictionary has, are found first; ``rows`` are not shuffled for few."""
+    twice = [
+        materialize(repeated_values(df.select(c).dropna(), c), "twice")
+        for df, c in ((activities, "_activity"), (cities, "_city"))
+    ]
+    (activity, _), (city, _) = broadcast_if_small(*twice, limit=limit)
+    marked = rows.join(activity, F.col("cnae_fiscal_principal") == F.col("_activity"), "left").join(
+        city, F.col("id_municipio") == F.col("_city"), "left"
     )
-    if repeated.isEmpty():
-        return unique(rows, activity, slots).select(*profile_columns(slots))
-    ((repeated, _),) = broadcast_if_small(repeated, limit=limit)
-    same = F.col("cnpj").eqNullSafe(F.col("_cnpj"))
-    once = unique(rows.join(repeated, same, "left_anti"), activity, slots)
-    more = _repeated_profile(rows.join(repeated, same, "left_semi"), activity, slots)
-    return once.unionByName(more).select(*profile_columns(slots))
+    alone = F.col("_activity").isNull() & F.col("_city").isNull()
+    return marked.where(alone).drop("_activity", "_city"), marked.where(~alone).drop("_activity", "_city")
 
 
 def profile_columns(slots: int = SLOTS) -> list[str]:

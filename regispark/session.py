@@ -41,7 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="regispark-"))
         root = context.getCheckpointDir()

@@ -89,11 +89,11 @@ def records(
     )
     blocks = materialize(marked.mapInArrow(_reporter(limit), BLOCKS), "blocks")
     blocks = materialize(with_begin(blocks), "begins")
-    # Two numbers for each split, which takes in the order of a hundred megabytes.
-    known = blocks.select(F.xxhash64("path"), "start", "inside").collect()
-    begins = {(r[0], r[1]): r[2] for r in known}
+    # Nine bytes for each split, which takes in the order of a hundred megabytes.
+    known = blocks.select(F.xxhash64("path", "start").alias("split"), "inside").orderBy("split").toArrow()
+    begins = known.column("split").to_numpy(), known.column("inside").to_numpy()
     held = spark.sparkContext.broadcast(begins)
-    keyed = marked.withColumn("path", F.xxhash64("path"))
+    keyed = marked.withColumn("path", F.xxhash64("path", "start"))
     uncut = keyed.mapInArrow(_cutter(held), "file string, value string").withColumn("whole", F.lit(True))
     named = uncut.unionByName(put_together(blocks, on_error, limit))
     return named.withColumnRenamed("file", file)
@@ -244,14 +244,19 @@ def _reporter(limit: int):
 def _cutter(begins):
     """Second pass: the records that lie within a split."""
 
+    def begins_inside(split: int) -> bool:
+        splits, inside = begins.value
+        at = int(np.searchsorted(splits, split))
+        if at == len(splits) or splits[at] != split:
+            raise RuntimeError("files or their splits changed between the two passes")
+        return bool(inside[at])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state, skip, held = None, False, False, []
         for batch in batches:
             for mine, part in _split(batch) if batch.num_rows else ():
                 if mine != key:
-                    if mine not in begins.value:
-                        raise RuntimeError("files or their splits changed between the two passes")
-                    key, state, held = mine, begins.value[mine], []
+                    key, state, held = mine, begins_inside(mine[0]), []
                     skip = state  # the record that is open here is put together elsewhere
                 after = states(*_bits(part), state)
                 before = np.r_[state, after[:-1]]

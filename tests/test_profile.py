@@ -192,3 +192,16 @@ def test_keys_are_in_published_order():
         "cnae_secundario_2",
         "descricao_atividade_secundaria_2",
     ]
+
+
+def test_a_repeated_code_touches_its_own_rows_only(spark, explain):
+    from regispark.plans import profile
+
+    companies, establishments, activities, cities = frames(spark, *made(5, False, False, True))
+    rows = establishments.withColumn("razao_social", F.lit("x"))
+    activity, city = activities.toDF("_activity", "_text"), cities.toDF("_city", "_name")
+    alone, doubled = profile._without_doubled(rows, activity, city, 10**6)
+    touched = F.col("cnae_fiscal_principal").isin("3", "5") | (F.col("id_municipio") == "2")
+    assert doubled.count() == rows.where(touched).count() > 0
+    assert alone.count() == rows.count() - doubled.count() > 0
+    assert "Exchange hashpartitioning" not in explain(alone)
