@@ -21,15 +21,16 @@ from regispark.plans.load import load_publication, publish_registry
 from regispark.schemas import TABLES
 from regispark.session import scratch_path
 from regispark.sinks import tables as sinks
-from regispark.sources.archives import archive_report, scan_archives
+from regispark.sources.archive_source import register
+from regispark.sources.archives import archive_lines, archive_report, scan_archives
 from regispark.sources.archives import expand_archives as expand
-from regispark.sources.delimited import FORMAT, NA_TOKENS, scan, split_corrupt
+from regispark.sources.delimited import FORMAT, NA_TOKENS, parse_lines, scan, split_corrupt
 from regispark.sources.files import manifest_diff as diff
 from regispark.sources.files import route_files as route
 from regispark.sources.links import extract_links as links
 from regispark.sources.snapshots import at_snapshot
 from regispark.streaming.files import FileIngest
-from regispark.streaming.ingest import ingest, stream_files
+from regispark.streaming.ingest import ingest, stream_files, stream_table
 
 
 @query(standins.TYPED_ESTABLISHMENT_SQL)
@@ -289,6 +290,21 @@ def scan_zipped(spark, folder):
     return scan_archives(spark, _archives(spark, folder), TABLES["cnae"].names)
 
 
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS codigo, c_name AS descricao FROM customer WHERE c_nationkey % 2 = 0""")
+def archive_source(spark, folder):
+    """Archives as a data source of their own; members are chosen by name when the scan is planned."""
+    register(spark)
+    customer = table(spark, folder, "customer").select(
+        F.expr("if(c_nationkey % 2 = 0, 'CNAECSV.', 'OTHER.') || c_nationkey").alias("member"),
+        F.expr("'nation' || c_nationkey").alias("name"),
+        F.expr("concat(c_custkey, ';', c_name)").alias("line"),
+    )
+    root = _zipped(customer, scratch_path(spark, "zips"))
+    blocks = spark.read.format("registry_archives").option("containing", "CNAE").load(root)
+    return parse_lines(archive_lines(blocks), TABLES["cnae"].names, decoded=True)
+
+
 def _archives(spark, folder):
     """Customers as zip files, one per nation and task."""
     customer = table(spark, folder, "customer").join(
@@ -394,6 +410,17 @@ def incremental_ingest_establishment(spark, folder):
     return ingested().rows().drop("_path")
 
 
+@query(standins.TYPED_ESTABLISHMENT_SQL)
+def stream_establishment(spark, folder):
+    """Establishments as a stream of files, typed with the full key; tokens for missing values become NULL."""
+    source, target, log = (scratch_path(spark, n) for n in ("landing", "ingested", "log"))
+    raw = standins.establishment_text(table(spark, folder, "orders")).withColumn("ddd_2", F.lit("n/a"))
+    for part, half in enumerate((F.col("cnpj_ordem") < "5000", F.col("cnpj_ordem") >= "5000")):
+        _publish(raw.where(half), source, standins.file_name("estabelecimento", part))
+        ingest(stream_table(spark, source, TABLES["estabelecimento"], na_tokens=("n/a",)), target, log)
+    return spark.read.parquet(target)
+
+
 @query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS codigo, c_name AS descricao FROM customer""")
 def stream_archives(spark, folder):
     """Archives that arrive in two deliveries, each member read once."""

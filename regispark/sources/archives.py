@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from regispark.schemas import Table
 from regispark.session import ship
 from regispark.sources.delimited import parse_lines, parse_records, recoded, without_missing
-from regispark.sources.files import is_leftover, list_files
+from regispark.sources.files import LEFTOVER, is_leftover, list_files
 from regispark.sources.multiline import closed_length, records_of
 
 BLOCK_BYTES = 4 * 1024 * 1024
@@ -152,6 +152,53 @@ def _open(path: str):
     return files.open_input_file(name)
 
 
+def archive_files(folder: str, suffix: str = ".zip") -> list[tuple[str, int, int]]:
+    """Path, size and time of change of the archives of a folder, from its listing."""
+    from pyarrow import fs
+
+    files, name = fs.FileSystem.from_uri(re.sub("^file:/+", "/", folder))
+    found = files.get_file_info(fs.FileSelector(name))
+    kept = [f for f in found if f.is_file and f.path.lower().endswith(suffix)]
+    base = folder.rstrip("/")
+    return sorted((f"{base}/{f.base_name}", f.size, f.mtime_ns or 0) for f in kept)
+
+
+def members_of(path: str, containing: str = "") -> list[tuple[str, str, str | None, str | None]]:
+    """``(archive, path, member, error)`` of the members of an archive whose names hold a text, from its directory."""
+    name = path.rsplit("/", 1)[-1]
+    try:
+        with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+            listed = [i.filename for i in archive.infolist() if not i.is_dir()]
+    except Exception as problem:
+        return [(name, path, None, f"{type(problem).__name__}: {problem}")]
+    bases = ((m, m.rsplit("/", 1)[-1]) for m in listed)
+    return [(name, path, m, None) for m, base in bases if containing in base and not base.lower().endswith(LEFTOVER)]
+
+
+def member_blocks(
+    name: str, path: str, member: str | None, error: str | None, multiline: bool = False, whole: bool = False
+) -> Iterator[tuple]:
+    """Rows of ``BLOCKS`` of one member, which is inflated as a stream."""
+    if member is None:
+        yield name, path, None, None, None, error
+        return
+    cut = _whole_records if multiline else _whole_lines
+    number = -1
+    try:
+        with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+            if whole:
+                with archive.open(member) as stream:
+                    while stream.read(BLOCK_BYTES):  # ends in a check of the sum
+                        pass
+            with archive.open(member) as stream:
+                for number, data in enumerate(cut(stream)):
+                    yield name, path, member, number, data, None
+        if number < 0:
+            yield name, path, member, 0, b"", None
+    except Exception as problem:  # report a damaged member, go on with the next
+        yield name, path, member, number + 1, None, f"{type(problem).__name__}: {problem}"
+
+
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["archive", "path", "member", "size", "error"]
     for batch in batches:
@@ -168,7 +215,15 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _block_reader(whole: bool, multiline: bool):
-    return lambda batches: _blocks(batches, whole, _whole_records if multiline else _whole_lines)
+    columns = [part.split()[0] for part in BLOCKS.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for one in zip(batch["archive"], batch["path"], batch["member"], batch["error"]):
+                for row in member_blocks(*one, multiline, whole):
+                    yield pd.DataFrame([row], columns=columns)
+
+    return run
 
 
 def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,34 +233,6 @@ def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"archive": archive, "path": path, "member": member, "value": values})
 
 
-def _blocks(batches: Iterator[pd.DataFrame], whole: bool, cut: Callable) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "path", "member", "block", "data", "error"]
-    for batch in batches:
-        for name, path, member, error in zip(
-            batch["archive"], batch["path"], batch["member"], batch["error"]
-        ):
-            if member is None:
-                yield pd.DataFrame([(name, path, None, None, None, error)], columns=columns)
-                continue
-            number = -1
-            try:
-                with _open(path) as handle, zipfile.ZipFile(handle) as archive:
-                    if whole:
-                        with archive.open(member) as stream:
-                            while stream.read(BLOCK_BYTES):  # ends in a check of the sum
-                                pass
-                    with archive.open(member) as stream:
-                        for number, data in enumerate(cut(stream)):
-                            yield pd.DataFrame(
-                                [(name, path, member, number, data, None)], columns=columns
-                            )
-                if number < 0:
-                    yield pd.DataFrame([(name, path, member, 0, b"", None)], columns=columns)
-            except Exception as problem:  # report a damaged member, go on with the next
-                text = f"{type(problem).__name__}: {problem}"
-                yield pd.DataFrame([(name, path, member, number + 1, None, text)], columns=columns)
-
-
 def _whole_lines(stream) -> Iterator[bytes]:
     rest: list[bytes] = []
     while chunk := stream.read(BLOCK_BYTES):

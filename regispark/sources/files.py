@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from regispark.schemas import TABLES
 
 
+#: Ending of the files that a load leaves behind.
+LEFTOVER = ".tmp.csv"
+
+
 def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str = "*") -> DataFrame:
     """``(name, path, size)`` of a folder's files, or of the files named; contents are not read."""
     paths = folder if isinstance(folder, str) else list(folder)
@@ -20,7 +24,7 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str = "*"
 
 def is_leftover(name: Column) -> Column:
     """Whether a file is what a load left behind; wherever files come from, such are not read."""
-    return F.lower(name).endswith(".tmp.csv")
+    return F.lower(name).endswith(LEFTOVER)
 
 
 def is_archive(name: Column) -> Column:

@@ -335,3 +335,51 @@ def test_reading_runs_nothing_and_links_exist(spark, tmp_path):
         for link in code_links(name):
             assert link.column in tables[name].columns
             assert link.target_column in tables[link.target].columns
+
+
+def zip_of(path, **members):
+    import zipfile
+
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, text in members.items():
+            archive.writestr(name, text)
+
+
+def test_archive_source_plans_a_partition_per_member(spark, tmp_path):
+    from regispark.sources.archive_source import NAME, register
+
+    register(spark)
+    zip_of(tmp_path / "a.zip", CNAE1="1;x\n2;y\n", OTHER="3;z\n", CNAE2="4;v\n")
+    (tmp_path / "b.ZIP").write_bytes(b"no archive")
+    (tmp_path / "c.txt").write_text("no")
+    blocks = spark.read.format(NAME).option("containing", "CNAE").load(str(tmp_path))
+    assert blocks.rdd.getNumPartitions() == 3  # two members, and one archive that cannot be read
+    rows = {(r["archive"], r["member"]): r["data"] for r in blocks.collect()}
+    assert rows == {("a.zip", "CNAE1"): b"1;x\n2;y\n", ("a.zip", "CNAE2"): b"4;v\n", ("b.ZIP", None): None}
+    assert blocks.where("error is not null").first()["member"] is None
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert spark.read.format(NAME).load(str(empty)).collect() == []
+
+
+def test_archive_stream_takes_new_and_changed_archives_once(spark, tmp_path):
+    from regispark.sources.archive_source import NAME, register
+    from regispark.streaming.ingest import ingest
+
+    register(spark)
+    source, target, log = (tmp_path / n for n in ("in", "out", "log"))
+    source.mkdir()
+
+    def told():
+        stream = spark.readStream.format(NAME).load(str(source)).where("data is not null")
+        stream = stream.selectExpr("archive", "member", "decode(data, 'UTF-8') as text")
+        ingest(stream, str(target), str(log))
+        return sorted(tuple(r) for r in spark.read.parquet(str(target)).collect())
+
+    zip_of(source / "a.zip", one="1\n")
+    first = [("a.zip", "one", "1\n")]
+    assert told() == first
+    assert told() == first
+    zip_of(source / "b.zip", two="2\n")
+    zip_of(source / "a.zip", one="changed\n")
+    assert told() == sorted([*first, ("a.zip", "one", "changed\n"), ("b.zip", "two", "2\n")])
