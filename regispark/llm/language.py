@@ -26,6 +26,8 @@ PROFILE = 400
 RANKED = 300
 #: Documents per language that profiles are learned from, at most (a classifier's sample).
 SAMPLE = 500
+#: Languages that are learned, at most: those with the most labelled documents.
+LANGUAGES = 512
 #: A stage's cut: this part of the score that all but ``LOW`` of a language's training documents reach.
 #: Texts in other languages and scripts stay below it, short and damaged ones of its own above.
 CUT = 2 / 3
@@ -108,14 +110,15 @@ def held_out(id: str) -> Column:
 def training(
     docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE
 ) -> DataFrame:
-    """``lang`` and ``text`` of labelled documents that are not held out: at most ``sample`` of each
-    language, those whose ids hash smallest."""
+    """``lang`` and ``text`` of labelled documents that are not held out: at most ``sample`` of each of the
+    ``LANGUAGES`` with the most, those whose ids hash smallest. So what is learned and broadcast is bounded
+    for any column of labels."""
     labelled = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         ~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id", F.lit("language")).alias("draw"))
     # Twice the expected share first, by hash alone; the exact choice then sorts few rows.
-    share = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    share = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(LANGUAGES)
     few = ids.join(share, "lang").where(
         (F.col("docs") <= 4 * sample) | (F.pmod("draw", F.ceil(F.col("docs") / (2 * sample))) == 0)
     )
@@ -200,6 +203,10 @@ def cuts(known: DataFrame, profiles: Profiles) -> dict[str, float]:
     return {r["lang"]: CUT * r["score"] for r in reached.collect()}
 
 
+def _free(name: str, taken: list[str]) -> str:
+    return name if name not in taken else _free(f"_{name}", taken)
+
+
 def keep_identified(docs: DataFrame, least: float = 0.0, cut: bool = False) -> DataFrame:
     """Documents with a language and a score of ``least`` or more, with their columns as they were.
 
@@ -208,9 +215,10 @@ def keep_identified(docs: DataFrame, least: float = 0.0, cut: bool = False) -> D
     """
     known = materialize(training(docs), "training")
     profiles = learn_from(known)
-    found = predict(docs, profiles, into=("_lang", "_score"))
-    kept = (F.col("_lang") != UNKNOWN) & (F.col("_score") >= least)
+    lang, score = _free("_lang", docs.columns), _free("_score", docs.columns)
+    found = predict(docs, profiles, into=(lang, score))
+    kept = (F.col(lang) != UNKNOWN) & (F.col(score) >= least)
     if cut:
-        by_language = [F.when(F.col("_lang") == k, F.lit(v)) for k, v in sorted(cuts(known, profiles).items())]
-        kept &= (F.col("_score") > 0) & (F.col("_score") >= F.coalesce(*by_language, F.lit(0.0)))
+        by_language = [F.when(F.col(lang) == k, F.lit(v)) for k, v in sorted(cuts(known, profiles).items())]
+        kept &= (F.col(score) > 0) & (F.col(score) >= F.coalesce(*by_language, F.lit(0.0)))
     return found.where(kept).select(docs.columns)

@@ -62,6 +62,18 @@ def test_language_distances_match_brute_force(spark):
         assert r["score"] == pytest.approx(1 - distance[best] / (language.PROFILE * len(own)))
 
 
+def test_many_labels_and_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = [(k, "aaa bbb ccc", "a", "s", 1) for k in range(40)] + [(40 + k, "xxx yyy zzz", "x", "s", 1) for k in range(30)]
+    rows += [(100 + k, "qq", f"dirty{k}", "s", 1) for k in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("_lang", F.lit("mine")).withColumn("_score", F.lit(7))
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs).collect()}
+    assert {found[k] for k in range(40)} == {"a"} and {found[k] for k in range(40, 70)} == {"x"}
+    kept = language.keep_identified(docs)
+    assert kept.columns == docs.columns and kept.where("_lang = 'mine' and _score = 7").count() == len(rows)
+    assert language.keep_identified(docs.limit(0), cut=True).count() == 0
+
+
 def test_cuts_of_the_first_tree_are_the_best(monkeypatch):
     """Every cut of a tree has the greatest gain of all cuts of all columns, counted row by row."""
     monkeypatch.setattr(boosting, "TREES", 2)
