@@ -77,11 +77,11 @@ SPLIT = "spark.sql.files.maxPartitionBytes"
 
 @query(_ODD_LINES_SQL)
 def scan_multiline_split(spark, folder):
-    """Files cut into splits much smaller than a record now and then; quoted line breaks at their ends."""
+    """Files cut into many splits, with quoted line breaks at their ends."""
     root = scratch_path(spark, "split")
     _put_lines(_odd_lines(spark, folder).select("line"), root, "docs.csv")
     before = spark.conf.get(SPLIT)
-    spark.conf.set(SPLIT, "64k")
+    spark.conf.set(SPLIT, "1m")
     try:
         read = scan(spark, root, ["id", "lang", "text"], multiline=True)
     finally:
