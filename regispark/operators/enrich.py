@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from regispark.operators.joins import company_establishment, lookups
 from regispark.operators.sizing import BROADCAST_LIMIT, measured_bytes
 from regispark.schemas import ACTIVITY_CODE_WIDTH, LINKS, code_links, list_links
 
+#: Bytes of the largest dictionary that is made a constant of a plan.
+CONSTANT_LIMIT = 8 * 1024 * 1024
+
 
 def enrich(
     table: str,
@@ -52,28 +57,27 @@ def described_list(
     for a NULL list. Of a code listed twice in the dictionary the greatest description counts.
 
     The dictionary is dealt into small lists by a hash of the code, so that one code is looked up among
-    about one entry; if all of them are within ``limit`` they go with the tasks, and ``df`` stays as
-    it is. Otherwise the codes of all lists are joined, one row each with its place, and put together
+    about one entry; if all of them are within ``limit`` and ``CONSTANT_LIMIT`` they are a constant of the
+    plan, and ``df`` stays as it is. Otherwise the codes of all lists are joined, one row each with its place, and put together
     by list: what is shuffled is codes and descriptions, and each list once.
     """
     texts = dictionary.groupBy(F.col(code).cast("string").alias("code")).agg(F.max(value).alias("text"))
     texts = texts.where(F.col("code").isNotNull())
     codes = split_codes(F.col(column))
-    if measured_bytes(texts)[0] <= limit:
+    if measured_bytes(texts)[0] <= min(limit, CONSTANT_LIMIT):
         count = max(1, 2 * texts.count())
-        bucket = F.pmod(F.xxhash64("code"), F.lit(count)).cast("int").alias("bucket")
-        dealt = texts.groupBy(bucket).agg(F.collect_list(F.struct("code", "text")).alias("texts"))
-        numbered = df.sparkSession.range(count).select(F.col("id").cast("int").alias("bucket"))
-        lists = numbered.join(dealt, "bucket", "left").agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("bucket", "texts"))), lambda b: b["texts"]).alias("lists")
-        )
-        named = df.withColumn("_lists", lists.scalar())
+        dealt: list[list[dict]] = [[] for _ in range(count)]
+        bucket = F.pmod(F.xxhash64("code"), F.lit(count)).alias("bucket")
+        for row in texts.select(bucket, "code", "text").collect():  # within the limit
+            dealt[row["bucket"]].append({"code": row["code"], "text": row["text"]})
+        # Folded into a constant by the optimizer; as a column it would be copied into every row.
+        held = F.from_json(F.lit(json.dumps(dealt)), "array<array<struct<code:string,text:string>>>")
 
         def text(c: Column) -> Column:
-            own = F.get("_lists", F.pmod(F.xxhash64(c), F.lit(count)).cast("int"))
+            own = F.get(held, F.pmod(F.xxhash64(c), F.lit(count)).cast("int"))
             return F.get(F.filter(own, lambda x: x["code"] == c), F.lit(0))["text"]
 
-        return named.withColumn(described, F.transform(codes, text)).drop("_lists")
+        return df.withColumn(described, F.transform(codes, text))
     lists = df.where(F.col(column).isNotNull()).select(column).distinct()
     items = lists.select(column, F.posexplode(codes).alias("place", "code")).join(texts.hint("merge"), "code", "left")
     joined = items.groupBy(column).agg(
