@@ -12,11 +12,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from regispark.operators.numbering import Chunks, sorted_runs
 from regispark.operators.sizing import broadcast_if_small
 from regispark.operators.typing import type_table
 from regispark.schemas import Table
-from regispark.session import names_in, put_text, read_text
+from regispark.session import exists, materialize, names_in, put_text
 from regispark.sources.archives import list_members, scan_members
 from regispark.sources.delimited import parse_lines, without_missing
 
@@ -50,22 +52,33 @@ class FileIngest:
         self.encoding, self.na_tokens = encoding, na_tokens
 
     def batches(self) -> dict[int, str]:
-        """Folders of the batches that count, by number."""
+        """Folders of the batches that count, by number; the log is read in one job."""
+        if not self._numbers():
+            return {}
+        name = F.col("_metadata.file_name").alias("name")
+        log = self.spark.read.option("pathGlobFilter", "*.txt").text(f"{self.target}/log", wholetext=True)
+        found = {r["name"]: r["value"] for r in log.select(name, "value").collect()}
+        return {int(n[:-4]): found[n] for n in sorted(found) if n[:-4].isdigit()}
+
+    def _numbers(self) -> list[int]:
         names = names_in(self.spark, f"{self.target}/log")
-        found = sorted(n for n in names if n.endswith(".txt") and n[:-4].isdigit())
-        return {int(n[:-4]): read_text(self.spark, f"{self.target}/log/{n}") for n in found}
+        return [int(n[:-4]) for n in names if n.endswith(".txt") and n[:-4].isdigit()]
+
+    def _read(self, part: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+        """One part of all batches that count, in one scan; the number of a row's batch is in its file's path."""
+        batches = self.batches()
+        if not batches:
+            return None
+        paths = [f"{self.target}/{folder}/{part}" for folder in batches.values()]
+        schema = schema or self.spark.read.parquet(paths[-1]).schema
+        number = F.regexp_extract("_metadata.file_path", r"/batches/(\d+)-[0-9a-f]+/[^/]+/[^/]+$", 1)
+        return self.spark.read.schema(schema).parquet(*paths).withColumn(BATCH, number.cast("int"))
 
     def known(self) -> DataFrame:
         """The files that were read, as they were the last time: ``path``, ``size``, ``changed``, ``_batch``."""
-        parts = [
-            self.spark.read.schema(STATE).parquet(f"{self.target}/{folder}/files").withColumn(BATCH, F.lit(number))
-            for number, folder in self.batches().items()
-        ]
-        if not parts:
+        every = self._read("files", STATE)
+        if every is None:
             return self.spark.createDataFrame([], f"{STATE}, {BATCH} int")
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.unionByName(part)
         last = Window.partitionBy("path").orderBy(F.desc(BATCH))
         return every.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
@@ -80,33 +93,41 @@ class FileIngest:
         return listed.join(self.known().drop(BATCH), ["path", "size", "changed"], "left_anti")
 
     def run(self) -> int:
-        """Reads all that is pending, oldest files first; the number of batches that took."""
-        done = 0
-        while files := self.pending().orderBy("changed", "path").limit(self.files_per_batch).collect():
-            self._load(files)
-            done += 1
+        """Reads all that is pending, oldest files first; the number of batches that took.
+
+        The folder and the state are read once for all batches, and again for what came meanwhile, so the
+        time of a batch does not grow with their number.
+        """
+        done, number = 0, max(self._numbers(), default=-1) + 1
+        while count := (planned := materialize(self.pending(), "pending")).count():
+            chunks = Chunks(sorted_runs(planned, ["changed", "path"]))
+            for skip in range(0, count, self.files_per_batch):
+                files = chunks.rows(skip, self.files_per_batch).orderBy("changed", "path").collect()
+                number = self._load(files, number) + 1
+                done += 1
         return done
 
     def rows(self) -> DataFrame:
         """The table: the rows of each file's latest reading, with the file's ``_path``."""
-        batches = self.batches()
-        if not batches:
+        every = self._read("rows")
+        if every is None:
             raise ValueError(f"nothing was read into {self.target} yet")
-        every = None
-        for number, folder in batches.items():
-            part = self.spark.read.parquet(f"{self.target}/{folder}/rows").withColumn(BATCH, F.lit(number))
-            every = part if every is None else every.unionByName(part)
         ((known, _),) = broadcast_if_small(self.known().select(F.col("path").alias(PATH), BATCH))
         return every.join(known, [PATH, BATCH], "left_semi").drop(BATCH)
 
-    def _load(self, files: list) -> None:
-        number = max(self.batches(), default=-1) + 1
+    def _load(self, files: list, number: int) -> int:
+        while exists(self.spark, self._entry(number)):
+            number += 1
         folder = f"batches/{number:08d}-{uuid.uuid4().hex}"
         rows = self._rows([f["path"] for f in files])
         rows.write.parquet(f"{self.target}/{folder}/rows")
         state = self.spark.createDataFrame(files, STATE)
         state.coalesce(1).write.parquet(f"{self.target}/{folder}/files")
-        put_text(self.spark, f"{self.target}/log/{number:08d}.txt", folder)
+        put_text(self.spark, self._entry(number), folder)
+        return number
+
+    def _entry(self, number: int) -> str:
+        return f"{self.target}/log/{number:08d}.txt"
 
     def _rows(self, paths: list[str]) -> DataFrame:
         names = self.table.names
