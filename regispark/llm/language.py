@@ -17,15 +17,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regispark.llm.frames import materialize, ship, small_batches
+from regispark.llm.frames import ship, small_batches
 
 #: Longest n-gram, in letters and word ends.
 LONGEST = 3
 #: N-grams of a language's profile, and of a document that are compared with it.
 PROFILE = 400
 RANKED = 300
-#: Documents per language that profiles are learned from, at most (a classifier's sample).
-SAMPLE = 500
 #: Languages that are learned, at most: those with the most labelled documents.
 LANGUAGES = 512
 #: A stage's cut: this part of the score that all but ``LOW`` of a language's training documents reach.
@@ -107,34 +105,22 @@ def held_out(id: str) -> Column:
     return F.coalesce(rest == 0, F.lit(True))
 
 
-def training(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE
-) -> DataFrame:
-    """``lang`` and ``text`` of labelled documents that are not held out: at most ``sample`` of each of the
-    ``LANGUAGES`` with the most, those whose ids hash smallest. So what is learned and broadcast is bounded
-    for any column of labels."""
+def training(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``lang`` and ``text`` of all labelled documents that are not held out, in the ``LANGUAGES`` with the most
+    of them: what is learned and broadcast is bounded for any column of labels."""
     labelled = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         ~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    ids = labelled.select("doc_id", "lang", F.xxhash64("doc_id", F.lit("language")).alias("draw"))
-    # Twice the expected share first, by hash alone; the exact choice then sorts few rows.
-    share = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(LANGUAGES)
-    few = ids.join(share, "lang").where(
-        (F.col("docs") <= 4 * sample) | (F.pmod("draw", F.ceil(F.col("docs") / (2 * sample))) == 0)
-    )
-    by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    chosen = few.withColumn("place", F.row_number().over(by_draw)).where(F.col("place") <= sample).select("doc_id")
-    chosen = F.broadcast(chosen.distinct())  # at most ``sample`` ids per language
-    return labelled.join(chosen, "doc_id").select("lang", "text")
+    share = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(LANGUAGES)
+    return labelled.join(F.broadcast(share.select("lang")), "lang").select("lang", "text")
 
 
-def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
-    """Profiles of the languages of labelled documents that are not held out.
+def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Profiles:
+    """Profiles of the languages of labelled documents that are not held out, from all of these.
 
-    Learned from ``training`` documents, so that the model and what the driver gets stay bounded;
-    counts are summed by Spark.
+    Counts are summed by Spark; the model and what the driver gets stay bounded.
     """
-    return learn_from(training(docs, id, text, lang, sample))
+    return learn_from(training(docs, id, text, lang))
 
 
 def learn_from(known: DataFrame) -> Profiles:
@@ -144,10 +130,15 @@ def learn_from(known: DataFrame) -> Profiles:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
             for language, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                codes, counts = ngrams(whole)
+                found.setdefault(language, []).append(ngrams(whole))
+            for language, several in found.items():
+                every, at = np.unique(np.concatenate([codes for codes, _ in several]), return_inverse=True)
+                counts = np.zeros(len(every), np.int64)
+                np.add.at(counts, at, np.concatenate([counts for _, counts in several]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([language] * len(codes), pa.string()), pa.array(codes), pa.array(counts)],
+                    [pa.array([language] * len(every), pa.string()), pa.array(every, pa.int64()), pa.array(counts)],
                     ["lang", "code", "n"],
                 )
 
@@ -213,7 +204,7 @@ def keep_identified(docs: DataFrame, least: float = 0.0, cut: bool = False) -> D
     With ``cut``, a score must also be above 0 and reach its language's ``cuts``: texts in a language
     or script that was not learned go.
     """
-    known = materialize(training(docs), "training")
+    known = training(docs)
     profiles = learn_from(known)
     lang, score = _free("_lang", docs.columns), _free("_score", docs.columns)
     found = predict(docs, profiles, into=(lang, score))
