@@ -22,6 +22,7 @@ is by hash, shingles of more than ``HOT`` buckets' size last. A bucket is one su
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ FEWEST_GROUPS, MOST_GROUPS = 16, 1 << 16
 #: Bytes of text that are hashed at a time, and rows whose bounds are computed at a time.
 AT_ONCE = 1 << 20
 ROWS = 4096
-#: Pairs that a task remembers.
+#: Pairs that a task remembers, pairs that it hands on at a time, and pairs that a tree is asked for at a time.
 TOLD = 500_000
+TOLD_AT_ONCE = 1 << 16
+ASKED = 1 << 19
 
 BASE = 0x9E3779B97F4A7C15
 GAP = np.zeros(256, bool)
@@ -193,6 +196,17 @@ class CountTree:
 
     def search(self, points: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, point) numbers of all pairs whose bound reaches the overlap needed."""
+        found = list(self.searched(points, sizes, percent))
+        return tuple(np.concatenate([np.empty(0, np.intp), *(part[k] for part in found)]) for k in (0, 1))
+
+    def searched(self, points: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same by slices of the queries, that have ``ASKED`` pairs at most: near copies all pass the bounds."""
+        step = max(1, ASKED // len(self.levels[0][1]))
+        for first in range(0, len(points), step):
+            query, node = self._search(points[first : first + step], sizes[first : first + step], percent)
+            yield query + first, node
+
+    def _search(self, points: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         query = np.arange(len(points))
         node = np.zeros(len(points), np.intp)
         for depth in range(len(self.levels) - 1, -1, -1):
@@ -367,13 +381,14 @@ def _across(shared: DataFrame, labels: DataFrame, points: DataFrame, percent: in
         told: set[tuple[int, int]] = set()
         for rows, ends in _whole_buckets(batches):
             found = _pairs(rows, ends, percent)
-            # Pairs that this task has told before, as far as they fit, are not told again.
-            new = [pair for pair in dict.fromkeys(found) if pair not in told]
-            if len(told) > TOLD:
-                told.clear()
-            told.update(new)
-            if new:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*new)], ["a", "b"])
+            while some := list(islice(found, TOLD_AT_ONCE)):
+                # Pairs that this task has told before, as far as they fit, are not told again.
+                new = [pair for pair in dict.fromkeys(some) if pair not in told]
+                if len(told) > TOLD:
+                    told.clear()
+                told.update(new)
+                if new:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*new)], ["a", "b"])
 
     sorted_rows = spread.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
     return sorted_rows.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -458,11 +473,11 @@ def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int
             vectors = np.stack([folded(points[k][None], walked)[0] for k in inside[targets].tolist()])
             sizes = size[inside].astype(np.int64)
             tree = CountTree(vectors, sizes[targets])
-            q, t = tree.search(vectors[np.searchsorted(targets, queries)], sizes[queries], percent)
-            q, t = inside[queries[q]], inside[targets[t]]
-            near = may(q, t)
-            for some_q, some_t in _bounded(points, size, q[near], t[near], percent) if large[start] else [(q[near], t[near])]:
-                yield from _ordered(doc, some_q, some_t)
+            for q, t in tree.searched(vectors[np.searchsorted(targets, queries)], sizes[queries], percent):
+                q, t = inside[queries[q]], inside[targets[t]]
+                near = may(q, t)
+                for some_q, some_t in _bounded(points, size, q[near], t[near], percent) if large[start] else [(q[near], t[near])]:
+                    yield from _ordered(doc, some_q, some_t)
 
 
 def _bounded(
