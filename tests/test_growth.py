@@ -2,9 +2,11 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import scan_queries
+from regispark.plans import profile
 from regispark.schemas import TABLES
 from regispark.streaming.files import FileIngest
 
@@ -41,3 +43,37 @@ def test_a_task_writes_one_file_of_many_batches(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "text")).distinct().count() == 95
     zipped = scan_queries.scan_archives(spark, str(tmp_path / "zips"), ["x"])
     assert sorted(int(r["x"]) for r in zipped.collect()) == list(range(95))
+
+
+@pytest.fixture
+def dictionary(spark):
+    """4,000 codes; rows have few of them, unknown ones and NULL."""
+    return spark.range(4000).select(F.expr("string(id)").alias("codigo"), F.expr("'text ' || id").alias("descricao"))
+
+
+#: Between the size of the codes that rows have and that of the dictionary.
+LIMIT = 20_000
+
+
+def test_profile_with_a_large_dictionary(spark, dictionary, monkeypatch):
+    companies = spark.createDataFrame([(1, "A", "d"), (2, "B", "d")], "cnpj_basico int, razao_social string, data string")
+    rows = [(10, 1, "U", 1, "7", "9,zz,3999", "d"), (11, 1, "U", 2, None, None, "d"), (12, 2, "V", 1, "8", "", "d"), (None, 2, "V", 9, "9", "1," * 12 + "2", "d")]
+    establishments = spark.createDataFrame(
+        rows, "cnpj int, cnpj_basico int, sigla_uf string, id_municipio int, cnae_fiscal_principal string, "
+        "cnae_fiscal_secundaria string, data string",
+    )
+    activities = dictionary.withColumnRenamed("codigo", "cnae_2_3_subclasses")
+    cities = spark.createDataFrame([(1, "one"), (2, "two")], "id_municipio int, nome string")
+    several = [
+        sorted(map(tuple, profile.company_profile(companies, establishments, activities, cities, limit=limit).collect()), key=repr)
+        for limit in (0, 10**7)
+    ]
+    assert several[0] == several[1] and len(several[0]) == 4
+    assert next(r for r in several[0] if r[0] == 10)[7:13] == ("9", "text 9", "zz", None, "3999", "text 3999")
+
+    def refused(*args):
+        raise AssertionError("rows are unnested for a dictionary of which few codes are in use")
+
+    monkeypatch.setattr(profile, "_unnested", refused)
+    found = profile.company_profile(companies, establishments, activities, cities, limit=LIMIT)
+    assert sorted(map(tuple, found.collect()), key=repr) == several[0]
