@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from regispark.sinks.tables import clustered
 
 ROWS_PER_FILE = 1_000_000
+#: Rows that a task sorts at least, once there are ``FEW_PARTS`` tasks; it cuts them into its files.
+PART_ROWS = 250_000
+FEW_PARTS = 256
 #: Bytes of a row group: what a lookup reads at least.
 GROUP_BYTES = 16 * 1024 * 1024
 
@@ -20,13 +23,17 @@ def write_clustered(
 ) -> None:
     """Files of about ``rows_per_file`` rows, in ranges of ``keys`` and sorted by them.
 
-    Keys that hold more rows than a file are split over several. Each row group has a Bloom
+    Keys that hold more rows than a file are split over several. Many small files are cut from fewer sorted
+    parts, as every task sends a piece to each part. Each row group has a Bloom
     filter per key, sized by the values measured. ``df`` is read several times: give a written table.
     """
     distinct = [F.approx_count_distinct(k).alias(f"d{i}") for i, k in enumerate(keys)]
     told = df.agg(F.count("*").alias("n"), *distinct).first()
     files = max(1, math.ceil(told["n"] / rows_per_file))
-    writer = clustered(df, *keys, files=files, hot_rows=rows_per_file).write.mode(mode)
+    parts = min(files, max(FEW_PARTS, math.ceil(told["n"] / PART_ROWS)))
+    writer = clustered(df, *keys, files=parts, hot_rows=rows_per_file).write.mode(mode)
+    if parts < files:
+        writer = writer.option("maxRecordsPerFile", str(rows_per_file))
     for i, key in enumerate(keys):
         values = max(1, math.ceil(1.2 * told[f"d{i}"] / files))
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")

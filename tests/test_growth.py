@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import scan_queries
 from regispark.plans import profile
 from regispark.schemas import TABLES
+from regispark.sinks import layout
 from regispark.streaming.files import FileIngest
 
 
@@ -45,6 +46,23 @@ def test_a_task_writes_one_file_of_many_batches(spark, tmp_path):
     assert sorted(int(r["x"]) for r in zipped.collect()) == list(range(95))
 
 
+def test_small_files_are_cut_from_fewer_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "FEW_PARTS", 3, raising=False)
+    monkeypatch.setattr(layout, "PART_ROWS", 1000, raising=False)
+    asked, plain = [], layout.clustered
+    monkeypatch.setattr(layout, "clustered", lambda *args, files, **more: asked.append(files) or plain(*args, files=files, **more))
+    rows = spark.range(2000).select(F.expr("id * 7919 % 2000").alias("key"), "id")
+    path = str(tmp_path / "table")
+    layout.write_clustered(rows, path, ["key"], rows_per_file=50)
+    assert asked == [3]
+    read = spark.read.parquet(path)
+    directory = layout.file_directory(read, ["key"])
+    files = directory.collect()
+    assert len(files) >= 40 and max(r["rows"] for r in files) <= 50
+    assert len(layout.files_with(directory, "key", [1234])) == 1
+    assert layout.lookup(spark, directory, read, "key", [1234]).count() == 1 and read.distinct().count() == 2000
+
+
 @pytest.fixture
 def dictionary(spark):
     """4,000 codes; rows have few of them, unknown ones and NULL."""
