@@ -18,6 +18,10 @@ PART_BITS = 33
 #: Parts a range of rows is divided into at a time, and keys looked at for that.
 DIVISIONS = 64
 SAMPLED = 4_096
+#: Rows of a sorted part of hot keys at least, once there are ``FEW_PARTS``: each part is a task, and every
+#: task that sorts sends a piece to each.
+PART_ROWS = 250_000
+FEW_PARTS = 256
 #: Rows that are sorted as they are, without narrowing the range further.
 SMALL_RANGE = 1_000_000
 
@@ -42,7 +46,8 @@ def row_numbers(
         return df.withColumn(number, counted)
     others, alike = split_by_keys(df, hot, key)
     cold = others.withColumn(number, counted)
-    runs = _sorted(with_place(alike, "_place"), [key, *order], parts=math.ceil(2 * total / hot_rows))
+    parts = min(math.ceil(2 * total / hot_rows), max(FEW_PARTS, math.ceil(total / PART_ROWS)))
+    runs = _sorted(with_place(alike, "_place"), [key, *order], parts=parts)
     ((starts, _),) = broadcast_if_small(_part_starts(runs, key))
     spread = (
         runs.withColumn("_part", _part())

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import scan_queries
+from regispark.operators import numbering
 from regispark.plans import profile
 from regispark.schemas import TABLES
 from regispark.sinks import layout
@@ -46,6 +47,19 @@ def test_a_task_writes_one_file_of_many_batches(spark, tmp_path):
     assert sorted(int(r["x"]) for r in zipped.collect()) == list(range(95))
 
 
+def test_parts_of_hot_keys_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "FEW_PARTS", 4, raising=False)
+    monkeypatch.setattr(numbering, "PART_ROWS", 200, raising=False)
+    asked, plain = [], numbering._sorted
+    monkeypatch.setattr(numbering, "_sorted", lambda df, by, parts=None: asked.append(parts) or plain(df, by, parts))
+    rows = spark.range(1000).select((F.col("id") % 2).alias("k"), F.expr("id * 7919 % 1000").alias("v"))
+    found = numbering.row_numbers(rows, "k", ["v"], "number", hot_rows=10).collect()
+    assert asked == [5]
+    for key in (0, 1):
+        own = sorted((r["v"], r["number"]) for r in found if r["k"] == key)
+        assert [number for _, number in own] == list(range(1, len(own) + 1))
+
+
 def test_small_files_are_cut_from_fewer_parts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layout, "FEW_PARTS", 3, raising=False)
     monkeypatch.setattr(layout, "PART_ROWS", 1000, raising=False)
