@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regispark.functions.codes import split_codes
 from regispark.functions.values import padded_code
-from regispark.operators.joins import company_establishment, lookups
+from regispark.operators.joins import company_establishment, lookups, used_entries
 from regispark.operators.sizing import BROADCAST_LIMIT, measured_bytes
 from regispark.schemas import ACTIVITY_CODE_WIDTH, LINKS, code_links, list_links
 
@@ -57,14 +57,21 @@ def described_list(
     for a NULL list. Of a code listed twice in the dictionary the greatest description counts.
 
     The dictionary is dealt into small lists by a hash of the code, so that one code is looked up among
-    about one entry; if all of them are within ``limit`` and ``CONSTANT_LIMIT`` they are a constant of the
-    plan, and ``df`` stays as it is. Otherwise the codes of all lists are joined, one row each with its place, and put together
+    about one entry; if all of them, or else those whose codes are listed, are within ``limit`` and
+    ``CONSTANT_LIMIT`` they are a constant of the plan, and ``df`` stays as it is. Otherwise the codes of all lists are joined, one row each with its place, and put together
     by list: what is shuffled is codes and descriptions, and each list once.
     """
     texts = dictionary.groupBy(F.col(code).cast("string").alias("code")).agg(F.max(value).alias("text"))
     texts = texts.where(F.col("code").isNotNull())
     codes = split_codes(F.col(column))
-    if measured_bytes(texts)[0] <= min(limit, CONSTANT_LIMIT):
+    few = min(limit, CONSTANT_LIMIT)
+    fits = measured_bytes(texts)[0] <= few
+    if not fits and few > 0:
+        listed = df.where(F.col(column).isNotNull()).select(F.explode(codes).alias("listed"))
+        entries, _ = used_entries(dictionary.select(F.col(code).cast("string").alias("code"), value), "code", listed, limit)
+        texts = entries.groupBy("code").agg(F.max(value).alias("text"))
+        fits = measured_bytes(texts)[0] <= few
+    if fits:
         count = max(1, 2 * texts.count())
         dealt: list[list[dict]] = [[] for _ in range(count)]
         bucket = F.pmod(F.xxhash64("code"), F.lit(count)).alias("bucket")

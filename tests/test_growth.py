@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from checks import scan_queries
 from regispark.operators import numbering
+from regispark.operators.enrich import described_list
+from regispark.operators.joins import lookups
 from regispark.plans import profile
 from regispark.schemas import TABLES
 from regispark.sinks import layout
@@ -87,6 +89,16 @@ def dictionary(spark):
 LIMIT = 20_000
 
 
+def test_large_dictionaries_are_cut_to_the_codes_in_use(spark, dictionary):
+    rows = spark.createDataFrame([(1, "7", "7,9,zz"), (2, None, None), (3, "zz", ""), (4, "3999", "3999")], "id int, code string, list string")
+    found = lookups(rows, [(dictionary, "code", "text")], limit=LIMIT)
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"]: r["text"] for r in found.collect()} == {1: "text 7", 2: None, 3: None, 4: "text 3999"}
+    listed = described_list(rows, "list", dictionary, "texts", limit=LIMIT)
+    assert "Join" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"]: r["texts"] for r in listed.collect()} == {1: ["text 7", "text 9", None], 2: None, 3: [None], 4: ["text 3999"]}
+
+
 def test_profile_with_a_large_dictionary(spark, dictionary, monkeypatch):
     companies = spark.createDataFrame([(1, "A", "d"), (2, "B", "d")], "cnpj_basico int, razao_social string, data string")
     rows = [(10, 1, "U", 1, "7", "9,zz,3999", "d"), (11, 1, "U", 2, None, None, "d"), (12, 2, "V", 1, "8", "", "d"), (None, 2, "V", 9, "9", "1," * 12 + "2", "d")]
