@@ -49,6 +49,13 @@ def test_a_task_writes_one_file_of_many_batches(spark, tmp_path):
     assert sorted(int(r["x"]) for r in zipped.collect()) == list(range(95))
 
 
+def test_tasks_without_rows_write_no_text_file(spark, tmp_path):
+    lines = spark.range(8, numPartitions=4).where("id < 2").select(F.expr("string(id)").alias("line"))
+    scan_queries._put_lines(lines, str(tmp_path / "text"), "a.csv")
+    assert len(os.listdir(tmp_path / "text")) == 1
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "text")).collect()) == ["0", "1"]
+
+
 def test_parts_of_hot_keys_are_bounded_by_rows(spark, monkeypatch):
     monkeypatch.setattr(numbering, "FEW_PARTS", 4, raising=False)
     monkeypatch.setattr(numbering, "PART_ROWS", 200, raising=False)
