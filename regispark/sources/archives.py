@@ -230,7 +230,8 @@ def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for archive, path, member, data in zip(batch["archive"], batch["path"], batch["member"], batch["data"]):
             values = [record.decode("latin-1") for record in records_of(bytes(data))]
-            yield pd.DataFrame({"archive": archive, "path": path, "member": member, "value": values})
+            # Texts even without a record: a column of nothing would be numbers.
+            yield pd.DataFrame({"archive": archive, "path": path, "member": member, "value": values}, dtype=object)
 
 
 def _whole_lines(stream) -> Iterator[bytes]:

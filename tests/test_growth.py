@@ -1,6 +1,7 @@
 """Work that must not grow faster than the rows: batches of files, parts of sorts, large dictionaries."""
 
 import os
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,22 @@ def test_tasks_without_rows_write_no_text_file(spark, tmp_path):
     assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "text")).collect()) == ["0", "1"]
 
 
+def test_tasks_without_rows_write_no_archive(spark, tmp_path):
+    lines = spark.range(8, numPartitions=4).where("id < 2").select(F.expr("string(id)").alias("line"))
+    scan_queries._zipped(lines.select(F.lit("M").alias("member"), F.lit("n").alias("name"), "line"), str(tmp_path / "zips"))
+    assert len(os.listdir(tmp_path / "zips")) == 1
+    zipped = scan_queries.scan_archives(spark, str(tmp_path / "zips"), ["x"])
+    assert sorted(r["x"] for r in zipped.collect()) == ["0", "1"]
+
+
+def test_a_member_without_records(spark, tmp_path):
+    for name, data in (("a", ""), ("b", "1\n")):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as archive:
+            archive.writestr("one.csv", data)
+    read = scan_queries.scan_archives(spark, str(tmp_path), ["x"], multiline=True)
+    assert [r["x"] for r in read.collect()] == ["1"]
+
+
 def test_parts_of_hot_keys_are_bounded_by_rows(spark, monkeypatch):
     monkeypatch.setattr(numbering, "FEW_PARTS", 4, raising=False)
     monkeypatch.setattr(numbering, "PART_ROWS", 200, raising=False)
