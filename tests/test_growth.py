@@ -3,10 +3,12 @@
 import os
 import zipfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from checks import scan_queries
+from checks.compare import difference
 from regispark.operators import numbering
 from regispark.operators.enrich import described_list
 from regispark.operators.joins import lookups
@@ -73,6 +75,19 @@ def test_a_member_without_records(spark, tmp_path):
     assert [r["x"] for r in read.collect()] == ["1"]
 
 
+def test_codes_of_more_digits_stay_different(spark, tmp_path):
+    small = "/root/testdata/sf0.001"
+    for name, key in (("supplier", "s_suppkey"), ("lineitem", "l_suppkey"), ("region", None)):
+        rows = spark.read.parquet(f"{small}/{name}.parquet")
+        rows = rows.withColumn(key, F.col(key) + 9_995) if key else rows
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("supplier", "lineitem", "region"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    problem, rows, _ = difference(spark, con, "enriched_partners", str(tmp_path))
+    assert problem is None and rows == spark.read.parquet(f"{small}/lineitem.parquet").count()
+
+
 def test_parts_of_hot_keys_are_bounded_by_rows(spark, monkeypatch):
     monkeypatch.setattr(numbering, "FEW_PARTS", 4, raising=False)
     monkeypatch.setattr(numbering, "PART_ROWS", 200, raising=False)
