@@ -16,12 +16,13 @@ is by hash, shingles of more than ``HOT`` buckets' size last. A bucket is one su
 * Near copies fill many buckets. First every document is compared with its buckets' leaders, then
   those outside a bucket's largest component with more of its members, and only buckets that still hold several components get trees, for pairs across components. No link
   between components is lost, and no pair inside one is needed.
-* A bucket larger than ``BLOCK`` is dealt into blocks, and each pair of blocks is a task's unit.
+* A bucket larger than ``BLOCK`` is dealt into blocks, and each pair of blocks is a task's unit. The heavy
+  documents of a bucket have blocks of their own, which meet all others; these do not meet each other for them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -267,6 +268,32 @@ def _loaded(stored: bytes) -> np.ndarray:
     return np.stack((packed & 15, packed >> 4), 1).ravel()
 
 
+def _groups(stored: bytes) -> int:
+    return (len(stored) - 1) // 4 if stored[0] else 2 * (len(stored) - 1)
+
+
+def _matrix(stored: Sequence[bytes], groups: int) -> np.ndarray:
+    """Counts of points over ``groups`` groups or more, one row each, folded to ``groups``."""
+    sizes = np.array([_groups(x) for x in stored], np.int64)
+    packed = np.array([x[0] == 0 for x in stored], bool)
+    parts = []
+    for size in np.unique(sizes).tolist():
+        for small in (True, False):
+            at = np.nonzero((sizes == size) & (packed == small))[0]
+            if len(at):
+                raw = np.frombuffer(b"".join([stored[k] for k in at.tolist()]), np.uint8).reshape(len(at), -1)[:, 1:]
+                if small:
+                    counts = np.empty((len(at), size), np.uint8)
+                    counts[:, 0::2], counts[:, 1::2] = raw & 15, raw >> 4
+                else:
+                    counts = np.ascontiguousarray(raw).view("<u4")
+                parts.append((at, folded(counts, groups)))
+    whole = np.empty((len(stored), groups), np.result_type(np.uint8, *(counts.dtype for _, counts in parts)))
+    for at, counts in parts:
+        whole[at] = counts
+    return whole
+
+
 def _shared(documents: DataFrame, percent: int) -> DataFrame:
     """The listed shingles by which documents can meet: ``shingle``, ``doc_id``, ``n``, ``heavy``
     (meets all) and ``first`` (meets others that have it so)."""
@@ -365,16 +392,28 @@ def _across(shared: DataFrame, labels: DataFrame, points: DataFrame, percent: in
         F.sum(member).alias("members"), F.min("doc_id").alias("least"),
     ).where("low <> high and (heavies > 0 or firsts > 1)")
     # Shingles of one passage often have the same documents: one bucket stands for all of them.
-    buckets = buckets.dropDuplicates(["docs", "members", "least"]).select("shingle", "docs")
-    spread = found.join(buckets, "shingle").withColumn("blocks", F.ceil(F.col("docs") / BLOCK).cast("int"))
-    spread = spread.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    buckets = buckets.dropDuplicates(["docs", "members", "least"]).select("shingle", "docs", "heavies", "firsts")
+    # Blocks of those listed first have negative numbers, each meets each. Where there are heavy documents, their
+    # blocks are numbered from 0 and meet all; the blocks of the others follow and meet those of heavy ones only.
+    listed, strong, rest = (F.ceil(F.expr(c) / BLOCK).cast("int") for c in ("firsts", "heavies", "docs - heavies"))
+    place = F.xxhash64("doc_id")
+
+    def units(own, low, high, many):
+        return F.transform(F.sequence(low, high), lambda k: F.struct(own.cast("int").alias("own"), k.alias("other"), many.alias("large")))
+
+    own_heavy = F.when(F.col("heavy"), F.pmod(place, strong)).otherwise(strong + F.pmod(place, rest))
+    last = F.when(F.col("heavy"), strong + rest).otherwise(strong) - 1
     # A row of a large bucket has many pairs, so what tells them apart better is worth its bytes there.
-    large = F.col("docs") > LARGE
+    first = F.when(F.col("first") & (F.col("firsts") > 1), units(-1 - F.pmod(place, listed), -listed, F.lit(-1), F.col("firsts") > LARGE))
+    heavy = F.when(F.col("heavies") > 0, units(own_heavy, F.lit(0), last, F.col("docs") > LARGE))
+    none = F.array().cast("array<struct<own:int,other:int,large:boolean>>")
+    met = F.concat(F.coalesce(first, none), F.coalesce(heavy, none))
+    spread = found.join(buckets, "shingle").select("shingle", "doc_id", "component", F.explode(met).alias("unit"))
+    spread = spread.select("shingle", "doc_id", "component", "unit.*")
+    spread = spread.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     spread = spread.join(points, "doc_id").select(
-        "shingle", "i", "j", "own", "doc_id", "component", "heavy", "first", "n", large.alias("large"),
-        F.when(large, F.col("fine")).otherwise(F.col("point")).alias("point"),
+        "shingle", "i", "j", "own", "doc_id", "component", "n", "large",
+        F.when(F.col("large"), F.col("fine")).otherwise(F.col("point")).alias("point"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,17 +468,20 @@ def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int
 
     Buckets that fit one leaf are their own tree: all of a size are paired at once. Larger ones get
     a tree for each number of groups, searched by the documents that have as many, for partners with
-    as many or twice as many; sets of more unlike sizes cannot link.
+    as many or twice as many; sets of more unlike sizes cannot link. Of two blocks, one is searched by the other.
     """
-    names = ("own", "i", "j", "doc_id", "component", "heavy", "first", "n", "large")
-    own, i, j, doc, component, heavy, first, size, large = (rows.column(c).to_numpy() for c in names)
+    names = ("own", "i", "j", "doc_id", "component", "n", "large")
+    own, i, j, doc, component, size, large = (rows.column(c).to_numpy() for c in names)
     stored = rows.column("point").to_pylist()
+    groups = np.array([_groups(x) for x in stored], np.int64)
 
     def may(q: np.ndarray, t: np.ndarray) -> np.ndarray:
         small, large = np.minimum(size[q], size[t]), np.maximum(size[q], size[t])
-        listed = heavy[q] | heavy[t] | (first[q] & first[t])
         other_block = (i[q] == j[q]) | (own[q] != own[t])
-        return (component[q] != component[t]) & listed & other_block & (small * 100 >= large * percent)
+        return (component[q] != component[t]) & other_block & (small * 100 >= large * percent)
+
+    def matrix(at: np.ndarray, width: int) -> np.ndarray:
+        return _matrix([stored[k] for k in at.tolist()], width)
 
     starts, counts = ends[:-1], np.diff(ends)
     together: list[tuple[np.ndarray, np.ndarray]] = []
@@ -456,39 +498,42 @@ def _pairs(rows: pa.Table, ends: np.ndarray, percent: int) -> Iterator[tuple[int
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
         once = order[np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(order)]]
-        q, t = q[once], t[once]
-        points = {k: _loaded(stored[k]) for k in np.unique(np.concatenate((q, t))).tolist()}
-        for some_q, some_t in _bounded(points, size, q, t, percent):
+        for some_q, some_t in _bounded(matrix, groups, size, q[once], t[once], percent):
             yield from _ordered(doc, some_q, some_t)
     for start, count in zip(starts[counts > FAN].tolist(), counts[counts > FAN].tolist()):
         inside = np.arange(start, start + count)
         if len(np.unique(component[inside])) < 2:
             continue
-        points = {k: _loaded(stored[k]) for k in inside.tolist()}
-        groups = np.array([len(points[k]) for k in inside.tolist()])
-        for g in np.unique(groups):
-            queries = np.nonzero(groups == g)[0]
-            targets = np.nonzero((groups == g) | (groups == 2 * g))[0]
-            walked = coarse(int(g)) if large[start] else int(g)
-            vectors = np.stack([folded(points[k][None], walked)[0] for k in inside[targets].tolist()])
-            sizes = size[inside].astype(np.int64)
-            tree = CountTree(vectors, sizes[targets])
-            for q, t in tree.searched(vectors[np.searchsorted(targets, queries)], sizes[queries], percent):
-                q, t = inside[queries[q]], inside[targets[t]]
-                near = may(q, t)
-                for some_q, some_t in _bounded(points, size, q[near], t[near], percent) if large[start] else [(q[near], t[near])]:
-                    yield from _ordered(doc, some_q, some_t)
+        if i[start] == j[start]:
+            sides = [(inside, inside, 1)]
+        else:
+            left = own[inside] == i[start]
+            sides = [(inside[left], inside[~left], 1), (inside[~left], inside[left], 2)]
+        for asking, asked, least in sides:
+            for g in np.unique(groups[asking]).tolist():
+                queries = asking[groups[asking] == g]
+                targets = asked[(groups[asked] == least * g) | (groups[asked] == 2 * g)]
+                if not len(targets):
+                    continue
+                walked = coarse(g) if large[start] else g
+                sizes = size.astype(np.int64)
+                tree = CountTree(matrix(targets, walked), sizes[targets])
+                for q, t in tree.searched(matrix(queries, walked), sizes[queries], percent):
+                    q, t = queries[q], targets[t]
+                    near = may(q, t)
+                    for some_q, some_t in _bounded(matrix, groups, size, q[near], t[near], percent) if large[start] else [(q[near], t[near])]:
+                        yield from _ordered(doc, some_q, some_t)
 
 
 def _bounded(
-    points: dict[int, np.ndarray], size: np.ndarray, q: np.ndarray, t: np.ndarray, percent: int
+    matrix: Callable[[np.ndarray, int], np.ndarray], groups: np.ndarray, size: np.ndarray, q: np.ndarray, t: np.ndarray, percent: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The given pairs of rows whose points, over as many groups as both have, allow a link."""
-    groups = np.array([min(len(points[a]), len(points[b])) for a, b in zip(q.tolist(), t.tolist())], np.int64)
-    for g in np.unique(groups):
-        some_q, some_t = q[groups == g], t[groups == g]
+    least = np.minimum(groups[q], groups[t])
+    for g in np.unique(least).tolist():
+        some_q, some_t = q[least == g], t[least == g]
         used, at = np.unique(np.concatenate((some_q, some_t)), return_inverse=True)
-        vectors = np.stack([folded(points[k][None], g)[0] for k in used.tolist()])
+        vectors = matrix(used, g)
         shared = bounds(vectors, at[: len(some_q)], vectors, at[len(some_q) :])
         enough = shared >= overlap_needed(size[some_q].astype(np.int64), size[some_t], percent)
         yield some_q[enough], some_t[enough]
