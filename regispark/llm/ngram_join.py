@@ -273,24 +273,25 @@ def _groups(stored: bytes) -> int:
 
 
 def _matrix(stored: Sequence[bytes], groups: int) -> np.ndarray:
-    """Counts of points over ``groups`` groups or more, one row each, folded to ``groups``."""
+    """Counts of points over ``groups`` groups or more, one row each, folded to ``groups``, a bounded number of rows
+    at a time."""
     sizes = np.array([_groups(x) for x in stored], np.int64)
     packed = np.array([x[0] == 0 for x in stored], bool)
-    parts = []
+    whole = np.empty((len(stored), groups), np.uint8)
     for size in np.unique(sizes).tolist():
+        rows = max(1, ROWS * 64 // size)
         for small in (True, False):
-            at = np.nonzero((sizes == size) & (packed == small))[0]
-            if len(at):
+            alike = np.nonzero((sizes == size) & (packed == small))[0]
+            for at in (alike[k : k + rows] for k in range(0, len(alike), rows)):
                 raw = np.frombuffer(b"".join([stored[k] for k in at.tolist()]), np.uint8).reshape(len(at), -1)[:, 1:]
                 if small:
                     counts = np.empty((len(at), size), np.uint8)
                     counts[:, 0::2], counts[:, 1::2] = raw & 15, raw >> 4
                 else:
                     counts = np.ascontiguousarray(raw).view("<u4")
-                parts.append((at, folded(counts, groups)))
-    whole = np.empty((len(stored), groups), np.result_type(np.uint8, *(counts.dtype for _, counts in parts)))
-    for at, counts in parts:
-        whole[at] = counts
+                counts = folded(counts, groups)
+                whole = whole.astype(np.result_type(whole, counts), copy=False)
+                whole[at] = counts
     return whole
 
 
